@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 HASH, CUTS, CHUNK = "__hash", "__cuts", "__chunk"
+REPEATED, COPIES, BLOCK = "__repeated", "__copies", "__block"
 
 # Bounds on what reaches the driver and is broadcast, whatever the table size.
 MAX_HOT_KEYS = 1_000       # a key that is not split holds < 1/1000 of all rows
@@ -25,22 +26,64 @@ MAX_CHUNKS = 20_000        # all chunks of all hot keys together
 TRACKED_KEYS = 20_000      # size of the frequent-items sketch
 SAMPLES_PER_CHUNK = 100
 MIN_ROWS = 2_000_000       # no key below this is worth splitting
+COPIES_PER_BLOCK = 100_000
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Cut points of the hot keys: at most MAX_HOT_KEYS rows, MAX_CHUNKS cuts."""
+    """Cut points of the hot keys: at most MAX_HOT_KEYS rows, MAX_CHUNKS cuts.
+
+    ``has_copies``: some position in the order fills whole chunks by itself,
+    that is, a group of identical rows has to be split too.
+    """
 
     cuts: DataFrame
+    has_copies: bool
 
     def tag(self, df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-        """Add the chunk number; null for every key that is not hot."""
-        return (
+        """Add the chunk number, null for every key that is not hot.
+
+        Copies that would overfill a chunk are folded into one row with a
+        count, combined map-side.
+        """
+        at = position(order)
+        tagged = (
             df.withColumn(HASH, F.xxhash64(*keys))
             .join(F.broadcast(self.cuts), HASH, "left")
-            .withColumn(CHUNK, F.when(F.col(CUTS).isNotNull(), _cuts_below(position(order))))
-            .drop(HASH, CUTS)
+            .withColumn(CHUNK, F.when(F.col(CUTS).isNotNull(), _cuts_below(at)))
         )
+        if not self.has_copies:
+            return tagged.drop(HASH, CUTS, REPEATED)
+        repeated = F.coalesce(F.array_contains(REPEATED, at), F.lit(False))
+        helpers = (HASH, CUTS, REPEATED)
+        single = tagged.where(~repeated).drop(*helpers).withColumn(COPIES, F.lit(1).cast("bigint"))
+        folded = tagged.where(repeated).drop(*helpers)
+        folded = folded.groupBy(*folded.columns).agg(F.count(F.lit(1)).alias(COPIES))
+        return single.unionByName(folded)
+
+
+def unfold(df: DataFrame, neighbours: dict[str, Column]) -> DataFrame:
+    """Give folded copies back as rows, spread over the cluster.
+
+    ``neighbours`` maps a neighbour column to the copy's own values: between
+    two copies, each is the other's neighbour. Only the first copy keeps the
+    row before, only the last the row after.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    copies, block, i = F.col(COPIES), F.col(BLOCK), F.col("__i")
+    last_block = F.floor((copies - 1) / COPIES_PER_BLOCK)
+    end = F.least(copies, (block + 1) * COPIES_PER_BLOCK) - 1
+    rows = (
+        df.where(copies > 1)
+        .withColumn(BLOCK, F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))
+        .repartition(partitions, BLOCK)
+        .withColumn("__i", F.explode(F.sequence(block * COPIES_PER_BLOCK, end)))
+    )
+    edge = {"prev": i == 0, "next": i == copies - 1}
+    rows = rows.withColumns({
+        name: F.when(edge[name], F.col(name)).otherwise(own) for name, own in neighbours.items()
+    })
+    return df.where(copies == 1).unionByName(rows.drop(BLOCK, "__i")).drop(COPIES)
 
 
 def position(order: Sequence[str]) -> Column:
@@ -110,8 +153,15 @@ def find_hot_keys(
         sample.withColumn("part", F.floor(rank * F.col("parts") / size))
         .groupBy(HASH, "part").agg(F.min("at").alias("at"))
         .where("part > 0")
-        .groupBy(HASH).agg(F.array_sort(F.collect_set("at")).alias(CUTS))
+        .groupBy(HASH, "at").count()
+        .groupBy(HASH).agg(
+            F.array_sort(F.collect_list("at")).alias(CUTS),
+            F.array_sort(F.collect_list(F.expr("IF(count > 1, at, NULL)"))).alias(REPEATED),
+        )
     )
     # Collected and handed back as literals, so every use sees the same cuts.
     rows = cuts.collect()
-    return HotKeys(spark.createDataFrame(rows, cuts.schema)) if rows else None
+    if not rows:
+        return None
+    has_copies = any(row[REPEATED] for row in rows)
+    return HotKeys(spark.createDataFrame(rows, cuts.schema), has_copies)

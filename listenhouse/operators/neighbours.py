@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, Window
 
-from listenhouse.operators.hot_keys import CHUNK, HotKeys, position
+from listenhouse.operators.hot_keys import CHUNK, HotKeys, position, unfold
 
 PREV, NEXT = "prev", "next"
 
@@ -21,11 +21,13 @@ def neighbours(
 ) -> DataFrame:
     """Add structs ``prev`` / ``next`` with columns of the adjacent rows.
 
-    The struct is null where there is no such row. ``order`` has to be total.
+    The struct is null where there is no such row. ``order`` has to be total,
+    but for identical rows.
     Without hot keys this is one exchange, one sort, one window. With hot keys
     the window runs per (key, chunk); the two edge rows of every chunk are
     aggregated map-side, linked in a tiny window over chunks and joined back,
-    so no task ever holds more than a chunk.
+    so no task ever holds more than a chunk. Identical rows may
+    repeat: a group of copies larger than a chunk is folded and given back.
     """
     if hot is None:
         return _within(df, keys, order, prev, next)
@@ -59,9 +61,13 @@ def neighbours(
         closed[PREV] = F.coalesce(PREV, "before")
     if next:
         closed[NEXT] = F.coalesce(NEXT, "after")
-    return joined.withColumns(closed).drop(
+    rows = joined.withColumns(closed).drop(
         CHUNK, "seam_key", "seam_chunk", "before", "after"
     )
+    if not hot.has_copies:
+        return rows
+    own = {PREV: prev, NEXT: next}
+    return unfold(rows, {n: F.struct(*c) for n, c in own.items() if c})
 
 
 def _within(df, keys, order, prev, next) -> DataFrame:

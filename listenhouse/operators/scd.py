@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from listenhouse.functions.time import forever
-from listenhouse.operators.hot_keys import HotKeys
+from listenhouse.operators.hot_keys import HotKeys, position
 from listenhouse.operators.neighbours import NEXT, PREV, neighbours
 
 VALIDITY = ("rowActivationDate", "rowExpirationDate", "currRow")
@@ -99,21 +99,28 @@ def scd2_merge(
     tiebreak: Sequence[str],
     hot: HotKeys | None = None,
 ) -> DataFrame:
-    """Bring a change history up to date with new events.
+    """Bring a change history up to date with newer events.
 
-    ``existing`` is a former result of scd2_changes. Histories of keys that
-    are not in ``incoming`` are copied; the others are redone from their known
-    change points plus the new events, which also places late events right.
-    The result is written to a new table and swapped in, as plain Parquet has
-    no MERGE.
+    ``existing`` is a former result of scd2_changes. Its closed versions are
+    copied; only the open ones meet the new events, so one shuffle moves the
+    current rows and the batch, not the history. The result is written to a
+    new table and swapped in, as plain Parquet has no MERGE.
+
+    Events up to the start of a key's open version count as merged already,
+    which makes a repeated load harmless. A history that has to take in late
+    events is rebuilt from the landed events with scd2_changes.
     """
+    order = [ts, *tiebreak]
+    open_rows = current(existing).drop(*VALIDITY)
+    since = open_rows.select(
+        F.struct(*keys).alias("__open"), position(order).alias("__since")
+    )
     match = F.lit(True)
-    touched = incoming.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
     for k in keys:
-        match &= F.col(k).eqNullSafe(F.col(f"__{k}"))
-    untouched = existing.join(touched, match, "left_anti")
-    points = existing.join(touched, match, "left_semi").drop(*VALIDITY)
-    redone = scd2_changes(
-        points.unionByName(incoming.select(points.columns)), keys, tracked, ts, tiebreak, hot
+        match &= F.col(k).eqNullSafe(F.col(f"__open.{k}"))
+    newer = incoming.join(since, match, "left").where(
+        F.col("__since").isNull() | (position(order) > F.col("__since"))
     )
-    return untouched.unionByName(redone)
+    points = open_rows.unionByName(newer.select(open_rows.columns))
+    redone = scd2_changes(points, keys, tracked, ts, tiebreak, hot)
+    return existing.where(F.col("currRow") == 0).unionByName(redone)

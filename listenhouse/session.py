@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -40,24 +41,26 @@ def local_session(app_name: str = "listenhouse", cores: int | str = "*", **conf:
     return spark
 
 
+@lru_cache
+def _local_folder(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="run-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests, a laptop) a temporary folder is
-    used and remembered for the rest of the session.
+    Only a local session that names none gets a temporary folder; on a cluster
+    a machine-local folder would lose data, so there it is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    return _local_folder(context.applicationId)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def enable_checkpoints(spark: SparkSession) -> None:
-    """Point reliable checkpoints at the shared folder."""
-    spark.sparkContext.setCheckpointDir(shared_dir(spark))

@@ -18,7 +18,8 @@ def read_events(
     schema = landed_schema(topic)
     if columns is not None:
         schema = project_schema(schema, columns)
-    return spark.read.schema(schema).parquet(path)
+    # Partition columns come in addition to the read schema; leave them out.
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def read_table(spark: SparkSession, name: str, format: str | None = None, **options: str) -> DataFrame:
