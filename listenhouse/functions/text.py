@@ -30,8 +30,8 @@ def _unescape_token(token: Column) -> Column:
     char = lambda code: F.when(code < 256, F.char(code)).otherwise(token)
     return (
         F.when(~F.startswith(token, F.lit("\\")) | (F.length(token) == 1), token)
-        .when(kind.rlike("[0-7]"), char(octal))
-        .when(kind.rlike("[xuU]"), char(hexa))
+        .when(kind.between("0", "7"), char(octal))
+        .when(kind.isin("x", "u", "U"), char(hexa))
         .otherwise(F.coalesce(short[token], token))
     )
 

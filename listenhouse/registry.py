@@ -140,15 +140,11 @@ def repair_text_query(spark, sf_dir):
     docs = testdata.read(spark, sf_dir, "documents").select("doc_id", "text")
     escaped = F.replace("text", F.lit("\\"), F.lit("\\\\"))
     latin = F.decode(F.encode(escaped, "UTF-8"), "ISO-8859-1")
-    octal = F.array_join(
-        F.transform(
-            F.split(latin, ""),
-            lambda c: F.when(
-                F.ascii(c) > 127, F.concat(F.lit("\\"), F.conv(F.ascii(c), 10, 8))
-            ).otherwise(c),
-        ),
-        "",
-    )
+    runs = F.regexp_extract_all(latin, F.lit(r"([\x80-\xFF]|[^\x80-\xFF]+)"), F.lit(1))
+    escape = lambda c: F.when(
+        F.ascii(c) > 127, F.concat(F.lit("\\"), F.conv(F.ascii(c), 10, 8))
+    ).otherwise(c)
+    octal = F.array_join(F.transform(runs, escape), "")
     damaged = F.when(F.col("doc_id") % 2 == 0, latin).otherwise(octal)
     repaired = docs.select("doc_id", repair_text(damaged).alias("text"))
     return repaired.select(
@@ -618,7 +614,10 @@ def ingest_stream(spark, sf_dir):
     base = scratch_path(spark, "ingest")
     messages.select("topic", "value").write.partitionBy("topic").text(f"{base}/in")
     streams = {t: read_file_stream(spark, f"{base}/in/topic={t}") for t in TOPICS}
-    drain(start_ingest(streams, f"{base}/out", trigger=None))
+    # A backfill: folders by day, so that one batch does not open a file per hour.
+    drain(start_ingest(
+        streams, f"{base}/out", trigger=None, partition_by=["year", "month", "day"]
+    ))
     landed = [
         spark.read.parquet(f"{base}/out/{t}").withColumn("topic", F.lit(t)) for t in TOPICS
     ]

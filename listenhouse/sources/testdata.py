@@ -8,18 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from listenhouse.schemas import TOPICS, message_schema
 
 LISTEN_TYPES = ("view", "click", "purchase")
 
-ALL_COLUMNS = (
-    "event_id", "ts", "userId", "sessionId", "level", "event_type", "duration", "song", "artist",
-    "city", "state", "zip", "lat", "lon", "firstName", "lastName", "gender", "registration",
-    "userAgent",
-)
-
 # Columns that need a joined table; the others come from `events` alone.
 _JOINED = {
     "song": "part", "artist": "part",
@@ -29,33 +23,49 @@ _JOINED = {
 }
 
 
-def _columns() -> dict[str, Column]:
-    c = F.col
-    return {
-        "event_id": c("event_id"),
-        "ts": c("ts"),
-        "userId": c("user_id"),
-        "sessionId": c("user_id") * 100 + F.dayofmonth("ts"),
-        "level": F.when(c("event_type") == "purchase", "paid").otherwise("free"),
-        "event_type": c("event_type"),
-        "duration": c("value"),
-        "song": c("p_name"),
-        "artist": c("p_brand"),
-        "city": c("n_name"),
-        "state": c("r_name"),
-        "zip": F.lpad((F.lit(10000) + c("n_nationkey") * 37).cast("string"), 5, "0"),
-        "lat": c("n_nationkey").cast("double") * 1.5,
-        "lon": c("n_regionkey").cast("double") * 2.5 - 100.0,
-        "firstName": F.split_part("c_name", F.lit("#"), F.lit(1)),
-        "lastName": F.split_part("c_name", F.lit("#"), F.lit(2)),
-        "gender": F.when(c("user_id") % 2 == 0, "F").otherwise("M"),
-        "registration": F.lit(1640995200000) + c("user_id") * 86400000,
-        "userAgent": c("c_mktsegment"),
-    }
+# Each column of a listen over the joined tables.
+_EXPRESSIONS = {
+    "event_id": "event_id",
+    "ts": "ts",
+    "userId": "user_id",
+    "sessionId": "user_id * 100 + day(ts)",
+    "level": "IF(event_type = 'purchase', 'paid', 'free')",
+    "event_type": "event_type",
+    "duration": "value",
+    "song": "p_name",
+    "artist": "p_brand",
+    "city": "n_name",
+    "state": "r_name",
+    "zip": "lpad(CAST(10000 + n_nationkey * 37 AS STRING), 5, '0')",
+    "lat": "CAST(n_nationkey AS DOUBLE) * 1.5D",
+    "lon": "CAST(n_regionkey AS DOUBLE) * 2.5D - 100.0D",
+    "firstName": "split_part(c_name, '#', 1)",
+    "lastName": "split_part(c_name, '#', 2)",
+    "gender": "IF(user_id % 2 = 0, 'F', 'M')",
+    "registration": "1640995200000 + user_id * 86400000",
+    "userAgent": "c_mktsegment",
+}
+ALL_COLUMNS = tuple(_EXPRESSIONS)
+
+
+# --- fixed values: the schemas of the test tables, so a scan needs no job to
+# look into file footers first.
+SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+              "value DOUBLE, props STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+                "c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+            "p_retailprice DOUBLE",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+}
+# ---------------------------------------------------------------------------
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def all_events(
@@ -75,8 +85,7 @@ def all_events(
         df = df.join(table("nation"), F.col("n_nationkey") == F.col("k") % 25, "left")
     if "region" in needed:
         df = df.join(table("region"), F.col("r_regionkey") == F.col("n_regionkey"), "left")
-    expressions = _columns()
-    return df.select(*[expressions[c].alias(c) for c in columns])
+    return df.selectExpr(*[f"{_EXPRESSIONS[c]} AS {c}" for c in columns])
 
 
 def listen_events(
