@@ -38,9 +38,12 @@ class HotKeys:
     """
 
     cuts: DataFrame
+    most_cuts: int
     has_copies: bool
 
-    def tag(self, df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    def tag(
+        self, df: DataFrame, keys: Sequence[str], order: Sequence[str], only_hot: bool = False
+    ) -> DataFrame:
         """Add the chunk number, null for every key that is not hot.
 
         Copies that would overfill a chunk are folded into one row with a
@@ -49,8 +52,8 @@ class HotKeys:
         at = position(order)
         tagged = (
             df.withColumn(HASH, F.xxhash64(*keys))
-            .join(F.broadcast(self.cuts), HASH, "left")
-            .withColumn(CHUNK, F.when(F.col(CUTS).isNotNull(), _cuts_below(at)))
+            .join(F.broadcast(self.cuts), HASH, "inner" if only_hot else "left")
+            .withColumn(CHUNK, F.when(F.col(CUTS).isNotNull(), self._cuts_below(at)))
         )
         if not self.has_copies:
             return tagged.drop(HASH, CUTS, REPEATED)
@@ -61,6 +64,25 @@ class HotKeys:
         folded = folded.groupBy(*folded.columns).agg(F.count(F.lit(1)).alias(COPIES))
         return single.unionByName(folded)
 
+    def _cuts_below(self, at: Column) -> Column:
+        """How many of the sorted cut points lie at or below ``at``: a binary search."""
+        cuts = F.col(CUTS)
+
+        def halve(span: Column, _: Column) -> Column:
+            middle = F.shiftright(span["lo"] + span["hi"], 1)
+            return (
+                F.when(span["lo"] >= span["hi"], span)
+                .when(
+                    F.get(cuts, middle) <= at,
+                    F.struct((middle + 1).alias("lo"), span["hi"].alias("hi")),
+                )
+                .otherwise(F.struct(span["lo"].alias("lo"), middle.alias("hi")))
+            )
+
+        whole = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
+        halvings = F.sequence(F.lit(1), F.lit(self.most_cuts.bit_length()))
+        return F.aggregate(halvings, whole, halve, lambda span: span["lo"])
+
 
 def unfold(df: DataFrame, neighbours: dict[str, Column]) -> DataFrame:
     """Give folded copies back as rows, spread over the cluster.
@@ -91,29 +113,6 @@ def position(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
 
 
-def _cuts_below(at: Column) -> Column:
-    """How many of the sorted cut points lie at or below ``at``.
-
-    A binary search: 15 halvings cover MAX_CHUNKS cuts.
-    """
-    cuts = F.col(CUTS)
-
-    def halve(span: Column, _: Column) -> Column:
-        middle = F.shiftright(span["lo"] + span["hi"], 1)
-        return (
-            F.when(span["lo"] >= span["hi"], span)
-            .when(
-                F.get(cuts, middle) <= at,
-                F.struct((middle + 1).alias("lo"), span["hi"].alias("hi")),
-            )
-            .otherwise(F.struct(span["lo"].alias("lo"), middle.alias("hi")))
-        )
-
-    whole = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
-    steps = F.sequence(F.lit(1), F.lit(15))
-    return F.aggregate(steps, whole, halve, lambda span: span["lo"])
-
-
 def find_hot_keys(
     df: DataFrame,
     keys: Sequence[str],
@@ -163,5 +162,8 @@ def find_hot_keys(
     rows = cuts.collect()
     if not rows:
         return None
-    has_copies = any(row[REPEATED] for row in rows)
-    return HotKeys(spark.createDataFrame(rows, cuts.schema), has_copies)
+    return HotKeys(
+        cuts=spark.createDataFrame(rows, cuts.schema),
+        most_cuts=max(len(row[CUTS]) for row in rows),
+        has_copies=any(row[REPEATED] for row in rows),
+    )

@@ -45,7 +45,7 @@ def neighbours(
         edges.append(F.min_by(F.struct(*next), at).alias("first"))
         links.append(F.lead("first").over(across).alias("after"))
     seams = (
-        tagged.where(F.col(CHUNK).isNotNull())
+        hot.tag(df, keys, order, only_hot=True)
         .groupBy(*keys, CHUNK).agg(*edges)
         .select(
             F.struct(*keys).alias("seam_key"), F.col(CHUNK).alias("seam_chunk"), *links

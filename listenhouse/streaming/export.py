@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from listenhouse.schemas import TOPICS, message_schema
 
 EXPORT_LISTENS = 100_000
+BUCKETS = 10_000         # counts per pass that reach the driver
+SMALL_RANGE = 1_000_000  # rows that may be sorted at the end
 
 
 def read_kafka_batch(
@@ -27,24 +29,45 @@ def read_kafka_batch(
 
 
 def bounded(
-    messages: DataFrame, order: Sequence[str], listens: int = EXPORT_LISTENS
+    messages: DataFrame, order: Sequence[str], listens: int = EXPORT_LISTENS,
+    buckets: int = BUCKETS, small: int = SMALL_RANGE,
 ) -> DataFrame:
     """All messages up to the ``listens``-th listen event in ``order``.
 
-    The bound is the operator's purpose. Its cut point is found by a top-k
-    that keeps at most ``listens`` positions per task; the messages themselves
-    are only filtered.
+    The bound is the operator's purpose. Its place is found by counting: each
+    pass counts the listens in equal ranges of the first order column, and the
+    range that holds the wanted one is counted again, finer. Only counts, at
+    most ``buckets`` per pass, reach the driver; rows are sorted only in the
+    last, small range. With fewer listens than asked for, all messages stay.
     """
-    position = F.struct(*order)
-    last = (
-        messages.where(F.col("topic") == "listen_events")
-        .select(position.alias("at")).orderBy("at").limit(listens)
-        .agg(F.max("at").alias("at"), F.count("at").alias("n"))
+    first = F.unix_micros(order[0]) if _is_time(messages, order[0]) else F.col(order[0])
+    rows = messages.where(F.col("topic") == "listen_events").select(
+        first.cast("bigint").alias("at"), F.struct(*order).alias("position")
     )
-    # Fewer listens than asked for: everything there is.
-    cut = last.where(F.col("n") >= listens).select("at")
-    stop = cut.scalar()
-    return messages.where(stop.isNull() | (position <= stop))
+    low, high, count = rows.agg(F.min("at"), F.max("at"), F.count("at")).first()
+    if count < listens:
+        return messages
+    missing = listens
+    while low < high and count > small:
+        width = -(-(high - low + 1) // buckets)
+        ranges = rows.where(F.col("at").between(low, high)).groupBy(
+            F.floor((F.col("at") - low) / width).alias("bucket")
+        ).count().orderBy("bucket").collect()
+        for bucket, count in ranges:  # noqa: B007 - the last values are used
+            if missing <= count:
+                break
+            missing -= count
+        low += bucket * width
+        high = min(high, low + width - 1)
+    stop = (
+        rows.where(F.col("at").between(low, high))
+        .orderBy("position").limit(missing).agg(F.max("position"))
+    ).scalar()
+    return messages.where(F.struct(*order) <= stop)
+
+
+def _is_time(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.TimestampType)
 
 
 def export_topics(messages: DataFrame, out_dir: str, topics: Sequence[str] = tuple(TOPICS)) -> None:

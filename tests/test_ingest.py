@@ -104,16 +104,30 @@ def test_one_failing_query_stops_all(spark, folder):
     assert not any(q.isActive for q in queries.values())
 
 
-@pytest.mark.parametrize("listens", [0, 1, 250, 600, 10_000])
-def test_bounded_export(spark, folder, listens):
+@pytest.mark.parametrize("listens", [1, 250, 599, 600, 10_000])
+@pytest.mark.parametrize("small, buckets", [(1_000_000, 10_000), (3, 7)])
+def test_bounded_export(spark, listens, small, buckets):
     rows = testdata.messages(spark, SF_DIR)
-    kept = bounded(rows, ["position"], listens)
-    if listens == 0:
-        return
-    positions = sorted(r[0] for r in rows.where("topic = 'listen_events'").select("position").collect())
-    stop = positions[listens - 1] if listens <= len(positions) else None
-    want = rows.where(F.col("position") <= stop).count() if stop is not None else rows.count()
-    assert kept.count() == want
+    kept = bounded(rows, ["position"], listens, buckets, small)
+    positions = sorted(
+        r[0] for r in rows.where("topic = 'listen_events'").select("position").collect()
+    )
+    if listens <= len(positions):
+        rows = rows.where(F.col("position") <= positions[listens - 1])
+    assert kept.count() == rows.count()
+
+
+def test_bounded_by_time_with_ties(spark):
+    """Many messages at one time: the rest of the order decides."""
+    rows = spark.range(500).select(
+        F.when(F.col("id") % 5 == 0, "auth_events").otherwise("listen_events").alias("topic"),
+        F.timestamp_seconds(F.when(F.col("id") < 400, 7).otherwise(F.col("id"))).alias("timestamp"),
+        F.col("id").alias("offset"),
+    )
+    listens = [i for i in range(500) if i % 5]
+    for n in (1, 100, 300, 350, 400):
+        kept = bounded(rows, ["timestamp", "offset"], n, buckets=4, small=2)
+        assert kept.count() == listens[n - 1] + 1
 
 
 def test_export_writes_every_topic(spark, folder):
