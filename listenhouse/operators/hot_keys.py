@@ -23,7 +23,8 @@ REPEATED, COPIES, BLOCK = "__repeated", "__copies", "__block"
 # Bounds on what reaches the driver and is broadcast, whatever the table size.
 MAX_HOT_KEYS = 1_000       # a key that is not split holds < 1/1000 of all rows
 MAX_CHUNKS = 20_000        # all chunks of all hot keys together
-TRACKED_KEYS = 20_000      # size of the frequent-items sketch
+TRACKED_KEYS = 8_000       # size of the frequent-items sketch
+SKETCH_GROUPS = 1_000      # sketches that meet in the last merge
 SAMPLES_PER_CHUNK = 100
 MIN_ROWS = 2_000_000       # no key below this is worth splitting
 COPIES_PER_BLOCK = 100_000
@@ -125,10 +126,22 @@ def find_hot_keys(
     rows. Pass the narrowest frame that has ``keys`` and ``order``.
     """
     spark = df.sparkSession
-    top_k = f"approx_top_k({HASH}, {MAX_HOT_KEYS}, {TRACKED_KEYS})"
-    found = df.select(F.xxhash64(*keys).alias(HASH)).agg(
-        F.count(F.lit(1)).alias("rows"), F.expr(top_k).alias("top")
-    ).first()
+    # Sketches are merged as a tree: per group of input partitions, then once.
+    group = (F.spark_partition_id() % SKETCH_GROUPS).alias("group")
+    found = (
+        df.select(F.xxhash64(*keys).alias(HASH))
+        .groupBy(group).agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.expr(f"approx_top_k_accumulate({HASH}, {TRACKED_KEYS})").alias("sketch"),
+        )
+        .groupBy(F.lit("all")).agg(  # no row at all for empty input
+            F.sum("rows").alias("rows"), F.expr("approx_top_k_combine(sketch)").alias("sketch")
+        )
+        .select("rows", F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT_KEYS})").alias("top"))
+        .first()
+    )
+    if found is None:
+        return None
 
     floor = max(min_rows, found["rows"] // MAX_HOT_KEYS)
     target = max(min_rows, found["rows"] // MAX_CHUNKS)

@@ -84,3 +84,8 @@ def test_plain_plan_has_one_exchange(skewed):
     df = neighbours(skewed, ["user"], ["t", "id"], prev=["t"], next=["lat"])
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.count("Window") == 1
+
+
+def test_empty_input(spark):
+    df = spark.range(0).select("id", F.col("id").alias("user"))
+    assert find_hot_keys(df, ["user"], ["id"], min_rows=1) is None

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from listenhouse.plans.jobs import landed_listens, load_dimensions, load_fact, load_warehouse
-from listenhouse.sinks.tables import append_new, write_by_hour, write_table
+from listenhouse.sinks.tables import append_new, overwrite, write_by_hour, write_table
 from listenhouse.sources import testdata
 from listenhouse.sources.tables import read_table, register, table_exists
 from listenhouse.streaming.ingest import parse_events
@@ -87,3 +87,27 @@ def test_tables(spark, folder):
     assert read_table(spark, "v_five").count() == 5 and table_exists(spark, "v_five")
     with pytest.raises(Exception):
         table_exists(spark, "x", "no_such_format")
+
+
+def test_command_line(spark, folder):
+    """Ingest from files, then load; twice."""
+    from listenhouse.__main__ import main
+
+    messages = testdata.messages(spark, SF_DIR).where("topic = 'listen_events'")
+    messages.select("value").write.text(f"{folder}/in/listen_events")
+    for _ in range(2):
+        main(["ingest", f"{folder}/out", "--files", f"{folder}/in", "--once",
+              "--topics", "listen_events"])
+        main(["load", f"{folder}/out/listen_events", f"{folder}/wh"])
+    assert spark.read.parquet(f"{folder}/wh/fact_streams").count() == 600
+
+
+def test_model_as_table_or_view(spark, folder):
+    """A model rebuilt in full, as a table and as a view."""
+    df = spark.range(4)
+    for _ in range(2):
+        assert overwrite(df, "model_table", format=None, path=f"{folder}/m") == 4
+    assert read_table(spark, "model_table").count() == 4
+    register({"model_view": read_table(spark, "model_table").where("id > 1")})
+    assert spark.table("model_view").count() == 2
+    spark.sql("DROP TABLE model_table")
