@@ -15,7 +15,7 @@ import os
 from listenhouse.plans.jobs import landed_listens, load_dimensions, load_fact, load_warehouse
 from listenhouse.schemas import TOPICS
 from listenhouse.session import get_session
-from listenhouse.streaming.export import EXPORT_LISTENS, bounded, export_topics, read_kafka_batch
+from listenhouse.streaming.export import EXPORT_LISTENS, export_topics, read_kafka_batch
 from listenhouse.streaming.ingest import (
     drain, read_file_stream, read_kafka_stream, start_ingest, supervise,
 )
@@ -72,8 +72,7 @@ def main(argv: list[str] | None = None) -> None:
         print(load_fact(spark, landed_listens(spark, args.events), args.warehouse))
     elif args.job == "export":
         messages = read_kafka_batch(spark, args.address, args.port)
-        order = ["timestamp", "partition", "offset"]
-        export_topics(bounded(messages, order, args.listens), args.out)
+        export_topics(messages, args.out, ["timestamp", "partition", "offset"], args.listens)
 
 
 if __name__ == "__main__":

@@ -27,7 +27,7 @@ from listenhouse.session import scratch_path
 from listenhouse.sinks.tables import write_by_hour
 from listenhouse.sources import testdata
 from listenhouse.sources.calendar import calendar_hours, calendar_hours_sequence, whole_years
-from listenhouse.streaming.export import bounded, export_topics
+from listenhouse.streaming.export import export_topics
 from listenhouse.streaming.ingest import drain, read_file_stream, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -635,7 +635,7 @@ def ingest_stream(spark, sf_dir):
 def export_topics_query(spark, sf_dir):
     """The bounded export, read back from its CSV files."""
     out = scratch_path(spark, "export")
-    export_topics(bounded(testdata.messages(spark, sf_dir), ["position"]), out)
+    export_topics(testdata.messages(spark, sf_dir), out, ["position"])
     ids = "itemInSession bigint, userId bigint, sessionId bigint, ts bigint"
     rows = [
         spark.read.option("header", True).csv(f"{out}/{t}").select(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from listenhouse.schemas import TOPICS, message_schema
+from listenhouse.session import scratch_path
 
 EXPORT_LISTENS = 100_000
 BUCKETS = 10_000         # counts per pass that reach the driver
@@ -70,10 +71,23 @@ def _is_time(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, T.TimestampType)
 
 
-def export_topics(messages: DataFrame, out_dir: str, topics: Sequence[str] = tuple(TOPICS)) -> None:
-    """One CSV folder per topic, as sent: `ts` stays in milliseconds."""
+def export_topics(
+    messages: DataFrame, out_dir: str, order: Sequence[str],
+    listens: int | None = EXPORT_LISTENS, topics: Sequence[str] = tuple(TOPICS),
+) -> None:
+    """One CSV folder per topic, as sent: `ts` stays in milliseconds.
+
+    The messages are read once, into a staging table by topic. The counting
+    passes and the topics then all see the same messages, and each topic reads
+    only its own folder.
+    """
+    spark = messages.sparkSession
+    stage = scratch_path(spark, "messages")
     text = F.col("value").cast("string")
+    messages.select("topic", *order, text.alias("value")).write.partitionBy("topic").parquet(stage)
+    staged = spark.read.parquet(stage)
+    kept = staged if listens is None else bounded(staged, order, listens)
     for topic in topics:
-        rows = messages.where(F.col("topic") == topic)
-        parsed = rows.select(F.from_json(text, message_schema(topic)).alias("d")).select("d.*")
+        rows = kept.where(F.col("topic") == topic)
+        parsed = rows.select(F.from_json("value", message_schema(topic)).alias("d")).select("d.*")
         parsed.write.mode("overwrite").option("header", True).csv(f"{out_dir}/{topic}")

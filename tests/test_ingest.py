@@ -131,7 +131,10 @@ def test_bounded_by_time_with_ties(spark):
 
 
 def test_export_writes_every_topic(spark, folder):
-    export_topics(testdata.messages(spark, SF_DIR), f"{folder}/csv")
-    for topic in TOPICS:
-        rows = spark.read.option("header", True).csv(f"{folder}/csv/{topic}")
-        assert set(rows.columns) == set(message_schema(topic).names) and rows.count() > 0
+    for listens, expected in ((None, 600), (100, 100)):
+        out = f"{folder}/csv-{listens}"
+        export_topics(testdata.messages(spark, SF_DIR), out, ["position"], listens)
+        for topic in TOPICS:
+            rows = spark.read.option("header", True).csv(f"{out}/{topic}")
+            assert set(rows.columns) == set(message_schema(topic).names) and rows.count() > 0
+        assert spark.read.option("header", True).csv(f"{out}/listen_events").count() == expected
