@@ -21,6 +21,12 @@ from listenhouse.sinks.tables import append_new, append_new_facts, overwrite, wr
 from listenhouse.sources.calendar import calendar_hours, whole_years
 from listenhouse.sources.tables import read_events
 
+# What the fact table is made from.
+FACT_SOURCE = (
+    "ts", "userId", "sessionId", "itemInSession", "song", "artist", "duration",
+    "city", "zip", "state", "lat", "lon",
+)
+
 # Order of events at the same time, where the messages carry no id of their own.
 TIEBREAK = ("itemInSession", "rowHash")
 
@@ -35,7 +41,11 @@ DIMENSIONS: dict[str, tuple[Callable[[DataFrame], DataFrame], str]] = {
 
 def landed_listens(spark: SparkSession, path: str) -> DataFrame:
     """Landed listen events with a hash of the row that completes their order."""
-    events = read_events(spark, path)
+    return with_row_hash(read_events(spark, path))
+
+
+def with_row_hash(events: DataFrame) -> DataFrame:
+    """Rows that are equal in all columns are the only ones left tied."""
     return events.withColumn("rowHash", F.xxhash64(*events.columns))
 
 
@@ -67,6 +77,8 @@ def load_fact(
     """
     read = lambda name: spark.read.parquet(f"{warehouse}/dim_{name}")
     tables = {n: read(n) for n in ("user", "artist", "song", "location", "session", "datetime")}
+    # The hash is redone over these columns alone, so the scan reads no others.
+    events = with_row_hash(events.select(*FACT_SOURCE))
     order = ["ts", *TIEBREAK]
     hot = find_hot_keys(events.select("userId", *order), ["userId"], order, min_rows)
     joined = star_join(listen_features(events, TIEBREAK, hot=hot), tables)
