@@ -11,7 +11,7 @@ from listenhouse.sources.tables import read_table
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet", format="parquet")
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
