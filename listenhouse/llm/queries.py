@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from listenhouse.llm import near_dedup
+from listenhouse.llm import decontaminate, fingerprints, html_text, language, mixing, near_dedup, secrets, sharding, substring_dedup, token_counts
 from listenhouse.sources.tables import read_table
 
 
@@ -20,6 +20,60 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that occur in every document."""
+    return decontaminate.digest(decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document."""
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"))
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, and whose they are."""
+    return secrets.find_secrets(_table(spark, sf_dir, "documents"))
+
+
+def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards of equal bytes."""
+    return sharding.shard_documents(_table(spark, sf_dir, "documents"), n_shards=8)
+
+
+def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three fifths of all tokens, mixed by weights, with up to two epochs of a source."""
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"), (3, 5), MIX_WEIGHTS, max_epochs=2)
+    return mixed.select("doc_id", "domain", "lang", "source", "epoch", "n_tokens", "budget")
+
+
+#: Target weights of op6; what is not named weighs 1.
+MIX_WEIGHTS = {"domain": {"d0": 5, "d1": 3, "d2": 2}, "lang": {"en": 4, "de": 3, "es": 2}}
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated passages."""
+    return substring_dedup.repeated_spans(_table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text."""
+    return fingerprints.fingerprint(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_near_dedup": op1_near_dedup,
+    f.__name__: f
+    for f in (
+        op1_near_dedup, op2_decontaminate, op3_token_counts, op4_secrets, op5_shards, op6_mix, op7_html_text, op8_substring_dedup, op9_language,
+        op10_fingerprints,
+    )
 }

@@ -1,0 +1,114 @@
+"""Secret scan with corpus-wide ownership frequency.
+
+Candidates are found by pattern in whole texts, natively. The hash of each
+candidate's value is counted over the corpus by distinct repositories and
+distinct owners: a value that at least ``WIDE_OWNERS`` owners hold is a widely copied
+example, one of fewer owners is live-looking and owner-specific.
+
+Kinds ``assign``, ``access`` and ``hex`` are always reported. Kind ``live`` adds
+mixed-case tokens with digits that no base span covers, where their ownership
+says that they are owner-specific.
+
+Spans are kind:start:end in code points, end exclusive. Matches of one kind do
+not overlap and go from the left; what fails the length rule is dropped after
+matching, and text it covered is not matched again.
+
+Defined results: null text has no spans; null owner or repository count as one
+owner or repository, the empty one; rows that repeat an id are scanned each on its own
+text. Other columns play no part. A value that a third of all rows hold costs one
+row per task and owner in the count, as it combines before the shuffle.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from listenhouse.llm.staging import stage
+
+#: A value held by at least so many owners is a widely copied example.
+WIDE_OWNERS = 3
+
+# The patterns of the base kinds, in the order in which ties are listed.
+ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ASSIGN_VALUE = r"""(?i)^(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?(.*)$"""
+ACCESS = r"AKIA[A-Z0-9]{16,}"  # AKIA and more, 20 characters at least
+HEX = r"[0-9a-f]{24,}"
+#: Candidates of the added kind: words of 20 or more with lower case, upper case and digit.
+LIVE = r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*[0-9])(?=[A-Z0-9_-]*[a-z])(?=[a-z0-9_-]*[A-Z])[A-Za-z0-9_-]{20,}"
+KINDS = ("assign", "access", "hex", "live")
+
+_SPAN = "struct<start:int,kind:int,stop:int,value:string>"
+
+
+def matches(text: Column, pattern: str, kind: int, value: str | None = None, least: int = 0) -> Column:
+    """Array of (start, kind, stop, value) of all matches: pieces between the matches give the places."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    between = F.split(text, pattern, -1)
+    lengths = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda gap, hit: F.struct(F.char_length(gap).alias("gap"), hit.alias("hit")))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("spans"))
+
+    def step(state: Column, x: Column) -> Column:
+        begin = state["at"] + x["gap"]
+        stop = begin + F.char_length(x["hit"])
+        own = F.regexp_extract(x["hit"], value, 1) if value else x["hit"]
+        span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), stop.alias("stop"), own.alias("value"))
+        return F.struct(stop.alias("at"), F.concat(state["spans"], F.array(span.cast(_SPAN))).alias("spans"))
+
+    spans = F.aggregate(lengths, start, step, lambda state: state["spans"])
+    if least:
+        spans = F.filter(spans, lambda s: F.char_length(s["value"]) >= least)
+    # Most texts have no match; one cheap search decides.
+    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(f"array<{_SPAN}>"))
+
+
+def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repository: str = "doc_id", owner: str = "source") -> DataFrame:
+    """Per row: doc_id, repository, owner, row key, base spans, and candidates of the added kind; values are SHA-256."""
+    t = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    rows = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(repository).cast("string"), F.lit("")).alias("repository"),
+        F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"), F.xxhash64(t).alias("text_hash"),
+        matches(t, ASSIGN, 0, ASSIGN_VALUE, 6).alias("a"), matches(t, ACCESS, 1).alias("k"), matches(t, HEX, 2).alias("h"), matches(t, LIVE, 3).alias("l"),
+    )
+    hashed = lambda c: F.transform(c, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["stop"].alias("stop"), F.sha2(s["value"], 256).alias("value")))
+    base = F.array_sort(F.concat("a", "k", "h"))
+    free = F.filter("l", lambda x: ~F.exists("base", lambda b: (b["start"] < x["stop"]) & (x["start"] < b["stop"])))
+    return (
+        rows.withColumn("base", base).withColumn("added", free)
+        .select("doc_id", "repository", "owner", "text_hash", hashed(F.col("base")).alias("base"), hashed(F.col("added")).alias("added"))
+    )
+
+
+def ownership(candidates: DataFrame) -> DataFrame:
+    """Per value: in how many repositories and by how many owners it is held, and whether it is widely copied."""
+    by_owner = candidates.groupBy("value", "owner").agg(F.lit(1).alias("one"))
+    by_repository = candidates.groupBy("value", "repository").agg(F.lit(1).alias("one"))
+    owners = by_owner.groupBy("value").agg(F.count("one").alias("owners"))
+    repositories = by_repository.groupBy("value").agg(F.count("one").alias("repositories"))
+    return owners.join(repositories, "value").withColumn("wide", F.col("owners") >= WIDE_OWNERS)
+
+
+def joined(spans: Column) -> Column:
+    """kind:start:stop by start, then kind, comma-joined."""
+    name = lambda s: F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1)
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", name(s), s["start"], s["stop"])), ",")
+
+
+def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repository: str = "doc_id", owner: str = "source") -> DataFrame:
+    """Per row the base and all spans, their counts by kind, and how many values are owner-specific (n_live) or widely copied (n_wide)."""
+    rows = stage(scan(docs, doc_id, text, repository, owner), "secrets")
+    candidates = rows.select("doc_id", "text_hash", "repository", "owner", F.explode(F.concat("base", "added")).alias("s")).select("*", "s.value")
+    judged = candidates.join(ownership(candidates), "value").select("doc_id", "text_hash", "owner", "s", "wide")
+    per_row = judged.groupBy("doc_id", "text_hash", "owner").agg(
+        F.collect_set(F.when(~F.col("wide") & (F.col("s.kind") == 3), F.col("s"))).alias("live"),
+        F.count_distinct(F.when(~F.col("wide"), F.col("s.value"))).alias("n_live"), F.count_distinct(F.when(F.col("wide"), F.col("s.value"))).alias("n_wide"),
+    )
+    k = "__key"
+    left = rows.withColumn(k, F.struct(F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(), "text_hash", "owner"))
+    right = per_row.select(F.struct(F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(), "text_hash", "owner").alias(k), "live", "n_live", "n_wide")
+    every = F.array_sort(F.concat("base", F.coalesce("live", F.array().cast("array<struct<start:int,kind:int,stop:int,value:string>>"))))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return left.join(right, k, "left").select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+        joined(every).alias("spans"), F.coalesce("n_live", F.lit(0)).alias("n_live"), F.coalesce("n_wide", F.lit(0)).alias("n_wide"),
+    )
