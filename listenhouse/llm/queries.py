@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from listenhouse.llm import decontaminate, fingerprints, html_text, language, mixing, near_dedup, secrets, sharding, substring_dedup, token_counts
+from listenhouse.llm import decontaminate, fingerprints, html_text, language, mixing, near_dedup, secret_scan, sharding, substring_dedup, token_counts
 from listenhouse.sources.tables import read_table
 
 
@@ -32,7 +32,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, and whose they are."""
-    return secrets.find_secrets(_table(spark, sf_dir, "documents"))
+    return secret_scan.find_secrets(_table(spark, sf_dir, "documents"))
 
 
 def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

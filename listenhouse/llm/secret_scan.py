@@ -34,8 +34,8 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ASSIGN_VALUE = r"""(?i)^(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?(.*)$"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"  # AKIA and more, 20 characters at least
 HEX = r"[0-9a-f]{24,}"
-#: Candidates of the added kind: words of 20 or more with lower case, upper case and digit.
-LIVE = r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*[0-9])(?=[A-Z0-9_-]*[a-z])(?=[a-z0-9_-]*[A-Z])[A-Za-z0-9_-]{20,}"
+#: Candidates of the added kind: such words that have a digit, a lower-case and an upper-case letter.
+LIVE = r"[A-Za-z0-9_-]{20,}"
 KINDS = ("assign", "access", "hex", "live")
 
 _SPAN = "struct<start:int,kind:int,stop:int,value:string>"
@@ -72,7 +72,8 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repository
     )
     hashed = lambda c: F.transform(c, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["stop"].alias("stop"), F.sha2(s["value"], 256).alias("value")))
     base = F.array_sort(F.concat("a", "k", "h"))
-    free = F.filter("l", lambda x: ~F.exists("base", lambda b: (b["start"] < x["stop"]) & (x["start"] < b["stop"])))
+    looks = lambda v: v.rlike("[0-9]") & v.rlike("[a-z]") & v.rlike("[A-Z]")
+    free = F.filter("l", lambda x: looks(x["value"]) & ~F.exists("base", lambda b: (b["start"] < x["stop"]) & (x["start"] < b["stop"])))
     return (
         rows.withColumn("base", base).withColumn("added", free)
         .select("doc_id", "repository", "owner", "text_hash", hashed(F.col("base")).alias("base"), hashed(F.col("added")).alias("added"))

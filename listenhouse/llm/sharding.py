@@ -8,7 +8,7 @@ level are split together.
 
 Medians are found by histogram refinement, without sorting: every round sums
 the bytes of ``BINS`` ranges of each node and goes on inside the range that
-holds the median, until one value is left. Sums combine before the shuffle,
+holds the median, until it has one value or 1/``SLACK`` of the node. Sums combine before the shuffle,
 so neither a hot value nor a large node meets in one task; equal values, such
 as a third of all rows being copies of one text, are split by doc_id.
 
@@ -31,7 +31,10 @@ from listenhouse.llm.staging import stage
 BINS = 1024
 #: Rows of a (shard, bin) that are numbered together, on average.
 SLOT_ROWS = 100_000
+#: A median is settled where at most this part of the node's bytes is in its range.
+SLACK = 20_000
 _TOP = 1 << 31
+_FIRST, _LAST = -(1 << 63), (1 << 63) - 1
 
 
 def metadata(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", categories: tuple[str, ...] = ("source", "lang")) -> DataFrame:
@@ -44,27 +47,36 @@ def metadata(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", catego
 
 
 def _refined(rows: DataFrame, goals: DataFrame) -> DataFrame:
-    """(node, cut, below): the least key at which the weight up to it reaches ``goal``, and the weight under it.
+    """(node, lo, hi, below, held): the range of keys in which the weight reaches ``goal``, the weight under it and in it.
 
-    ``rows`` has node, key, weight; ``goals`` has node, goal.
+    Refined until the range has one key or at most ``slack``. ``rows`` has node, key, weight; ``goals`` has node, goal, slack.
     """
-    state = rows.groupBy("node").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).join(goals, "node")
-    state = stage(state.select("node", "goal", "lo", "hi", F.lit(0).cast("long").alias("below")), "median")
-    while state.where("lo < hi").limit(1).count():
+    state = rows.groupBy("node").agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.sum("weight").alias("held")).join(goals, "node")
+    names = ["node", "goal", "slack", "lo", "hi", "below", "held"]
+    state = stage(state.withColumn("below", F.lit(0).cast("long")).select(*names), "median")
+    is_open = (F.col("lo") < F.col("hi")) & (F.col("held") > F.col("slack"))
+    while not state.where(is_open).isEmpty():
         # Decimals: a range may be wider than 63 bits.
         width = F.expr("cast((cast(hi as decimal(20,0)) - lo) div %d + 1 as decimal(20,0))" % BINS).alias("width")
-        inside = rows.join(state.where("lo < hi").select("node", "lo", "hi", width), "node").where("key between lo and hi")
+        inside = rows.join(state.where(is_open).select("node", "lo", "hi", width), "node").where("key between lo and hi")
         quotient = F.expr("(cast(key as decimal(20,0)) - lo) div width")
-        bins = inside.withColumn("bin", quotient).groupBy("node", "bin").agg(F.sum("weight").alias("w"), F.min("key").alias("lo"), F.max("key").alias("hi"))
-        upto = F.sum("w").over(Window.partitionBy("node").orderBy("bin"))
+        bins = inside.withColumn("bin", quotient).groupBy("node", "bin").agg(F.sum("weight").alias("w"), F.min("key").alias("l"), F.max("key").alias("h"))
+        own = Window.partitionBy("node")
         found = (
-            bins.withColumn("upto", upto).join(state.select("node", "goal", "below"), "node")
-            .withColumn("last", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("bin"))))
-            .where((F.col("below") + F.col("upto") >= F.col("goal")) | (F.col("last") == 1))
-            .groupBy("node", "goal", "below").agg(F.min(F.struct("bin", "lo", "hi", (F.col("upto") - F.col("w")).alias("under"))).alias("s"))
+            bins.withColumn("upto", F.sum("w").over(own.orderBy("bin"))).withColumn("last", F.max("bin").over(own))
+            .join(state.select("node", "goal", "slack", "below"), "node")
+            .where((F.col("below") + F.col("upto") >= F.col("goal")) | (F.col("bin") == F.col("last")))
+            .groupBy("node", "goal", "slack", "below").agg(F.min(F.struct("bin", "l", "h", "upto", "w")).alias("s"))
         )
-        state = stage(state.where("lo = hi").union(found.select("node", "goal", "s.lo", "s.hi", F.col("below") + F.col("s.under"))), "median")
-    return state.select("node", F.col("lo").alias("cut"), "below")
+        found = found.select("node", "goal", "slack", F.col("s.l").alias("lo"), F.col("s.h").alias("hi"), (F.col("below") + F.col("s.upto") - F.col("s.w")).alias("below"), F.col("s.w").alias("held"))
+        state = stage(state.where(~is_open).select(*names).union(found.select(*names)), "median")
+    return state
+
+
+def _cut() -> Column:
+    """The last key of the left side: the range goes where its end or its start is nearer the goal."""
+    up = (F.col("below") + F.col("held") - F.col("goal")) <= (F.col("goal") - F.col("below"))
+    return F.when(up, F.col("hi")).otherwise(F.col("lo") - 1)
 
 
 def _widest(n: int) -> Column:
@@ -91,18 +103,19 @@ def kd_shards(rows: DataFrame, n_shards: int | None = None, target_bytes: int |
         nodes = large.groupBy("node", "quota").agg(
             F.sum("size").alias("total"), *[(F.max(F.col("dims")[i]) - F.min(F.col("dims")[i])).alias(f"range{i}") for i in range(n_dims)]
         ).join(F.broadcast(whole))  # one row
-        nodes = stage(nodes.select("node", "quota", _widest(n_dims).alias("dim"), F.expr("total * (quota div 2) div quota").cast("long").alias("goal")), "nodes")
+        nodes = stage(nodes.select("node", "quota", _widest(n_dims).alias("dim"), F.expr("total * (quota div 2) div quota").cast("long").alias("goal"), F.expr(f"total div {SLACK}").alias("slack")), "nodes")
         key = F.shiftleft(F.get("dims", "dim"), 32) + F.col("text_crc32")
         keyed = large.join(nodes.select("node", "dim"), "node").select("node", key.alias("key"), "doc_id", F.col("size").alias("weight"))
-        first = stage(_refined(keyed.select("node", "key", "weight"), nodes.select("node", "goal")), "cuts")
-        equal = keyed.join(first.withColumnRenamed("cut", "key"), ["node", "key"])
-        second = _refined(
-            equal.select("node", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key"), "weight"),
-            nodes.join(first, "node").select("node", (F.col("goal") - F.col("below")).alias("goal")),
-        )
-        cuts = nodes.select("node", "dim").join(first.select("node", "cut"), "node").join(second.select("node", F.col("cut").alias("last")), "node")
-        cuts = stage(cuts, "cuts")
-        left = (key < F.col("cut")) | ((key == F.col("cut")) & (F.coalesce("doc_id", F.lit(-(1 << 63))) <= F.col("last")))
+        first = _refined(keyed.select("node", "key", "weight"), nodes.select("node", "goal", "slack"))
+        # One key with more than the slack: its rows are split by doc_id.
+        hot = first.where("lo = hi and held > slack")
+        cuts = first.where("not (lo = hi and held > slack)").select("node", _cut().alias("cut"), F.lit(_LAST).alias("last"))
+        if not hot.isEmpty():
+            equal = keyed.join(hot.select("node", F.col("lo").alias("key")), ["node", "key"])
+            second = _refined(equal.select("node", F.coalesce("doc_id", F.lit(_FIRST)).alias("key"), "weight"), hot.select("node", (F.col("goal") - F.col("below")).alias("goal"), "slack"))
+            cuts = cuts.union(hot.select("node", F.col("lo").alias("cut")).join(second.select("node", _cut().alias("last")), "node"))
+        cuts = stage(nodes.select("node", "dim").join(cuts, "node"), "cuts")
+        left = (key < F.col("cut")) | ((key == F.col("cut")) & (F.coalesce("doc_id", F.lit(_FIRST)) <= F.col("last")))
         smaller = F.expr("quota div 2").cast("int")
         split = rows.join(cuts, "node", "left").select(
             "doc_id", "size", "text_crc32", "dims",
