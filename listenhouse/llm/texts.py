@@ -16,7 +16,7 @@ _PER_BUCKET = 1 << 15  # of bitmap_construct_agg
 def pack(column: pa.Array) -> pa.Array:
     """Each text by itself under zstd; null stays null."""
     engine = zstandard.ZstdCompressor(level=3, write_checksum=False)
-    return pa.array([None if t is None else engine.compress(t.as_buffer()) for t in column.cast(pa.binary())], pa.binary())
+    return pa.array([engine.compress(t.as_buffer()) if t.is_valid else None for t in column.cast(pa.binary())], pa.binary())
 
 
 def unpack(column: pa.Array) -> pa.Array:
