@@ -13,9 +13,9 @@ import argparse
 import os
 
 from listenhouse.plans.jobs import landed_listens, load_dimensions, load_fact, load_warehouse
-from listenhouse.schemas import TOPICS
+from listenhouse.schemas import TIME_PARTS, TOPICS
 from listenhouse.session import get_session
-from listenhouse.streaming.export import EXPORT_LISTENS, export_topics, read_kafka_batch
+from listenhouse.streaming.export import export_topics, read_kafka_batch
 from listenhouse.streaming.ingest import (
     drain, read_file_stream, read_kafka_stream, start_ingest, supervise,
 )
@@ -35,6 +35,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     ingest.add_argument("--trigger", default="120 seconds")
     ingest.add_argument("--once", action="store_true", help="read all there is and stop")
     ingest.add_argument("--on-bad", default="null", choices=["null", "drop", "quarantine"])
+    ingest.add_argument("--offsets", default="earliest", help="where a new stream starts")
+    ingest.add_argument("--stop-on-loss", action="store_true", help="fail where messages are gone")
+    ingest.add_argument("--partition-by", nargs="+", default=None, choices=["year", "month", "day", "hour"])
     ingest.add_argument("--topics", nargs="+", default=list(TOPICS), choices=list(TOPICS))
 
     for name in ("load", "dims", "fact"):
@@ -46,7 +49,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     export.add_argument("out")
     export.add_argument("--address", default=os.getenv("KAFKA_ADDRESS", "localhost"))
     export.add_argument("--port", default="9092")
-    export.add_argument("--listens", type=int, default=EXPORT_LISTENS)
+    export.add_argument("--listens", type=int, default=None, help="stop at this listen event; default: all")
     return parser.parse_args(argv)
 
 
@@ -57,9 +60,12 @@ def main(argv: list[str] | None = None) -> None:
         if args.files:
             streams = {t: read_file_stream(spark, f"{args.files}/{t}") for t in args.topics}
         else:
-            streams = {t: read_kafka_stream(spark, args.address, args.port, t) for t in args.topics}
+            streams = {
+                t: read_kafka_stream(spark, args.address, args.port, t, args.offsets, args.stop_on_loss)
+                for t in args.topics
+            }
         trigger = None if args.once else args.trigger
-        queries = start_ingest(streams, args.out, trigger, args.on_bad)
+        queries = start_ingest(streams, args.out, trigger, args.on_bad, args.partition_by or TIME_PARTS)
         if args.once:
             drain(queries)
         else:

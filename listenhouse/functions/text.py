@@ -18,6 +18,10 @@ SHORT_ESCAPES = {
     "\\a": "\x07", "\\b": "\b", "\\f": "\f", "\\n": "\n", "\\r": "\r", "\\t": "\t",
     "\\v": "\x0b", "\\\\": "\\", '\\"': '"', "\\'": "'", "\\\n": "",
 }
+# Characters an encoding can hold.
+REACH = {"ISO-8859-1": r"\A[\x00-\xFF]*\z", "US-ASCII": r"\A[\x00-\x7F]*\z"}
+WHOLE_ESCAPES = r"""(?s)\\([0-3][0-7]{0,2}|[4-7][0-7]?(?![0-7])|x[0-9a-fA-F]{2}|u00[0-9a-fA-F]{2}|U000000[0-9a-fA-F]{2}|[^xuUN0-7])"""
+BROKEN_ESCAPE = r"\\"
 # ---------------------------------------------------------------------------
 
 
@@ -43,14 +47,22 @@ def unescape(c: Column) -> Column:
     return F.when(F.contains(c, F.lit("\\")), decoded).otherwise(c)
 
 
-def latin1_as_utf8(c: Column) -> Column:
-    """Read Latin-1 characters back as the UTF-8 bytes they were."""
-    as_bytes = F.encode(c, "ISO-8859-1")
-    text = F.try_validate_utf8(as_bytes.cast("string"))
-    return F.when(c.rlike(r"\A[\x00-\xFF]*\z"), F.coalesce(text, c)).otherwise(c)
+def encoded(c: Column, encoding: str = "ISO-8859-1") -> Column:
+    """Read the characters of an encoding back as the UTF-8 bytes they were; null where that fails."""
+    wide = F.encode(F.when(c.rlike(REACH[encoding]), c), encoding)
+    return F.try_validate_utf8(wide.cast("string"))
 
 
-def repair_text(c: str | Column) -> Column:
-    """Unescape, re-read as UTF-8, strip outer double quotes."""
+def repair_text(c: str | Column, encoding: str = "ISO-8859-1") -> Column:
+    """Unescape, re-read as UTF-8, strip outer double quotes: all of it or nothing.
+
+    Text with a character beyond ``encoding``, a broken escape, or bytes that
+    are no UTF-8 comes back as it is.
+    """
     column = F.col(c) if isinstance(c, str) else c
-    return F.btrim(latin1_as_utf8(unescape(column)), F.lit('"'))
+    # An escape is broken where no token but a lone backslash matches it, or x, u, U, N have no value.
+    sound = ~F.regexp_replace(column, WHOLE_ESCAPES, "").rlike(BROKEN_ESCAPE)
+    fits = column.rlike(REACH[encoding])
+    plain = ~F.contains(column, F.lit("\\"))
+    text = F.when(fits & (plain | sound), encoded(unescape(column), encoding))
+    return F.when(text.isNotNull(), F.btrim(text, F.lit('"'))).otherwise(column)

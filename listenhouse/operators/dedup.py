@@ -28,22 +28,26 @@ def first_seen(
     attributes: Sequence[str],
     key: Column,
     key_name: str,
-    payload: Sequence[str] = (),
+    payload: str | None = None,
     ts: str = "ts",
 ) -> DataFrame:
     """One row per key: its attributes, and ``payload`` and ``ts`` of the
-    earliest event.
+    earliest event; of several payloads at that time the least.
 
-    Groups on the plain attributes first, with map-side combine, and builds
-    the key on the few distinct rows that remain. Two attribute sets with the
+    Groups on the plain attributes first, by hash and with map-side combine,
+    and builds the key on the few distinct rows that remain. Two attribute sets with the
     same key text are then reduced to the earlier one.
     """
     if payload:
-        earliest = F.min(F.struct(ts, *payload)).alias("__seen")
-        distinct = df.groupBy(*attributes).agg(earliest).select(*attributes, "__seen.*")
+        # Fixed-width buffers in both steps: a struct would need a sort of all events.
+        at_once = df.groupBy(*attributes, ts).agg(F.min(payload).alias(payload))
+        distinct = at_once.groupBy(*attributes).agg(
+            F.min_by(payload, ts).alias(payload), F.min(ts).alias(ts)
+        )
     else:
         distinct = df.groupBy(*attributes).agg(F.min(ts).alias(ts))
     keyed = distinct.withColumn(key_name, key)
-    return first_row(keyed, [key_name], [ts, *attributes, *payload]).select(
-        key_name, *attributes, *payload, ts
+    carried = [payload] if payload else []
+    return first_row(keyed, [key_name], [ts, *attributes, *carried]).select(
+        key_name, *attributes, *carried, ts
     )

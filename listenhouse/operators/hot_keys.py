@@ -2,9 +2,10 @@
 
 An ordered window sends all rows of a key to one task. When one user or artist
 holds a third of a 100 TB table that task never ends, and adaptive execution
-splits skewed joins but not windows. So the keys above a share are found first
-and their rows are cut into consecutive chunks along the window's own order.
-``neighbours`` then works chunk by chunk and closes the seams exactly.
+splits skewed joins but not windows. So the keys with more rows than one task
+should have are found first, by counting, and their rows are cut into
+consecutive chunks along the window's own order. ``neighbours`` then works
+chunk by chunk and closes the seams exactly.
 
 What this module measures decides only how the work is spread: any cut points
 give the same result, so a sketch and a sample are good enough here.
@@ -15,24 +16,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F, Window
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
+
+from listenhouse.session import scratch_path
 
 HASH, CUTS, CHUNK = "__hash", "__cuts", "__chunk"
 REPEATED, COPIES, BLOCK = "__repeated", "__copies", "__block"
 
-# Bounds on what reaches the driver and is broadcast, whatever the table size.
-MAX_HOT_KEYS = 1_000       # a key that is not split holds < 1/1000 of all rows
-MAX_CHUNKS = 20_000        # all chunks of all hot keys together
-TRACKED_KEYS = 8_000       # size of the frequent-items sketch
-SKETCH_GROUPS = 1_000      # sketches that meet in the last merge
+ROWS_PER_TASK = 2_000_000  # a key with more is split; the same at every table size
 SAMPLES_PER_CHUNK = 100
-MIN_ROWS = 2_000_000       # no key below this is worth splitting
 COPIES_PER_BLOCK = 100_000
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Cut points of the hot keys: at most MAX_HOT_KEYS rows, MAX_CHUNKS cuts.
+    """Cut points of the hot keys, one row per key, in a table of the shared folder.
 
     ``has_copies``: some position in the order fills whole chunks by itself,
     that is, a group of identical rows has to be split too.
@@ -53,7 +51,7 @@ class HotKeys:
         at = position(order)
         tagged = (
             df.withColumn(HASH, F.xxhash64(*keys))
-            .join(F.broadcast(self.cuts), HASH, "inner" if only_hot else "left")
+            .join(self.cuts, HASH, "inner" if only_hot else "left")
             .withColumn(CHUNK, F.when(F.col(CUTS).isNotNull(), self._cuts_below(at)))
         )
         if not self.has_copies:
@@ -118,46 +116,26 @@ def find_hot_keys(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    min_rows: int = MIN_ROWS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> HotKeys | None:
     """Measure ``df`` once; None when no key needs splitting (the usual case).
 
-    Runs one job that reads the key columns only and shuffles sketches, not
-    rows. Pass the narrowest frame that has ``keys`` and ``order``.
+    Counts the rows of every key, combined map-side. Nothing but three numbers
+    reaches the driver; there are at most rows / rows_per_task hot keys and
+    twice as many cuts. Pass the narrowest frame that has ``keys`` and ``order``.
     """
     spark = df.sparkSession
-    # Sketches are merged as a tree: per group of input partitions, then once.
-    group = (F.spark_partition_id() % SKETCH_GROUPS).alias("group")
-    found = (
-        df.select(F.xxhash64(*keys).alias(HASH))
-        .groupBy(group).agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.expr(f"approx_top_k_accumulate({HASH}, {TRACKED_KEYS})").alias("sketch"),
-        )
-        .groupBy(F.lit("all")).agg(  # no row at all for empty input
-            F.sum("rows").alias("rows"), F.expr("approx_top_k_combine(sketch)").alias("sketch")
-        )
-        .select("rows", F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT_KEYS})").alias("top"))
-        .first()
-    )
-    if found is None:
-        return None
-
-    floor = max(min_rows, found["rows"] // MAX_HOT_KEYS)
-    target = max(min_rows, found["rows"] // MAX_CHUNKS)
-    hot = [
-        (item["item"], -(-item["count"] // target))
-        for item in found["top"]
-        if item["count"] > floor
-    ]
-    if not hot:
+    count = F.count(F.lit(1))
+    parts = F.ceil(count / rows_per_task).cast("bigint")
+    counted = df.select(F.xxhash64(*keys).alias(HASH)).groupBy(HASH).agg(parts.alias("parts"))
+    hot = _staged(spark, counted.where("parts > 1"), "hot-keys")
+    if hot.isEmpty():
         return None
 
-    parts = F.broadcast(spark.createDataFrame(hot, f"{HASH} bigint, parts bigint"))
     sample = (
-        df.sample(fraction=min(1.0, SAMPLES_PER_CHUNK / target), seed=7)
+        df.sample(fraction=min(1.0, SAMPLES_PER_CHUNK / rows_per_task), seed=7)
         .select(F.xxhash64(*keys).alias(HASH), position(order).alias("at"))
-        .join(parts, HASH)
+        .join(hot, HASH)
     )
     by_key = Window.partitionBy(HASH)
     rank, size = F.row_number().over(by_key.orderBy("at")) - 1, F.count("*").over(by_key)
@@ -171,12 +149,13 @@ def find_hot_keys(
             F.array_sort(F.collect_list(F.expr("IF(count > 1, at, NULL)"))).alias(REPEATED),
         )
     )
-    # Collected and handed back as literals, so every use sees the same cuts.
-    rows = cuts.collect()
-    if not rows:
-        return None
-    return HotKeys(
-        cuts=spark.createDataFrame(rows, cuts.schema),
-        most_cuts=max(len(row[CUTS]) for row in rows),
-        has_copies=any(row[REPEATED] for row in rows),
-    )
+    # Written, so that every use sees the same cuts.
+    cuts = _staged(spark, cuts, "cuts")
+    most, copies = cuts.agg(F.max(F.size(CUTS)), F.max(F.size(REPEATED))).first()
+    return HotKeys(cuts=cuts, most_cuts=most, has_copies=copies > 0) if most else None
+
+
+def _staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -33,7 +33,8 @@ def not_in(df: DataFrame, subset: DataFrame, key: str) -> DataFrame:
     null key passes only if the subset is empty.
     """
     # The null rule is two one-row existence tests, not a join.
-    keys = subset.select(F.col(key).alias("__key"))
+    # Distinct: combined map-side, so a hot key is one row of the right side.
+    keys = subset.select(F.col(key).alias("__key")).distinct()
     has_null = keys.where(F.col("__key").isNull()).exists()
     empty = ~keys.exists()
     survivors = df.join(keys, F.col(key) == F.col("__key"), "left_anti")

@@ -51,11 +51,11 @@ def neighbours(
             F.struct(*keys).alias("seam_key"), F.col(CHUNK).alias("seam_chunk"), *links
         )
     )
-    # One row per chunk of a hot key: bounded by MAX_CHUNKS.
+    # One row per chunk of a hot key; Catalyst knows whether that is small.
     match = F.col("seam_chunk") == F.col(CHUNK)
     for k in keys:
         match &= F.col(f"seam_key.{k}").eqNullSafe(F.col(k))
-    joined = body.join(F.broadcast(seams), match, "left")
+    joined = body.join(seams, match, "left")
     closed = {}
     if prev:
         closed[PREV] = F.coalesce(PREV, "before")

@@ -98,6 +98,7 @@ def scd2_merge(
     ts: str,
     tiebreak: Sequence[str],
     hot: HotKeys | None = None,
+    landed: DataFrame | None = None,
 ) -> DataFrame:
     """Bring a change history up to date with newer events.
 
@@ -106,9 +107,11 @@ def scd2_merge(
     current rows and the batch, not the history. The result is written to a
     new table and swapped in, as plain Parquet has no MERGE.
 
-    Events up to the start of a key's open version count as merged already,
-    which makes a repeated load harmless. A history that has to take in late
-    events is rebuilt from the landed events with scd2_changes.
+    Events up to the start of a key's open version are late or known. A closed
+    version does not tell which events it was made of, so keys that have such
+    events are rebuilt from ``landed``, all events so far, the batch included.
+    Without ``landed`` they count as merged already: a repeated load is
+    harmless then, but late events are left out.
     """
     order = [ts, *tiebreak]
     open_rows = current(existing).drop(*VALIDITY)
@@ -121,6 +124,18 @@ def scd2_merge(
     newer = incoming.join(since, match, "left").where(
         F.col("__since").isNull() | (position(order) > F.col("__since"))
     )
+    if landed is not None:
+        late = incoming.join(since, match).where(position(order) <= F.col("__since"))
+        late = late.select(F.struct(*keys).alias("__late")).distinct()
+        among = F.lit(True)
+        for k in keys:
+            among &= F.col(k).eqNullSafe(F.col(f"__late.{k}"))
+        rebuilt = scd2_changes(landed.join(late, among, "left_semi"), keys, tracked, ts, tiebreak, hot)
+        kept = scd2_merge(
+            existing.join(late, among, "left_anti"), incoming.join(late, among, "left_anti"),
+            keys, tracked, ts, tiebreak, hot,
+        )
+        return kept.unionByName(rebuilt.select(kept.columns))
     points = open_rows.unionByName(newer.select(open_rows.columns))
     redone = scd2_changes(points, keys, tracked, ts, tiebreak, hot)
     return existing.where(F.col("currRow") == 0).unionByName(redone)

@@ -250,10 +250,10 @@ KEYED = f"""keyed AS (
         ts AS Timestamp FROM listen)"""
 
 
-def _join(key: str, name: str, columns: str = "e.event_id") -> str:
+def _join(key: str, name: str, columns: str = "e.event_id", known: str = "listen") -> str:
     return f"""WITH {LISTEN}, {KNOWN} SELECT {columns}, d.k AS {name}
         FROM (SELECT *, {key} AS k FROM listen) e
-        LEFT JOIN (SELECT DISTINCT {key} AS k FROM early) d ON d.k = e.k"""
+        LEFT JOIN (SELECT DISTINCT {key} AS k FROM {known}) d ON d.k = e.k"""
 
 
 NATURAL = f"""WITH {LISTEN}, {FEATURES},
@@ -301,8 +301,7 @@ EXPORT = f"""WITH {TOPIC_ROWS},
     listens AS (SELECT event_id, row_number() OVER (ORDER BY event_id) AS n
                 FROM messages WHERE topic = 'listen_events')
     SELECT topic, event_id AS itemInSession, userId, sessionId, {MILLIS} AS ts FROM messages
-    WHERE event_id <= coalesce((SELECT event_id FROM listens WHERE n = 100000),
-                               9223372036854775807)"""
+    WHERE @ < coalesce((SELECT event_id FROM listens WHERE n = 500), 9223372036854775807) + 1"""
 
 ORACLE: dict[str, str] = {
     "scan_events": _from_listen("*"),
@@ -379,6 +378,7 @@ ORACLE: dict[str, str] = {
     "level_changes_merged": TILED,
     "join_user": _join("userId", "UserKey", "e.event_id, e.userId"),
     "join_artist": _join(ARTIST_ID, "ArtistKey"),
+    "join_artist_unmatched": _join(ARTIST_ID, "ArtistKey", known="early"),
     "join_song": _join(SONG_ID, "SongKey"),
     "join_location": _join(LOCATION_ID, "LocationKey"),
     "join_session": _join("sessionId", "SessionKey"),
@@ -407,7 +407,7 @@ ORACLE: dict[str, str] = {
     "load_new_sessions": f"""WITH {LISTEN}, {KNOWN}
         SELECT sessionId, {SESSION_TEXT}, s AS rowActivationDate, {VALID} FROM ({_sessions()})
         WHERE sessionId NOT IN (SELECT sessionId FROM early)""",
-    "load_new_facts": f"""WITH {LISTEN}, {KNOWN}, {FEATURES}, {_keys('early')},
+    "load_new_facts": f"""WITH {LISTEN}, {FEATURES}, {_keys('listen')},
         loaded AS (SELECT * FROM deduplicated WHERE Timestamp < {MIDDLE}),
         fresh AS (SELECT *, {VALIDITY} FROM deduplicated {V})
         SELECT {K}, {MEASURES}, rowActivationDate, rowExpirationDate, currRow FROM fresh f
@@ -419,5 +419,19 @@ ORACLE: dict[str, str] = {
               AND o.LocationKey IS NOT DISTINCT FROM f.LocationKey
               AND o.DateKey IS NOT DISTINCT FROM f.DateKey)""",
     "ingest_stream": INGEST,
-    "export_topics": EXPORT,
+    "export_topics": EXPORT.replace("@", "0"),
+    "export_topics_bounded": EXPORT.replace("@", "event_id"),
+    "surrogate_hash": _from_listen("""event_id,
+        min(event_id) OVER (PARTITION BY song, artist) AS songFirst,
+        min(event_id) OVER (PARTITION BY artist, lat, lon, city, state) AS artistFirst,
+        min(event_id) OVER (PARTITION BY city, zip, state, lat, lon) AS locationFirst,
+        min(event_id) OVER (PARTITION BY city, zip, state, lat, lon) AS filledLocationFirst"""),
+    "merge_late_events": TILED,
+    "listen_features_chunked": _features(f"event_id, userId, ts, {MEASURES}"),
+    "scd_user_versions_chunked": f"WITH {LISTEN} {USER_VERSIONS}",
+    "load_user_twice": f"""WITH {LISTEN}
+        SELECT *, eventTimestamp AS rowActivationDate, {VALID} FROM ({_users()})""",
+    "load_session_twice": f"""WITH {LISTEN} SELECT sessionId, {SESSION_TEXT},
+        s AS rowActivationDate, {VALID} FROM ({_sessions()})""",
+    "load_fact_twice": _fact(f"{K}, {MEASURES}, {VALIDITY}") + f" {V}",
 }

@@ -55,7 +55,7 @@ def dim_user(events: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
 
 def songs(events: DataFrame, algo: str = "md5") -> DataFrame:
     """Songs, each with the duration of its first play."""
-    return first_seen(events, SONG_KEY, song_key(algo), "songId", payload=["duration"])
+    return first_seen(events, SONG_KEY, song_key(algo), "songId", payload="duration")
 
 
 def artists(events: DataFrame, algo: str = "md5") -> DataFrame:
@@ -89,7 +89,12 @@ def session_bounds(events: DataFrame) -> DataFrame:
 
 def dim_session(events: DataFrame) -> DataFrame:
     """Sessions with their bounds as text and as timestamps."""
-    bounds = session_bounds(events).select(
+    return session_rows(session_bounds(events))
+
+
+def session_rows(bounds: DataFrame) -> DataFrame:
+    """The dimension from (sessionId, startTimestamp, endTimestamp)."""
+    bounds = bounds.select(
         "sessionId",
         F.col("startTimestamp").cast("string").alias("startTime"),
         F.col("endTimestamp").cast("string").alias("endTime"),

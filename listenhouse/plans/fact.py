@@ -166,7 +166,7 @@ def validity_keys(events: DataFrame, algo: str = "md5") -> DataFrame:
     )
 
 
-def fact_streams(
+def fact_rows(
     events: DataFrame,
     dims: Mapping[str, DataFrame],
     tiebreak: Sequence[str],
@@ -174,12 +174,8 @@ def fact_streams(
     algo: str = "md5",
     detailed: bool = False,
     hot_users: HotKeys | None = None,
-    hot_facts: HotKeys | None = None,
 ) -> DataFrame:
-    """One row per listen: six keys, the measures, the validity interval.
-
-    ``detailed`` adds the duration and the parts of the event time.
-    """
+    """The fact before its validity: six keys, time, measures, tiebreak; de-duplicated."""
     features = listen_features(events, tiebreak, rule, hot_users)
     joined = star_join(features, dims, algo).withColumnRenamed("ts", "Timestamp")
     extra: list[Column] = []
@@ -190,8 +186,25 @@ def fact_streams(
         "UserKey", "ArtistKey", "SongKey", "DateKey", "LocationKey", "SessionKey",
         "Timestamp", *MEASURES, *extra, *tiebreak,
     )
-    facts = fact_validity(dedup_facts(rows, tiebreak), tiebreak, hot_facts)
-    return facts.drop(*tiebreak)
+    return dedup_facts(rows, tiebreak)
+
+
+def fact_streams(
+    events: DataFrame,
+    dims: Mapping[str, DataFrame],
+    tiebreak: Sequence[str],
+    rule: str = "all",
+    algo: str = "md5",
+    detailed: bool = False,
+    hot_users: HotKeys | None = None,
+    hot_facts: HotKeys | None = None,
+) -> DataFrame:
+    """One row per listen: six keys, the measures, the validity interval.
+
+    ``detailed`` adds the duration and the parts of the event time.
+    """
+    rows = fact_rows(events, dims, tiebreak, rule, algo, detailed, hot_users)
+    return fact_validity(rows, tiebreak, hot_facts).drop(*tiebreak)
 
 
 # --- natural-key form ------------------------------------------------------
@@ -205,7 +218,9 @@ def natural_dims(events: DataFrame) -> dict[str, DataFrame]:
     artists = events.where("artist is not null").groupBy("artist").agg(
         F.min("ts").alias("rowActivationDate")
     )
-    places = events.groupBy("city", "state").agg(
+    # Distinct places by hash first; the struct is compared on those few only.
+    seen = events.groupBy("city", "state", "zip", "lat", "lon").agg(F.min("ts").alias("ts"))
+    places = seen.groupBy("city", "state").agg(
         F.min(F.struct("ts", "zip", "lat", "lon")).alias("seen")
     ).select("city", "state", "seen.*")
     songs = events.select("song", "artist").distinct()

@@ -1,7 +1,8 @@
 """Jobs over a warehouse folder: landed events in, tables out.
 
 Dimensions have to be loaded before the fact; ``load_warehouse`` does both in
-that order. Every job can run again on the same input without adding rows.
+that order. Every job can run again on the same input without changing a row, and the
+tables do not depend on how many loads the events came in.
 """
 
 from __future__ import annotations
@@ -10,16 +11,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from listenhouse.operators.hot_keys import MIN_ROWS, find_hot_keys
+from listenhouse.operators.hot_keys import ROWS_PER_TASK, find_hot_keys
 from listenhouse.plans import dims
-from listenhouse.plans.fact import (
-    MEASURES, dedup_facts, fact_validity, listen_features, star_join,
-)
+from listenhouse.plans.fact import fact_rows, fact_validity
 from listenhouse.schemas import FACT_VALIDITY_KEY
 from listenhouse.session import scratch_path
-from listenhouse.sinks.tables import append_new, append_new_facts, overwrite, write_table
-from listenhouse.sources.calendar import calendar_hours, whole_years
-from listenhouse.sources.tables import read_events
+from listenhouse.sinks.tables import append_new, overwrite, replace, replace_changed_days, upsert_latest, write_table
+from listenhouse.sources.calendar import calendar_hours, calendar_of_years, occurring_years
+from listenhouse.sources.tables import read_events, table_exists
 
 # What the fact table is made from.
 FACT_SOURCE = (
@@ -30,12 +29,10 @@ FACT_SOURCE = (
 # Order of events at the same time, where the messages carry no id of their own.
 TIEBREAK = ("itemInSession", "rowHash")
 
-DIMENSIONS: dict[str, tuple[Callable[[DataFrame], DataFrame], str]] = {
-    "dim_user": (lambda events: dims.dim_user(events, TIEBREAK), "userId"),
+APPENDED: dict[str, tuple[Callable[[DataFrame], DataFrame], str]] = {
     "dim_artist": (dims.dim_artist, "artistId"),
     "dim_song": (dims.dim_song, "songId"),
     "dim_location": (dims.dim_location, "locationId"),
-    "dim_session": (dims.dim_session, "sessionId"),
 }
 
 
@@ -52,50 +49,71 @@ def with_row_hash(events: DataFrame) -> DataFrame:
 def load_calendar(spark: SparkSession, events: DataFrame, warehouse: str) -> int:
     """(Re)build the calendar for the default years and any others with events."""
     default = calendar_hours(spark, dtype="timestamp")
-    bounds = whole_years(events).first()
-    if bounds:
-        default = default.union(calendar_hours(spark, *bounds, dtype="timestamp")).distinct()
-    return overwrite(dims.dim_datetime(default), f"{warehouse}/dim_datetime")
+    others = calendar_of_years(occurring_years(events), "timestamp")
+    return overwrite(dims.dim_datetime(default.union(others).distinct()), f"{warehouse}/dim_datetime")
+
+
+def load_users(events: DataFrame, warehouse: str) -> int:
+    """The latest row of every user; the same in however many loads the events come."""
+    return upsert_latest(dims.dim_user(events, TIEBREAK), f"{warehouse}/dim_user", ["userId"], "eventTimestamp")
+
+
+def load_sessions(events: DataFrame, warehouse: str) -> int:
+    """Sessions with their first and last listen over all loads."""
+    spark, path = events.sparkSession, f"{warehouse}/dim_session"
+    bounds = dims.session_bounds(events)
+    if not table_exists(spark, path, "parquet"):
+        return write_table(dims.session_rows(bounds), path, "append", "parquet")
+    stored = spark.read.parquet(path).select(*bounds.columns)
+    merged = stored.unionByName(bounds).groupBy("sessionId").agg(
+        F.min("startTimestamp").alias("startTimestamp"), F.max("endTimestamp").alias("endTimestamp")
+    )
+    return replace(dims.session_rows(merged), path)
 
 
 def load_dimensions(spark: SparkSession, events: DataFrame, warehouse: str) -> dict[str, int]:
-    """Append new keys to every dimension; rows added by table."""
-    added = {"dim_datetime": load_calendar(spark, events, warehouse)}
-    for name, (build, key) in DIMENSIONS.items():
-        added[name] = append_new(build(events), f"{warehouse}/{name}", [key])
-    return added
+    """Bring every dimension up to date; rows written by table.
+
+    Songs, artists and locations are appended and keep their first row; users and sessions are merged.
+    """
+    written = {
+        "dim_datetime": load_calendar(spark, events, warehouse),
+        "dim_user": load_users(events, warehouse), "dim_session": load_sessions(events, warehouse),
+    }
+    for name, (build, key) in APPENDED.items():
+        written[name] = append_new(build(events), f"{warehouse}/{name}", [key])
+    return written
 
 
 def load_fact(
-    spark: SparkSession, events: DataFrame, warehouse: str, min_rows: int = MIN_ROWS
+    spark: SparkSession, events: DataFrame, warehouse: str, rows_per_task: int = ROWS_PER_TASK, **options
 ) -> int:
-    """Append the listens the fact table does not hold yet.
+    """Bring the fact table up to all landed ``events``; rows written.
 
+    A new listen changes rows that are stored: the one before is no longer the
+    user's last, its gap is known, its interval ends. So the fact is built from
+    all events, and the days that differ are replaced.
     The joined, de-duplicated rows are written to the shared folder once. That
     cuts the lineage (a lost executor costs one stage, not the whole chain)
     and lets the hot keys of the validity window be measured on real rows.
+    ``options``: ``rule`` and ``detailed`` of the fact.
     """
     read = lambda name: spark.read.parquet(f"{warehouse}/dim_{name}")
     tables = {n: read(n) for n in ("user", "artist", "song", "location", "session", "datetime")}
     # The hash is redone over these columns alone, so the scan reads no others.
     events = with_row_hash(events.select(*FACT_SOURCE))
     order = ["ts", *TIEBREAK]
-    hot = find_hot_keys(events.select("userId", *order), ["userId"], order, min_rows)
-    joined = star_join(listen_features(events, TIEBREAK, hot=hot), tables)
-    rows = joined.withColumnRenamed("ts", "Timestamp").select(
-        "UserKey", "ArtistKey", "SongKey", "DateKey", "LocationKey", "SessionKey", "Timestamp",
-        *MEASURES, *TIEBREAK,
-    )
+    hot = find_hot_keys(events.select("userId", *order), ["userId"], order, rows_per_task)
     stage = scratch_path(spark, "joined")
-    write_table(dedup_facts(rows, TIEBREAK), stage, "overwrite", "parquet")
+    write_table(fact_rows(events, tables, TIEBREAK, hot_users=hot, **options), stage, "overwrite", "parquet")
     staged = spark.read.parquet(stage)
-    hot = find_hot_keys(staged, FACT_VALIDITY_KEY, ["Timestamp", *TIEBREAK], min_rows)
+    hot = find_hot_keys(staged, FACT_VALIDITY_KEY, ["Timestamp", *TIEBREAK], rows_per_task)
     facts = fact_validity(staged, TIEBREAK, hot).drop(*TIEBREAK)
-    return append_new_facts(facts, f"{warehouse}/fact_streams")
+    return replace_changed_days(facts, f"{warehouse}/fact_streams")
 
 
 def load_warehouse(spark: SparkSession, events_path: str, warehouse: str) -> dict[str, int]:
     events = landed_listens(spark, events_path)
-    added = load_dimensions(spark, events, warehouse)
-    added["fact_streams"] = load_fact(spark, events, warehouse)
-    return added
+    written = load_dimensions(spark, events, warehouse)
+    written["fact_streams"] = load_fact(spark, events, warehouse)
+    return written

@@ -21,12 +21,12 @@ from listenhouse.operators.dedup import last_row
 from listenhouse.operators.hot_keys import HotKeys, find_hot_keys
 from listenhouse.operators.joins import new_rows
 from listenhouse.operators.scd import current, scd2_changes, scd2_merge
-from listenhouse.plans import dims, fact, history
+from listenhouse.plans import dims, fact, history, jobs
 from listenhouse.schemas import FACT_LOAD_KEY, FACT_VALIDITY_KEY, TOPICS
 from listenhouse.session import scratch_path
 from listenhouse.sinks.tables import write_by_hour
 from listenhouse.sources import testdata
-from listenhouse.sources.calendar import calendar_hours, calendar_hours_sequence, whole_years
+from listenhouse.sources.calendar import calendar_hours_sequence, calendar_of_years, occurring_years
 from listenhouse.streaming.export import export_topics
 from listenhouse.streaming.ingest import drain, read_file_stream, start_ingest
 
@@ -126,12 +126,16 @@ def surrogate_md5(spark, sf_dir):
 
 @query
 def surrogate_hash(spark, sf_dir):
+    """32-bit keys, told by the first event that has the same key."""
     events = testdata.listen_events(spark, sf_dir, FACT_COLUMNS)
-    return events.select(
-        "event_id", song_key("hash").alias("songId"), artist_key("hash").alias("artistId"),
-        location_key("hash").alias("locationId"),
-        filled_location_key().alias("filledLocationId"),
+    keyed = events.select(
+        "event_id", song_key("hash").alias("song"), artist_key("hash").alias("artist"),
+        location_key("hash").alias("location"), filled_location_key().alias("filledLocation"),
     )
+    for name in ("song", "artist", "location", "filledLocation"):
+        first = keyed.groupBy(name).agg(F.min("event_id").alias(f"{name}First"))
+        keyed = keyed.join(first, name).drop(name)
+    return keyed
 
 
 @query
@@ -163,8 +167,7 @@ def user_base(spark, sf_dir):
 
 def _calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All hours of the years the events fall in."""
-    first, last = whole_years(testdata.listen_events(spark, sf_dir, ["ts"])).first()
-    return calendar_hours(spark, first, last)
+    return calendar_of_years(occurring_years(testdata.listen_events(spark, sf_dir, ["ts"])))
 
 
 @query
@@ -174,7 +177,7 @@ def calendar_hours_query(spark, sf_dir):
 
 @query
 def calendar_hours_sequence_query(spark, sf_dir):
-    return calendar_hours_sequence(whole_years(testdata.listen_events(spark, sf_dir, ["ts"])))
+    return calendar_hours_sequence(occurring_years(testdata.listen_events(spark, sf_dir, ["ts"])))
 
 
 @query
@@ -184,8 +187,8 @@ def dim_datetime(spark, sf_dir):
 
 @query
 def dim_datetime_sql(spark, sf_dir):
-    bounds = whole_years(testdata.listen_events(spark, sf_dir, ["ts"]))
-    return dims.dim_datetime_sql(calendar_hours_sequence(bounds))
+    years = occurring_years(testdata.listen_events(spark, sf_dir, ["ts"]))
+    return dims.dim_datetime_sql(calendar_hours_sequence(years))
 
 
 # --- features --------------------------------------------------------------
@@ -416,6 +419,33 @@ def level_changes_merged(spark, sf_dir):
     return as_text(rows, "rowExpirationDate")
 
 
+@query
+def merge_late_events(spark, sf_dir):
+    """The same history where part of the first half comes in late."""
+    events = testdata.listen_events(spark, sf_dir, LEVEL_COLUMNS)
+    how = (["userId"], ["level"], "ts", TIEBREAK, hot_users(spark, sf_dir))
+    late = F.col("event_id") % 7 == 3
+    existing = scd2_changes(before(events, MIDDLE).where(~late), *how)
+    incoming = since(events, MIDDLE).unionByName(before(events, MIDDLE).where(late))
+    return as_text(scd2_merge(existing, incoming, *how, landed=events), "rowExpirationDate")
+
+
+@query
+def listen_features_chunked(spark, sf_dir):
+    """The features with every user cut into chunks of some 20 listens."""
+    events = testdata.listen_events(spark, sf_dir, [*PLACE_COLUMNS, "duration"])
+    hot = find_hot_keys(events, ["userId"], ["ts", "event_id"], rows_per_task=20)
+    return fact.listen_features(events, TIEBREAK, hot=hot).select("event_id", "userId", "ts", *fact.MEASURES)
+
+
+@query
+def scd_user_versions_chunked(spark, sf_dir):
+    """The versions with every user cut into chunks."""
+    events = testdata.listen_events(spark, sf_dir, USER_COLUMNS)
+    hot = find_hot_keys(events, ["userId"], ["ts", "event_id"], rows_per_task=20)
+    return as_text(dims.scd_user_versions(events, TIEBREAK, hot), "rowExpirationDate")
+
+
 # --- joins and fact --------------------------------------------------------
 
 # Per dimension: the columns it is built from, and how.
@@ -437,19 +467,18 @@ def _dim(spark, sf_dir, name: str, until: str | None = None) -> DataFrame:
     return build(before(events, until) if until else events)
 
 
-def _dims(spark, sf_dir, until: str | None = None) -> dict[str, DataFrame]:
-    return {n: _dim(spark, sf_dir, n, until) for n in (*DIMENSIONS, "datetime")}
+def _dims(spark, sf_dir) -> dict[str, DataFrame]:
+    return {n: _dim(spark, sf_dir, n) for n in (*DIMENSIONS, "datetime")}
 
 
-def _join(spark, sf_dir, name: str, join, columns) -> DataFrame:
-    """All events against a dimension that knows the early events only."""
+def _join(spark, sf_dir, name: str, join, columns, until: str | None = None) -> DataFrame:
     events = testdata.listen_events(spark, sf_dir, columns)
     refs = {
         n: c for n, c in fact.event_keys().items() if n.removesuffix("Ref") == name
     }
     if name == "datetime":
         refs = {"hourRef": fact.event_keys()["hourRef"]}
-    return join(events.withColumns(refs), _dim(spark, sf_dir, name, EARLY))
+    return join(events.withColumns(refs), _dim(spark, sf_dir, name, until))
 
 
 @query
@@ -462,6 +491,12 @@ def join_artist(spark, sf_dir):
     return _join(spark, sf_dir, "artist", fact.join_artist, ARTIST_COLUMNS).select("event_id", "ArtistKey")
 
 
+@query
+def join_artist_unmatched(spark, sf_dir):
+    """Against a dimension that knows the early artists only: the others have no key."""
+    return _join(spark, sf_dir, "artist", fact.join_artist, ARTIST_COLUMNS, EARLY).select("event_id", "ArtistKey")
+
+
 @query
 def join_song(spark, sf_dir):
     return _join(spark, sf_dir, "song", fact.join_song, ["event_id", "song", "artist"]).select("event_id", "SongKey")
@@ -491,14 +526,14 @@ def join_calendar_datekey(spark, sf_dir):
     )
 
 
-def _fact(spark, sf_dir, events: DataFrame, dims_until: str | None = None, **options) -> DataFrame:
+def _fact(spark, sf_dir, events: DataFrame, **options) -> DataFrame:
     hot = hot_users(spark, sf_dir)
     # A validity group lies within one user: without hot users none is hot.
     hot_facts = hot and find_hot_keys(
         fact.validity_keys(events), FACT_VALIDITY_KEY, ["Timestamp", *TIEBREAK]
     )
     return fact.fact_streams(
-        events, _dims(spark, sf_dir, dims_until), TIEBREAK,
+        events, _dims(spark, sf_dir), TIEBREAK,
         hot_users=hot, hot_facts=hot_facts, **options,
     )
 
@@ -553,7 +588,7 @@ def fact_by_hour_partition(spark, sf_dir):
     """The fact table written partitioned by event time and read back."""
     events = testdata.listen_events(spark, sf_dir, FACT_COLUMNS)
     path = scratch_path(spark, "fact-by-hour")
-    write_by_hour(_fact(spark, sf_dir, events), path)
+    write_by_hour(_fact(spark, sf_dir, events), path, granularity="hour")
     return spark.read.parquet(path).select(
         "UserKey", "SongKey", "Timestamp", "isSongSkipped",
         F.col("event_hour").cast("timestamp_ntz").alias("event_hour"),
@@ -595,16 +630,49 @@ def load_new_sessions(spark, sf_dir):
 
 @query
 def load_new_facts(spark, sf_dir):
-    """Facts of all events that the load of the first half does not hold.
-
-    Both use early dimensions, so many keys are null.
-    """
+    """Facts of all events that the load of the first half does not hold."""
     events = testdata.listen_events(spark, sf_dir, FACT_COLUMNS)
-    existing = _fact(spark, sf_dir, before(events, MIDDLE), EARLY)
-    fresh = new_rows(_fact(spark, sf_dir, events, EARLY), existing, FACT_LOAD_KEY)
+    existing = _fact(spark, sf_dir, before(events, MIDDLE))
+    fresh = new_rows(_fact(spark, sf_dir, events), existing, FACT_LOAD_KEY)
     return as_text(fresh, "rowExpirationDate")
 
 
+def _two_loads(spark, sf_dir, load) -> str:
+    """A warehouse loaded with the first half of the events, then with all."""
+    events = testdata.listen_events(spark, sf_dir).withColumn("itemInSession", F.col("event_id"))
+    warehouse = scratch_path(spark, "warehouse")
+    for part in (before(events, MIDDLE), events):
+        load(jobs.with_row_hash(part), warehouse)
+    return warehouse
+
+
+@query
+def load_user_twice(spark, sf_dir):
+    """The user job, run twice, read back."""
+    warehouse = _two_loads(spark, sf_dir, jobs.load_users)
+    return as_text(spark.read.parquet(f"{warehouse}/dim_user"), "rowExpirationDate")
+
+
+@query
+def load_session_twice(spark, sf_dir):
+    """The session job, run twice, read back."""
+    warehouse = _two_loads(spark, sf_dir, jobs.load_sessions)
+    rows = spark.read.parquet(f"{warehouse}/dim_session").drop("startTimestamp", "endTimestamp")
+    return as_text(rows, "rowExpirationDate")
+
+
+@query
+def load_fact_twice(spark, sf_dir):
+    """All jobs, run twice, the fact read back."""
+    def load(events, warehouse):
+        jobs.load_dimensions(spark, events, warehouse)
+        jobs.load_fact(spark, events, warehouse)
+
+    rows = spark.read.parquet(f"{_two_loads(spark, sf_dir, load)}/fact_streams")
+    rows = rows.withColumn("DateKey", F.col("DateKey").cast("timestamp_ntz"))
+    return as_text(rows.drop("event_date", "event_hour"), "rowExpirationDate")
+
+
 # --- streaming and export --------------------------------------------------
 
 @query
@@ -633,9 +701,23 @@ def ingest_stream(spark, sf_dir):
 
 @query
 def export_topics_query(spark, sf_dir):
-    """The bounded export, read back from its CSV files."""
+    """The whole export, read back from its CSV files."""
+    return _exported(spark, sf_dir, None)
+
+
+@query
+def export_topics_bounded(spark, sf_dir):
+    """The export up to a listen event."""
+    return _exported(spark, sf_dir, EXPORT_BOUND)
+
+
+#: Fewer than the listens of the smallest test table.
+EXPORT_BOUND = 500
+
+
+def _exported(spark, sf_dir, listens: int | None) -> DataFrame:
     out = scratch_path(spark, "export")
-    export_topics(testdata.messages(spark, sf_dir), out, ["position"])
+    export_topics(testdata.messages(spark, sf_dir), out, ["position"], listens)
     ids = "itemInSession bigint, userId bigint, sessionId bigint, ts bigint"
     rows = [
         spark.read.option("header", True).csv(f"{out}/{t}").select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # The grid used when nothing else is asked for: five full years of hours.
 FIRST_HOUR = datetime(2020, 1, 1)
@@ -22,21 +22,27 @@ def calendar_hours(
     return spark.range(hours).select((start + step).alias("datetime"))
 
 
-def calendar_hours_sequence(bounds: DataFrame) -> DataFrame:
-    """The same grid as an exploded array; ``bounds`` has one row (first, last)."""
-    hours = F.sequence("first", "last", F.expr("interval 1 hour"))
-    return bounds.select(F.explode(hours).alias("datetime"))
+def occurring_years(events: DataFrame, ts: str = "ts") -> DataFrame:
+    """The years the events fall in, one row each; a stray time adds its own year only."""
+    return events.select(F.year(ts).alias("year")).where("year is not null").distinct()
 
 
-def whole_years(events: DataFrame, ts: str = "ts") -> DataFrame:
-    """First and last hour of the years the events fall in; one row."""
-    year_start = lambda y: F.make_timestamp_ntz(
-        y, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)
-    )
-    years = events.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).where("lo is not null")
+def _hour(dtype: str, year: Column, days: Column, hours: Column) -> Column:
+    first = F.make_timestamp_ntz(year, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    return (first + F.make_dt_interval(days, hours, F.lit(0), F.lit(0))).cast(dtype)
+
+
+def calendar_of_years(years: DataFrame, dtype: str = "timestamp_ntz") -> DataFrame:
+    """All hours of the given years: a row per day, then one per hour."""
+    length = F.when(F.dayofyear(F.make_date("year", F.lit(12), F.lit(31))) == 366, 365).otherwise(364)
+    days = years.select("year", F.explode(F.sequence(F.lit(0), length)).alias("day"))
+    hours = days.select("*", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour"))
+    return hours.select(_hour(dtype, F.col("year"), F.col("day"), F.col("hour")).alias("datetime"))
+
+
+def calendar_hours_sequence(years: DataFrame, dtype: str = "timestamp_ntz") -> DataFrame:
+    """The same grid as one exploded array per year."""
+    first = lambda y: _hour(dtype, y, F.lit(0), F.lit(0))
     hour = F.expr("interval 1 hour")
-    dtype = events.schema[ts].dataType
-    return years.select(
-        year_start(F.year("lo")).cast(dtype).alias("first"),
-        (year_start(F.year("hi") + 1) - hour).cast(dtype).alias("last"),
-    )
+    hours = F.sequence(first(F.col("year")), first(F.col("year") + 1) - hour, hour)
+    return years.select(F.explode(hours).alias("datetime"))

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from listenhouse.schemas import TOPICS, message_schema
 from listenhouse.session import scratch_path
 
-EXPORT_LISTENS = 100_000
 BUCKETS = 10_000         # counts per pass that reach the driver
 SMALL_RANGE = 1_000_000  # rows that may be sorted at the end
 
@@ -30,7 +29,7 @@ def read_kafka_batch(
 
 
 def bounded(
-    messages: DataFrame, order: Sequence[str], listens: int = EXPORT_LISTENS,
+    messages: DataFrame, order: Sequence[str], listens: int,
     buckets: int = BUCKETS, small: int = SMALL_RANGE,
 ) -> DataFrame:
     """All messages up to the ``listens``-th listen event in ``order``.
@@ -73,10 +72,12 @@ def _is_time(df: DataFrame, column: str) -> bool:
 
 def export_topics(
     messages: DataFrame, out_dir: str, order: Sequence[str],
-    listens: int | None = EXPORT_LISTENS, topics: Sequence[str] = tuple(TOPICS),
+    listens: int | None = None, topics: Sequence[str] = tuple(TOPICS),
 ) -> None:
     """One CSV folder per topic, as sent: `ts` stays in milliseconds.
 
+    All messages, or those up to the ``listens``-th listen event.
+
     The messages are read once, into a staging table by topic. The counting
     passes and the topics then all see the same messages, and each topic reads
     only its own folder.

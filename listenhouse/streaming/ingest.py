@@ -92,13 +92,17 @@ def start_ingest(
     if unknown:
         raise ValueError(f"unknown topics: {sorted(unknown)}")
     queries = {}
-    for topic, messages in streams.items():
-        events = parse_events(messages, topic, on_bad)
-        writer = write_files(
-            events, f"{out_dir}/{topic}", f"{out_dir}/checkpoint/{topic}", trigger,
-            partition_by=partition_by,
-        )
-        queries[topic] = writer.queryName(topic).start()
+    try:
+        for topic, messages in streams.items():
+            events = parse_events(messages, topic, on_bad)
+            writer = write_files(
+                events, f"{out_dir}/{topic}", f"{out_dir}/checkpoint/{topic}", trigger,
+                partition_by=partition_by,
+            )
+            queries[topic] = writer.queryName(topic).start()
+    except BaseException:
+        _stop(queries)
+        raise
     return queries
 
 
@@ -112,12 +116,20 @@ def supervise(spark: SparkSession, queries: Mapping[str, StreamingQuery]) -> Non
             if q.exception():
                 raise q.exception()
     except BaseException:
-        for q in queries.values():
-            q.stop()
+        _stop(queries)
         raise
 
 
 def drain(queries: Mapping[str, StreamingQuery]) -> None:
-    """Wait for queries that stop by themselves (``trigger=None``)."""
+    """Wait for queries that stop by themselves (``trigger=None``); if one fails, stop the others and raise."""
+    try:
+        for q in queries.values():
+            q.awaitTermination()
+    except BaseException:
+        _stop(queries)
+        raise
+
+
+def _stop(queries: Mapping[str, StreamingQuery]) -> None:
     for q in queries.values():
-        q.awaitTermination()
+        q.stop()

@@ -25,7 +25,7 @@ def skewed(spark):
 
 
 def check(df, keys, order, **columns):
-    hot = find_hot_keys(df, keys, order, min_rows=100)
+    hot = find_hot_keys(df, keys, order, rows_per_task=100)
     assert hot is not None and hot.cuts.count() >= 1
     plain = neighbours(df, keys, order, **columns)
     split = neighbours(df, keys, order, hot=hot, **columns)
@@ -53,7 +53,7 @@ def test_several_keys(skewed):
 
 
 def test_chunks_are_balanced(spark, skewed):
-    hot = find_hot_keys(skewed, ["user"], ["t", "id"], min_rows=100)
+    hot = find_hot_keys(skewed, ["user"], ["t", "id"], rows_per_task=100)
     sizes = [
         r["count"] for r in hot.tag(skewed, ["user"], ["t", "id"])
         .where("__chunk is not null").groupBy("user", "__chunk").count().collect()
@@ -77,7 +77,7 @@ def test_identical_rows_are_split(spark):
 
 def test_even_keys_are_left_alone(spark):
     df = spark.range(5000).select((F.col("id") % 500).alias("user"), "id")
-    assert find_hot_keys(df, ["user"], ["id"], min_rows=100) is None
+    assert find_hot_keys(df, ["user"], ["id"], rows_per_task=100) is None
 
 
 def test_plain_plan_has_one_exchange(skewed):
@@ -88,4 +88,4 @@ def test_plain_plan_has_one_exchange(skewed):
 
 def test_empty_input(spark):
     df = spark.range(0).select("id", F.col("id").alias("user"))
-    assert find_hot_keys(df, ["user"], ["id"], min_rows=1) is None
+    assert find_hot_keys(df, ["user"], ["id"], rows_per_task=1) is None

@@ -117,7 +117,7 @@ def test_merge_equals_full_history_and_is_idempotent(spark):
 
 def test_scd_under_skew(spark):
     df = random_levels(spark, 3000)
-    hot = find_hot_keys(df, ["userId"], ["ts", "event_id"], min_rows=100)
+    hot = find_hot_keys(df, ["userId"], ["ts", "event_id"], rows_per_task=100)
     assert hot is not None
     how = (["userId"], ["level"], "ts", ["event_id"])
     same = lambda a, b: Counter(map(tuple, a.collect())) == Counter(map(tuple, b.collect()))
