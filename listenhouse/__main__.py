@@ -44,6 +44,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         job = jobs.add_parser(name)
         job.add_argument("events")
         job.add_argument("warehouse")
+        job.add_argument("--detailed", action="store_true", help="fact with duration and parts of the time")
 
     export = jobs.add_parser("export")
     export.add_argument("out")
@@ -71,11 +72,11 @@ def main(argv: list[str] | None = None) -> None:
         else:
             supervise(spark, queries)
     elif args.job == "load":
-        print(load_warehouse(spark, args.events, args.warehouse))
+        print(load_warehouse(spark, args.events, args.warehouse, detailed=args.detailed))
     elif args.job == "dims":
-        print(load_dimensions(spark, landed_listens(spark, args.events), args.warehouse))
+        print(load_dimensions(spark, landed_listens(spark, args.events), args.warehouse, "exact"))
     elif args.job == "fact":
-        print(load_fact(spark, landed_listens(spark, args.events), args.warehouse))
+        print(load_fact(spark, landed_listens(spark, args.events), args.warehouse, algo="exact", detailed=args.detailed))
     elif args.job == "export":
         messages = read_kafka_batch(spark, args.address, args.port)
         export_topics(messages, args.out, ["timestamp", "partition", "offset"], args.listens)

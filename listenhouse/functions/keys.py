@@ -21,13 +21,18 @@ def surrogate_key(columns: Iterable[str | Column], algo: str = "md5") -> Column:
     """Key over ``columns``.
 
     ``md5``       text of every part joined by '-', a null part counts as '';
-    ``xxhash64``  64-bit hash of the same text;
+    ``exact``     like md5, but different parts never give the same text: each
+                  part has its length before it, and null differs from '';
+    ``xxhash64``  64-bit hash of the md5 text;
     ``hash``      32-bit Murmur3 of the parts joined by '_', null parts left
                   out, widened to bigint (may collide; for parity only).
     """
     texts = [_column(c).cast("string") for c in columns]
     if algo == "hash":
         return F.hash(F.concat_ws("_", *texts)).cast("bigint")
+    if algo == "exact":
+        parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+        return F.md5(F.concat(*parts))
     joined = F.concat_ws("-", *[F.coalesce(t, F.lit("")) for t in texts])
     if algo == "md5":
         return F.md5(joined)

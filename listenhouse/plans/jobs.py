@@ -29,7 +29,7 @@ FACT_SOURCE = (
 # Order of events at the same time, where the messages carry no id of their own.
 TIEBREAK = ("itemInSession", "rowHash")
 
-APPENDED: dict[str, tuple[Callable[[DataFrame], DataFrame], str]] = {
+APPENDED: dict[str, tuple[Callable[[DataFrame, str], DataFrame], str]] = {
     "dim_artist": (dims.dim_artist, "artistId"),
     "dim_song": (dims.dim_song, "songId"),
     "dim_location": (dims.dim_location, "locationId"),
@@ -71,7 +71,7 @@ def load_sessions(events: DataFrame, warehouse: str) -> int:
     return replace(dims.session_rows(merged), path)
 
 
-def load_dimensions(spark: SparkSession, events: DataFrame, warehouse: str) -> dict[str, int]:
+def load_dimensions(spark: SparkSession, events: DataFrame, warehouse: str, algo: str = "md5") -> dict[str, int]:
     """Bring every dimension up to date; rows written by table.
 
     Songs, artists and locations are appended and keep their first row; users and sessions are merged.
@@ -81,7 +81,7 @@ def load_dimensions(spark: SparkSession, events: DataFrame, warehouse: str) -> d
         "dim_user": load_users(events, warehouse), "dim_session": load_sessions(events, warehouse),
     }
     for name, (build, key) in APPENDED.items():
-        written[name] = append_new(build(events), f"{warehouse}/{name}", [key])
+        written[name] = append_new(build(events, algo), f"{warehouse}/{name}", [key])
     return written
 
 
@@ -96,7 +96,7 @@ def load_fact(
     The joined, de-duplicated rows are written to the shared folder once. That
     cuts the lineage (a lost executor costs one stage, not the whole chain)
     and lets the hot keys of the validity window be measured on real rows.
-    ``options``: ``rule`` and ``detailed`` of the fact.
+    ``options``: ``rule``, ``detailed`` and key ``algo`` of the fact.
     """
     read = lambda name: spark.read.parquet(f"{warehouse}/dim_{name}")
     tables = {n: read(n) for n in ("user", "artist", "song", "location", "session", "datetime")}
@@ -112,8 +112,8 @@ def load_fact(
     return replace_changed_days(facts, f"{warehouse}/fact_streams")
 
 
-def load_warehouse(spark: SparkSession, events_path: str, warehouse: str) -> dict[str, int]:
+def load_warehouse(spark: SparkSession, events_path: str, warehouse: str, algo: str = "exact", **options) -> dict[str, int]:
     events = landed_listens(spark, events_path)
-    written = load_dimensions(spark, events, warehouse)
-    written["fact_streams"] = load_fact(spark, events, warehouse)
+    written = load_dimensions(spark, events, warehouse, algo)
+    written["fact_streams"] = load_fact(spark, events, warehouse, algo=algo, **options)
     return written

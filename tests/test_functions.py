@@ -114,3 +114,9 @@ def test_sunday_weeks(spark):
     days = spark.sql("SELECT explode(sequence(date'2019-12-25', date'2025-01-10')) AS d")
     for row in days.select("d", sunday_week("d").alias("w")).collect():
         assert row.w == int(row.d.strftime("%U"))
+
+
+def test_exact_key_tells_parts_apart(spark):
+    rows = spark.createDataFrame([("A-B", "C"), ("A", "B-C"), ("", None), (None, "")], "a string, b string")
+    keys = [r[0] for r in rows.select(fn.surrogate_key(["a", "b"], "exact")).collect()]
+    assert len(set(keys)) == 4
