@@ -4,9 +4,10 @@ The standard library's streaming parser gives events. A block element ends a
 line; each line has its characters of text, the characters among them that are
 links, and the tags met on the way. The text-to-tag ratio of the lines is
 smoothed with a Gaussian, and lines are clustered by a threshold relative to
-the page's spread: runs above it are content regions. The page's main text
-goes from the first to the last content line, so that short paragraphs
-between long ones survive.
+the page's spread: runs above it are content regions. The main text is the
+innermost element that holds ``HELD`` of the content, with all its lines, so that
+short paragraphs between long ones survive. Where that is the page itself, it
+goes from the first content line, or the headings before it, to the last.
 
 Lines inside elements that are never content by their tag, role or class
 (navigation, footers, forms, adverts, comments, ...) do not take part. Where the
@@ -34,6 +35,8 @@ from pyspark.sql import functions as F
 SIGMA = 1.5
 #: Lines above this share of the standard deviation of smoothed ratios are content.
 SHARE = 0.5
+#: Share of the content, in characters, that the main element has to hold.
+HELD = 0.75
 
 # Element and attribute names of HTML.
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer
@@ -50,6 +53,7 @@ widget""".split())
 CLOSES_P = BLOCKS - {"body", "html", "head", "title", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "optgroup", "legend", "summary", "li", "dd", "dt"}
 SAME = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 ARTICLE = frozenset({"article", "main"})
+HEADINGS = frozenset({"h1", "h2", "h3", "h4", "h5", "h6"})
 
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
@@ -71,8 +75,9 @@ class Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int]] = []  # tag, never content, marked part
-        self.lines: list[tuple[str, int, int, int]] = []
+        self.open: list[tuple[str, bool, int, int]] = []  # tag, never content, marked part, element
+        self.lines: list[tuple[str, int, int, int, int, bool]] = []
+        self.above: list[int] = [0]  # of each element the one around it; 0 is the page
         self.text: list[str] = []
         self.linked = self.tags = self.parts = self.anchors = 0
 
@@ -80,16 +85,16 @@ class Lines(HTMLParser):
         return (self.open[-1][1], self.open[-1][2]) if self.open else (False, 0)
 
     def flush(self) -> None:
-        _, part = self._top()
         words = "".join(self.text).split()
         if words:
-            self.lines.append((" ".join(words), self.linked, self.tags, part))
+            tag, _, part, element = self.open[-1] if self.open else ("", False, 0, 0)
+            self.lines.append((" ".join(words), self.linked, self.tags, part, element, tag in HEADINGS))
             self.tags = 0
         self.text, self.linked = [], 0
 
     def _close(self, place: int) -> None:
         self.flush()
-        for tag, _, _ in self.open[place:]:
+        for tag, *_ in self.open[place:]:
             self.anchors -= tag == "a"
         del self.open[place:]
 
@@ -119,7 +124,11 @@ class Lines(HTMLParser):
             part = self.parts
         never = never or _never(tag, attributes, part > 0)
         self.anchors += tag == "a"
-        self.open.append((tag, never, part))
+        above = self.open[-1][3] if self.open else 0
+        if tag in BLOCKS and tag not in ("html", "body"):
+            self.above.append(above)
+            above = len(self.above) - 1
+        self.open.append((tag, never, part, above))
 
     def handle_startendtag(self, tag, attrs):
         if tag in VOID:
@@ -133,10 +142,10 @@ class Lines(HTMLParser):
         self.tags += not never
         for place in range(len(self.open) - 1, -1, -1):
             if self.open[place][0] == tag:
-                if tag in BLOCKS or any(t in BLOCKS for t, _, _ in self.open[place:]):
+                if tag in BLOCKS or any(t in BLOCKS for t, *_ in self.open[place:]):
                     self._close(place)
                 else:
-                    for name, _, _ in self.open[place:]:
+                    for name, *_ in self.open[place:]:
                         self.anchors -= name == "a"
                     del self.open[place:]
                 return
@@ -172,20 +181,45 @@ def main_text(html: str | None) -> str:
     lines = parser.lines
     if not lines:
         return ""
-    ratio = np.array([max(0, len(text) - 2 * linked) / max(1, tags) for text, linked, tags, _ in lines], float)
+    ratio = np.array([max(0, len(text) - 2 * linked) / max(1, tags) for text, linked, tags, *_ in lines], float)
     line = smoothed(ratio)
     content = line >= SHARE * line.std()
     content &= (ratio > 0) | ~(ratio[content] > 0).any()
     held: dict[int, tuple[int, int]] = {}
-    for (text, linked, _, part), chosen in zip(lines, content):
+    for (text, _, _, part, _, _), chosen in zip(lines, content):
         if part:
             own, every = held.get(part, (0, 0))
             held[part] = own + len(text) * bool(chosen), every + len(text)
     if held:
         best = max(held, key=lambda part: (held[part], -part))
-        return "\n\n".join(text for text, _, _, part in lines if part == best)
+        return "\n\n".join(text for text, _, _, part, *_ in lines if part == best)
+    main = _main_element(lines, content, parser.above)
+    if main:
+        return "\n\n".join(text for text, _, _, _, element, _ in lines if _within(element, main, parser.above))
     found = np.flatnonzero(content)
-    return "\n\n".join(text for text, *_ in lines[found[0] : found[-1] + 1])
+    first = found[0]
+    while first and lines[first - 1][5]:
+        first -= 1
+    return "\n\n".join(text for text, *_ in lines[first : found[-1] + 1])
+
+
+def _main_element(lines: list[tuple], content: np.ndarray, above: list[int]) -> int:
+    """The last opened of the innermost elements with HELD of the content; 0 for the page."""
+    weight = [0] * len(above)
+    for (text, _, _, _, element, _), chosen in zip(lines, content):
+        weight[element] += len(text) * bool(chosen)
+    for element in range(len(above) - 1, 0, -1):  # an element is opened after those around it
+        weight[above[element]] += weight[element]
+    enough = [e for e in range(len(above)) if weight[e] >= HELD * weight[0]]
+    inner = enough[-1]
+    # One long paragraph is not the element that was meant; what stands around it is.
+    return above[inner] if sum(_within(e, inner, above) for *_, e, _ in lines) == 1 else inner
+
+
+def _within(element: int, main: int, above: list[int]) -> bool:
+    while element > main:
+        element = above[element]
+    return element == main
 
 
 def _extract(batches):
