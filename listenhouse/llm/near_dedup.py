@@ -10,14 +10,17 @@ sets. A pair with Jaccard 0.75 misses that threshold with probability 4e-8.
   once counting as rarest and never posted).
 * Skip: equal sets are one node from the start, and members of a posting list
   that are known to be in one component are not paired again. First every
-  member meets the least one of its list, then only members of different
-  components meet. A list of n copies thus costs n pairs, not n squared.
+  member meets the least one of its list; then members outside the list's
+  largest component meet one of its members. What is still apart goes through
+  the same join once more with full shingle sets in place of signatures: its
+  prefixes are exact and short, so documents that share a passage but are not
+  similar do not meet. A list of n copies thus costs some n pairs, not n squared.
 
 No list is cut, and nothing of the corpus reaches the driver.
 
 Defined results: null or blank text has no shingles and no links; a document
 with fewer than five words is one shingle of all of them; rows that repeat a
-doc_id are judged each by its own text; a null doc_id is linked with nothing,
+doc_id are one document, which shares the links of all its texts; a null doc_id is linked with nothing,
 has component null and is kept. Other columns are ignored. An empty table
 gives an empty result.
 """
@@ -26,12 +29,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from listenhouse.llm.components import components
 from listenhouse.llm.staging import stage
+from listenhouse.llm.texts import packed_texts, parts, unpack
 from listenhouse.llm.words import MinHash, mix, shingles, slices, words
 
 SHINGLE = 5
@@ -65,9 +69,8 @@ def features(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
 
 def _confirm(batches):
-    for part in slices(batches, 2):
-        left = shingles(words(part.column(2), lower=True), SHINGLE)
-        right = shingles(words(part.column(3), lower=True), SHINGLE)
+    for part in parts(batches, 2, 3):
+        left, right = (shingles(words(unpack(part.column(c)), lower=True), SHINGLE) for c in (2, 3))
         linked = []
         for a, b in zip(left, right):
             common = len(np.intersect1d(a, b, assume_unique=True))
@@ -77,7 +80,7 @@ def _confirm(batches):
 
 
 def confirm(pairs: DataFrame, signatures: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose signatures agree often enough and whose full shingle sets are similar enough."""
+    """The pairs (a, b) whose signatures agree often enough and whose full shingle sets are similar enough; staged."""
     left, right = (signatures.select(F.col("doc_id").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col("signature").alias(f"s_{k}")) for k in "ab")
     agree = F.size(F.filter(F.zip_with("s_a", "s_b", lambda x, y: x == y), lambda x: x))
     likely = (
@@ -86,61 +89,107 @@ def confirm(pairs: DataFrame, signatures: DataFrame, texts: DataFrame) -> DataFr
         .where(agree >= MATCHES).select("a", "b").distinct()
     )
     likely = stage(likely, "likely")
-    of = {k: texts.select(F.col("doc_id").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab"}
-    with_text = likely.join(of["a"], "a").join(of["b"], "b").select("a", "b", "text_a", "text_b")
-    return with_text.mapInArrow(_confirm, "a long, b long").distinct()
+    wanted = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
+    packed = packed_texts(texts, wanted)
+    of = {k: packed.select(F.col("doc_id").alias(k), F.col("packed").alias(f"packed_{k}")) for k in "ab"}
+    with_text = likely.join(of["a"], "a").join(of["b"], "b").select("a", "b", "packed_a", "packed_b")
+    return stage(with_text.mapInArrow(_confirm, "a long, b long").distinct(), "links")
 
 
-def posting_lists(signatures: DataFrame) -> DataFrame:
-    """(key, d): the documents under each coordinate-value pair of their prefix."""
-    post = signatures.select(F.col("doc_id").alias("d"), F.posexplode("signature")).select("d", F.xxhash64("pos", "col").alias("key"))
-    common = post.groupBy("key").agg(F.count("*").alias("f")).where("f > 1")
+def prefix_lists(posts: DataFrame, required: Column) -> DataFrame:
+    """Of ``posts`` (key, d, ...) those of each document's prefix.
+
+    Partners share at least ``required`` keys with a document, hence one of any
+    (keys of the document - required + 1). Those are its rarest; keys that no
+    other document has come first, and need not be posted.
+    """
+    common = posts.groupBy("key").agg(F.count("*").alias("f")).where("f > 1")
     own = Window.partitionBy("d")
     return (
-        post.join(common, "key")
+        posts.join(common, "key")
         .withColumn("rank", F.row_number().over(own.orderBy("f", "key")))
         .withColumn("shared", F.count("*").over(own))
-        .where(F.col("rank") <= F.col("shared") - (MATCHES - 1))
-        .select("key", "d")
+        .where(F.col("rank") <= F.col("shared") - (required - 1))
+        .drop("f")
+    )
+
+
+def _shingle_rows(batches):
+    for part in parts(batches, 1):
+        sets = list(shingles(words(unpack(part.column(1)), lower=True), SHINGLE))
+        sizes = np.array([len(x) for x in sets], np.int64)
+        keys = np.concatenate(sets).view(np.int64)
+        d, label = (np.repeat(part.column(c).to_numpy(), sizes) for c in (0, 2))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys, d, label, np.repeat(sizes, sizes))], ["key", "d", "label", "n"])
+
+
+def apart(unmet: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of documents of different components that share one of the shingles of both prefixes.
+
+    The exact way for what the turns leave: full shingle sets in place of signatures.
+    """
+    nodes = stage(unmet.select("d", "label").distinct(), "unmet")
+    packed = packed_texts(texts, nodes.select(F.col("d").alias("doc_id")))
+    with_text = nodes.join(packed, nodes.d == packed.doc_id).select("d", "packed", "label")
+    posts = stage(with_text.mapInArrow(_shingle_rows, "key long, d long, label long, n long").distinct(), "shingles")
+    # |a & b| >= PERCENT % of the larger; and of the smaller, 2 PERCENT / (100 + PERCENT).
+    least, least_small = (F.expr(f"(n * {up} + {down} - 1) div {down}") for up, down in ((PERCENT, 100), (2 * PERCENT, 100 + PERCENT)))
+    lists = prefix_lists(posts, least).withColumn("short", F.col("rank") <= F.col("shared") - (least_small - 1))
+    lists = lists.withColumn("left", F.col("shared") - F.col("rank"))
+    most = lists.groupBy("key", "label").agg(F.count("*").alias("m")).groupBy("key").agg(F.max_by("label", "m").alias("largest"), F.count("*").alias("labels"))
+    lists = stage(lists.join(most.where("labels > 1").drop("labels"), "key"), "prefixes")
+    x, y = (lists.select("key", "largest", *[F.col(c).alias(f"{c}_{k}") for c in ("d", "label", "n", "short", "left")]) for k in "ab")
+    # The first shingle that a pair has in common bounds the rest: what comes behind it, in either document.
+    fits = f"""
+        label_a <> label_b and (d_a > d_b or label_b = largest)
+        and if(n_a < n_b or n_a = n_b and d_a < d_b, short_a, short_b)
+        and 100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)
+        and {100 + PERCENT} * (1 + least(left_a, left_b)) >= {PERCENT} * (n_a + n_b)
+    """
+    pairs = x.where("label_a <> largest").join(y.drop("largest"), "key").where(fits)
+    return pairs.select(F.col("d_a").alias("a"), F.col("d_b").alias("b")).distinct()
+
+
+def _unmet(lists: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows of lists that hold several components: key, d, label, the largest component of the list and a member of it that differs by key."""
+    labelled = lists.join(groups.withColumnRenamed("node", "d"), "d", "left").select("key", "d", F.coalesce("component", "d").alias("label"))
+    held = labelled.groupBy("key", "label").agg(F.count("*").alias("n"), F.min_by("d", F.xxhash64("d", "key")).alias("member"))
+    split = (
+        held.groupBy("key").agg(F.max_by("label", "n").alias("largest"), F.max_by("member", "n").alias("pivot"), F.count("*").alias("labels"))
+        .where("labels > 1").drop("labels")
     )
+    return labelled.join(split, "key")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept and the two halves of the set digest."""
-    rows = stage(features(docs, doc_id, text), "features")
+    # The row number is settled by the write; of repeated rows one stands for its set.
+    rows = stage(features(docs, doc_id, text).withColumn("row", F.monotonically_increasing_id()), "features")
     sets = stage(
-        rows.where("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("node")), "sets"
+        rows.where("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("node"), F.min_by("row", "doc_id").alias("row")), "sets"
     )
-    nodes = rows.join(sets.withColumnRenamed("node", "doc_id"), ["set_a", "set_b", "n_shingles", "doc_id"], "left_semi")
+    nodes = rows.join(sets.select("row"), "row", "left_semi")
     signatures = nodes.select("doc_id", "n_shingles", "signature")
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id is not null")
 
-    lists = stage(posting_lists(signatures), "lists")
+    posts = signatures.select(F.col("doc_id").alias("d"), F.posexplode("signature")).select(F.xxhash64("pos", "col").alias("key"), "d")
+    lists = stage(prefix_lists(posts, F.lit(MATCHES)).select("key", "d"), "lists")
     least = lists.groupBy("key").agg(F.min("d").alias("pivot"), F.count("*").alias("n")).where("n > 1")
     to_pivot = lists.join(least, "key").where("d <> pivot").select(F.col("d").alias("a"), F.col("pivot").alias("b")).distinct()
-    links = stage(confirm(to_pivot, signatures, texts), "links")
+    links = confirm(to_pivot, signatures, texts)
 
-    groups = components(links)
-    labelled = stage(
-        lists.join(groups.withColumnRenamed("node", "d"), "d", "left").select("key", "d", F.coalesce("component", "d").alias("label")), "labelled"
-    )
-    # Lists that still hold several components: members outside the largest one meet those of other components.
-    held = labelled.groupBy("key", "label").agg(F.count("*").alias("n"), F.min("d").alias("d"))
-    split = (
-        held.groupBy("key").agg(F.max_by("label", "n").alias("largest"), F.min("d").alias("pivot"), F.count("*").alias("labels"))
-        .where("labels > 1").drop("labels")
-    )
-    unmet = stage(labelled.join(split, "key").where("d <> pivot"), "unmet")
-    x = unmet.where("label <> largest").select("key", F.col("d").alias("a"), F.col("label").alias("label_a"))
-    y = unmet.select("key", F.col("d").alias("b"), F.col("label").alias("label_b"), "largest")
-    rest = x.join(y, "key").where("label_a <> label_b and (a > b or label_b = largest)").select("a", "b").distinct()
-    more = stage(confirm(rest, signatures, texts), "links")
+    # One member of the largest component, another one for every list, meets the members of the others.
+    unmet = _unmet(lists, components(links))
+    more = confirm(unmet.where("label <> largest").select(F.col("d").alias("a"), F.col("pivot").alias("b")).distinct(), signatures, texts)
+    links = stage(links.union(more), "links")
+    # What is still apart.
+    more = confirm(apart(_unmet(lists, components(links)), texts), signatures, texts)
 
     groups = components(links.union(more))
     per_set = sets.join(groups, "node", "left").select("set_a", "set_b", "n_shingles", F.coalesce("component", "node").alias("component_id"))
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return (
-        rows.drop("signature").join(per_set, ["set_a", "set_b", "n_shingles"], "left")
+        rows.drop("signature", "row").join(per_set, ["set_a", "set_b", "n_shingles"], "left")
         .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), component))
         .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "set_a", "set_b")
     )

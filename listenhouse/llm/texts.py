@@ -24,6 +24,18 @@ def unpack(column: pa.Array) -> pa.Array:
     return pa.array([None if t is None else engine.decompress(t) for t in column.to_pylist()], pa.binary()).cast(pa.string())
 
 
+def parts(batches, *columns: int, limit: int = 256 << 10):
+    """Slices of batches with at most ``limit`` bytes of packed text in ``columns``, or one row: a task holds little at once."""
+    for batch in batches:
+        size = np.cumsum([sum(len(x) if x is not None else 0 for x in row) for row in zip(*(batch.column(c).to_pylist() for c in columns))])
+        first = 0
+        while first < batch.num_rows:
+            done = size[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(size, done + limit, "right")))
+            yield batch.slice(first, last - first)
+            first = last
+
+
 def _pack(bits: np.ndarray | None):
     def run(batches):
         for batch in batches:
