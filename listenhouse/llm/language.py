@@ -92,7 +92,7 @@ def _frequencies(batches):
 def _fit(idf: np.ndarray):
     """Spherical k-means of one language's sample; starts from rows spread by farthest-first choice."""
 
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["rank"])
         vectors = np.concatenate([weighted(counts(p.column(0)), idf) for p in _parts([pa.RecordBatch.from_arrays([pa.array(rows["text"], pa.string())], ["text"])], 0)])
         centres = vectors.mean(axis=0, keepdims=True)
@@ -126,16 +126,21 @@ class Model:
         return [self.langs[b] for b in best], np.clip(cosine[np.arange(len(best)), best].astype(float), 0, 1)
 
 
-def fit(rows: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model | None:
+def fit(rows: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model | None:
     """Learn from all of ``rows`` whose text has a letter and whose language is known."""
-    known = rows.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).where(F.col("lang").isNotNull() & has_letter(F.col("text")))
+    named = rows.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).where("lang is not null")
+    known = named.where(has_letter(F.col("text")))
     total = {r.place: r.n for r in known.select("text").mapInArrow(_frequencies, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()}
     if not total:
         return None
     df = np.array([total[i] for i in range(DIMENSIONS)])
     idf = np.log((1 + total[-1]) / (1 + df)) + 0.1
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    chosen = known.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample)
+    # Only hashes that can be among the least are shuffled: some four times the sample, however many rows there are.
+    sizes = named.groupBy("lang").agg(F.count("*").alias("of_lang"))
+    place = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 40))
+    likely = known.withColumn("place", place).join(sizes, "lang").where(F.col("place").cast("double") * F.col("of_lang") < 4.0 * sample * (1 << 40))
+    order = Window.partitionBy("lang").orderBy("place", "id", "text")
+    chosen = likely.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample)
     fitted = chosen.groupBy("lang").applyInPandas(_fit(idf), "lang string, centre array<float>").orderBy("lang", "centre").collect()
     return Model([r.lang for r in fitted], np.array([r.centre for r in fitted], np.float32), idf)
 
@@ -160,7 +165,7 @@ def held_out(doc_id: Column, folds: int = 4, fold: int = 2) -> Column:
 
 def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", keep: bool = False) -> DataFrame:
     """Per row: doc_id, held_out, lang_pred, score, rejected; ``keep`` adds ``row``, the whole input row."""
-    model = fit(docs.where(~held_out(F.col(doc_id))), text, lang)
+    model = fit(docs.where(~held_out(F.col(doc_id))), doc_id, text, lang)
     row = F.struct(*([F.col(f"`{c}`") for c in docs.columns] if keep else [F.col(doc_id)])).alias("row")
     source = docs.select(row, F.col(text).cast("string"), has_letter(F.col(text)))
     kind = source.schema["row"].dataType.simpleString()
