@@ -28,13 +28,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listenhouse.llm.staging import partitions, stage
-from listenhouse.llm.texts import packed_texts, unpack
+from listenhouse.llm.texts import packed_texts, parts, unpack
 from listenhouse.llm.words import MinHash, shingles, slices, words
 
 SHINGLE = 5
 SIZE = 64
 BANDS = 16
 THRESHOLD = 0.75
+LIKELY = 0.5
 _SKETCH = MinHash(SIZE, seed=10)
 
 
@@ -65,8 +66,12 @@ def _range_of(key: Column, cuts: list[int]) -> Column:
     return F.aggregate(steps, F.lit(0), lambda at, step: F.when(fits(at + step), at + step).otherwise(at)) - 1
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """Sorted partitions of (range, follows, key, doc_id, packed): each range ends with the row that follows its last one."""
+def with_next(docs: DataFrame, near: DataFrame) -> DataFrame:
+    """Sorted partitions of (range, follows, key, doc_id, packed, near_id, n_near).
+
+    Each range ends with the row that follows its last one. Before a document come its rows of ``near`` (doc_id, near_id,
+    n_near), so that these need no join with the wide results.
+    """
     n = partitions(docs.sparkSession)
     key = F.coalesce("doc_id", F.lit(-(1 << 63)))
     cuts = _cuts(docs.select(key.alias("key")), 4 * n)
@@ -75,39 +80,50 @@ def with_next(docs: DataFrame) -> DataFrame:
     own = place(F.col("range"), False)
     before = place(F.when(F.col("range") > 0, F.col("range") - 1).otherwise(max(0, len(cuts) - 1)), True)
     first = F.coalesce(F.get(F.from_json(F.lit(json.dumps(cuts)), "array<bigint>"), "range") == F.col("key"), F.lit(False))
-    dealt = rows.withColumn("place", F.explode(F.when(first, F.array(own, before)).otherwise(F.array(own)))).select("place.range", "place.follows", "key", "doc_id", "packed")
-    return dealt.repartition(n, "range").sortWithinPartitions("range", "follows", "key", "packed")
+    dealt = rows.withColumn("place", F.explode(F.when(first, F.array(own, before)).otherwise(F.array(own))))
+    dealt = dealt.select("place.range", "place.follows", "key", "doc_id", "packed", F.lit(None).cast("long").alias("near_id"), F.lit(None).cast("long").alias("n_near"))
+    found = near.select(
+        _range_of(F.col("doc_id"), cuts).cast("int").alias("range"), F.lit(False).alias("follows"), F.col("doc_id").alias("key"), "doc_id",
+        F.lit(None).cast("binary").alias("packed"), "near_id", "n_near",
+    )
+    order = ["range", "follows", "key", F.col("n_near").isNull(), "packed"]
+    return dealt.union(found).repartition(n, "range").sortWithinPartitions(*order)
 
 
 def _fingerprints(batches):
-    waiting: list[tuple[int | None, str]] = []
-    size = 0
+    waiting: list[tuple[int | None, str, tuple[int | None, int]]] = []
+    size, known, none = 0, (None, (None, 0)), (None, 0)
 
     def flush(last: str | None) -> tuple[pa.RecordBatch, list]:
         """Results of all that wait and whose follower is known."""
-        texts = [t for _, t in waiting] + ([last] if last is not None else [])
+        texts = [t for _, t, _ in waiting] + ([last] if last is not None else [])
         ready = len(texts) - 1
         changed = [edited(t, f) for t, f in zip(texts, texts[1:])]
         own, other = values(texts), values(changed)
         batch = pa.RecordBatch.from_arrays([
-            pa.array([d for d, _ in waiting[:ready]], pa.int64()), pa.array([len(t) for t in texts[:ready]], pa.int64()),
+            pa.array([d for d, *_ in waiting[:ready]], pa.int64()), pa.array([len(t) for t in texts[:ready]], pa.int64()),
             pa.array([hashlib.sha256(t.encode()).hexdigest() for t in changed], pa.string()),
             pa.array([v.tobytes().hex() for v in own[:ready]], pa.string()), pa.array([v.tobytes().hex() for v in other], pa.string()),
             pa.array((own[:ready] == other).mean(axis=1)), pa.array((own[:ready] == own[1:]).mean(axis=1)),
+            pa.array([near for *_, (near, _) in waiting[:ready]], pa.int64()), pa.array([n for *_, (_, n) in waiting[:ready]], pa.int64()),
         ], _COLUMNS)
         return batch, waiting[ready:]
 
     for batch in batches:
         for i in range(0, batch.num_rows, 64):
             part = batch.slice(i, 64)
-            for follows, doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), unpack(part.column(2)).fill_null("").to_pylist()):
+            texts = unpack(part.column(2)).fill_null("").to_pylist()
+            for follows, doc, text, near, n_near in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), texts, *(part.column(c).to_pylist() for c in (3, 4))):
+                if n_near is not None:
+                    known = (doc, (near, n_near))
+                    continue
                 if follows:
                     if waiting:  # else an equal key of the next range, behind its first
                         result, waiting = flush(text)
                         yield result
                         size = 0
                     continue
-                waiting.append((doc, text))
+                waiting.append((doc, text, known[1] if doc is not None and doc == known[0] else none))
                 size += len(text)
                 if len(waiting) > 1 and (size > 1 << 20 or len(waiting) > 512):
                     result, waiting = flush(None)
@@ -115,8 +131,8 @@ def _fingerprints(batches):
                     size = len(waiting[0][1])
 
 
-_COLUMNS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-_SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_COLUMNS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "near_id", "n_near"]
+_SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, near_id long, n_near long"
 
 
 def _prints(batches):
@@ -124,14 +140,20 @@ def _prints(batches):
         yield pa.RecordBatch.from_arrays([part.column(0), pa.array([v.tobytes() for v in values(part.column(1))], pa.binary())], ["doc_id", "print"])
 
 
-def _verify(batches):
+def _alike(batches):
+    """Pairs whose fingerprints are like enough; a pair of Jaccard THRESHOLD misses LIKELY with probability 2e-6."""
     for batch in batches:
-        for i in range(0, batch.num_rows, 64):
-            part = batch.slice(i, 64)
-            left, right = (shingles(words(unpack(part.column(c)), lower=True), SHINGLE) for c in (2, 3))
-            common = [(len(np.intersect1d(a, b, assume_unique=True)), len(a) + len(b)) for a, b in zip(left, right)]
-            likeness = [c / (n - c) if n else 0.0 for c, n in common]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(likeness, pa.float64())], ["doc_id", "near_id", "jaccard"])
+        a, b = (np.array([np.frombuffer(x, ">u2") for x in batch.column(c).to_pylist()]).reshape(-1, SIZE) for c in (2, 3))
+        keep = pa.array((a == b).mean(axis=1) >= LIKELY)
+        yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["doc_id", "near_id"])
+
+
+def _verify(batches):
+    for part in parts(batches, 2, 3):
+        left, right = (shingles(words(unpack(part.column(c)), lower=True), SHINGLE) for c in (2, 3))
+        common = [(len(np.intersect1d(a, b, assume_unique=True)), len(a) + len(b)) for a, b in zip(left, right)]
+        likeness = [c / (n - c) if n else 0.0 for c, n in common]
+        yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(likeness, pa.float64())], ["doc_id", "near_id", "jaccard"])
 
 
 def near_pairs(docs: DataFrame) -> DataFrame:
@@ -145,7 +167,10 @@ def near_pairs(docs: DataFrame) -> DataFrame:
     bands = prints.select("doc_id", F.posexplode(F.array(*[F.substring("print", 1 + i * width, width) for i in range(BANDS)])).alias("band", "part"))
     bands = bands.select("doc_id", F.xxhash64("band", "part").alias("band"))
     least = bands.groupBy("band").agg(F.min("doc_id").alias("near_id"), F.count("*").alias("n")).where("n > 1").drop("n")
-    pairs = stage(bands.join(least, "band").where("doc_id <> near_id").select("doc_id", "near_id").distinct(), "pairs")
+    pairs = bands.join(least, "band").where("doc_id <> near_id").select("doc_id", "near_id").distinct()
+    of_near = prints.select(F.col("doc_id").alias("near_id"), F.col("print").alias("near_print"))
+    pairs = pairs.join(prints, "doc_id").join(of_near, "near_id").select("doc_id", "near_id", "print", "near_print")
+    pairs = stage(pairs.mapInArrow(_alike, "doc_id long, near_id long").distinct(), "pairs")
     wanted = pairs.select("doc_id").union(pairs.select("near_id")).distinct()
     texts = packed_texts(identified, wanted)
     both = pairs.join(texts, "doc_id").join(texts.select(F.col("doc_id").alias("near_id"), F.col("packed").alias("near_packed")), "near_id")
@@ -157,6 +182,5 @@ def fingerprint(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """Per row its fingerprint, that of its edited text, the likeness to the edited text and to the next document,
     the least verified near-duplicate of a shared band (near_id, null if none) and how many such there are."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    prints = with_next(rows).select("follows", "doc_id", "packed").mapInArrow(_fingerprints, _SCHEMA)
     near = near_pairs(rows).groupBy("doc_id").agg(F.min("near_id").alias("near_id"), F.count_distinct("near_id").alias("n_near"))
-    return prints.join(near, "doc_id", "left").withColumn("n_near", F.coalesce("n_near", F.lit(0)))
+    return with_next(rows, near).select("follows", "doc_id", "packed", "near_id", "n_near").mapInArrow(_fingerprints, _SCHEMA)
