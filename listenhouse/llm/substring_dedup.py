@@ -11,8 +11,8 @@ merge to maximal ones. A window is a repeat unless it is the first of its kind b
 
 Probes are many, so they travel packed: for each slice of texts and each bucket of
 hashes one row with the hashes of all its documents, ``PROBE_BYTES`` each, without
-places. A bucket answers each document with the hashes that are anchors, and the
-document finds their places again. Equal hashes of one slice are combined before
+places. A bucket answers each document with the hashes that are anchors, packed the
+same way by buckets of documents, and the document finds their places again. Equal hashes of one slice are combined before
 they are sent, so a passage that a third of all documents share reaches its bucket
 once per slice.
 
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from listenhouse.llm.staging import partitions, stage
 from listenhouse.llm.texts import packed_texts, unpack
-from listenhouse.llm.words import slices, windows, words
+from listenhouse.llm.words import mix, slices, windows, words
 
 WINDOW = 20
 BLOCK = 10  # 2 * BLOCK - 1 <= WINDOW: every window contains a whole block
@@ -121,14 +121,9 @@ def _read(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, int, np.ndar
         yield bucket, kind, np.repeat(np.frombuffer(docs, np.int64), np.frombuffer(counts, np.uint32)), _wide(hashes, width)
 
 
-def _answers(docs: np.ndarray, hashes: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
-    if not len(docs):
-        return
-    order = np.argsort(docs, kind="stable")
-    docs, hashes = docs[order], hashes[order]
-    cut = np.flatnonzero(np.concatenate(([True], docs[1:] != docs[:-1])))
-    values = [_narrow(hashes[a:b], width) for a, b in zip(cut, np.append(cut[1:], len(docs)))]
-    yield pa.RecordBatch.from_arrays([pa.array(docs[cut]), pa.array(values, pa.binary())], ["doc_id", "hashes"])
+def _answers(docs: np.ndarray, hashes: np.ndarray, width: int, n: int) -> Iterator[pa.RecordBatch]:
+    """Answers on their way back: packed by bucket of documents."""
+    yield from _rows((mix(docs.view(np.uint64)) % np.uint64(n)).astype(np.int32), 0, docs, hashes, width)
 
 
 def _by_bucket(batches, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -146,20 +141,38 @@ def _by_bucket(batches, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np
         yield tuple(map(np.concatenate, zip(*held)))
 
 
-def _anchors(batches):
+def _anchors(n: int):
     """The hashes of a bucket that are a block of some document and stand in another one, told to all documents that sent them."""
-    for kind, docs, hashes in _by_bucket(batches, PROBE_BYTES):
-        known = kind == _KNOWN
-        yield from _answers(docs[known], hashes[known], PROBE_BYTES)
-        kind, docs, hashes = kind[~known], docs[~known], hashes[~known]
-        order = np.argsort(hashes, kind="stable")
-        kind, docs, hashes = kind[order], docs[order], hashes[order]
-        if not len(hashes):
-            continue
-        cut = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
-        size = np.diff(np.append(cut, len(hashes)))
-        hit = np.repeat((size > 1) & (np.add.reduceat(kind == _BLOCK, cut) > 0), size)
-        yield from _answers(docs[hit], hashes[hit], PROBE_BYTES)
+
+    def run(batches):
+        for kind, docs, hashes in _by_bucket(batches, PROBE_BYTES):
+            known = kind == _KNOWN
+            yield from _answers(docs[known], hashes[known], PROBE_BYTES, n)
+            kind, docs, hashes = kind[~known], docs[~known], hashes[~known]
+            order = np.argsort(hashes, kind="stable")
+            kind, docs, hashes = kind[order], docs[order], hashes[order]
+            if not len(hashes):
+                continue
+            cut = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
+            size = np.diff(np.append(cut, len(hashes)))
+            hit = np.repeat((size > 1) & (np.add.reduceat(kind == _BLOCK, cut) > 0), size)
+            yield from _answers(docs[hit], hashes[hit], PROBE_BYTES, n)
+
+    return run
+
+
+def _gather(width: int):
+    """All answers to a document in one row."""
+
+    def run(batches):
+        for _, docs, hashes in _by_bucket(batches, width):
+            order = np.argsort(docs, kind="stable")
+            docs, hashes = docs[order], hashes[order]
+            cut = np.flatnonzero(np.concatenate(([True], docs[1:] != docs[:-1])))
+            values = [_narrow(hashes[a:b], width) for a, b in zip(cut, np.append(cut[1:], len(docs)))]
+            yield pa.RecordBatch.from_arrays([pa.array(docs[cut]), pa.array(values, pa.binary())], ["doc_id", "hashes"])
+
+    return run
 
 
 def _texts(batch: pa.RecordBatch, column: int, step: int = 256) -> Iterator[pa.RecordBatch]:
@@ -181,7 +194,7 @@ def _candidates(n: int):
                 for doc, a, b, anchors in zip(ids, w.bounds, w.bounds[1:], part.column(2).to_pylist()):
                     if b - a < WINDOW:
                         continue
-                    known = np.unique(_wide(b"".join(anchors), PROBE_BYTES))
+                    known = np.unique(_wide(anchors, PROBE_BYTES))
                     mask = np.uint64((1 << 8 * PROBE_BYTES) - 1)
                     hit = np.isin(windows(w.hashes[a:b], BLOCK) & mask, known)
                     upto = np.concatenate(([0], np.cumsum(hit)))
@@ -203,19 +216,23 @@ def _candidates(n: int):
     return run
 
 
-def _repeats(batches):
+def _repeats(n: int):
     """Windows that an earlier document has too, told to each later document that asked."""
-    for kind, docs, hashes in _by_bucket(batches, 8):
-        known = kind == _KNOWN
-        yield from _answers(docs[known], hashes[known], 8)
-        docs, hashes = docs[~known], hashes[~known]
-        order = np.lexsort((docs, hashes))
-        docs, hashes = docs[order], hashes[order]
-        if not len(docs):
-            continue
-        start = np.concatenate(([True], hashes[1:] != hashes[:-1]))
-        later = docs > docs[np.flatnonzero(start)][np.cumsum(start) - 1]
-        yield from _answers(docs[later], hashes[later], 8)
+
+    def run(batches):
+        for kind, docs, hashes in _by_bucket(batches, 8):
+            known = kind == _KNOWN
+            yield from _answers(docs[known], hashes[known], 8, n)
+            docs, hashes = docs[~known], hashes[~known]
+            order = np.lexsort((docs, hashes))
+            docs, hashes = docs[order], hashes[order]
+            if not len(docs):
+                continue
+            start = np.concatenate(([True], hashes[1:] != hashes[:-1]))
+            later = docs > docs[np.flatnonzero(start)][np.cumsum(start) - 1]
+            yield from _answers(docs[later], hashes[later], 8, n)
+
+    return run
 
 
 def removed(hashes: np.ndarray, repeats: np.ndarray) -> np.ndarray:
@@ -240,7 +257,7 @@ def _finish(batches):
             n_removed, kept, spans = [], [], []
             data = w.data.tobytes()
             for a, b, repeats in zip(w.bounds, w.bounds[1:], part.column(2).to_pylist()):
-                gone = removed(w.hashes[a:b], _wide(b"".join(repeats or []), 8))
+                gone = removed(w.hashes[a:b], _wide(repeats or b"", 8))
                 n_removed.append(int(gone.sum()))
                 stay = np.flatnonzero(~gone) + a
                 kept.append(hashlib.sha256(b" ".join(data[s:e] for s, e in zip(w.starts[stay], w.ends[stay]))).hexdigest())
@@ -256,11 +273,11 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     n = partitions(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NULL_ID)).alias("doc_id"), F.col(text).cast("string").alias("text"))
     dealt = lambda df: df.repartition(n, "bucket").sortWithinPartitions("bucket")
-    anchors = dealt(rows.mapInArrow(_probes(n), _SENT)).mapInArrow(_anchors, _ANSWER)
-    anchors = stage(anchors.groupBy("doc_id").agg(F.collect_list("hashes").alias("hashes")), "anchors")
+    sent = dealt(rows.mapInArrow(_probes(n), _SENT)).mapInArrow(_anchors(n), _SENT)
+    anchors = stage(dealt(sent).mapInArrow(_gather(PROBE_BYTES), _ANSWER), "anchors")
     texts = packed_texts(rows, anchors.select("doc_id"))
     asked = anchors.join(texts, "doc_id").select("doc_id", "packed", "hashes").mapInArrow(_candidates(n), _SENT)
-    repeats = dealt(asked).mapInArrow(_repeats, _ANSWER).groupBy("doc_id").agg(F.collect_list("hashes").alias("hashes"))
+    repeats = dealt(dealt(asked).mapInArrow(_repeats(n), _SENT)).mapInArrow(_gather(8), _ANSWER)
     found = packed_texts(rows).join(repeats, "doc_id", "left").select("doc_id", "packed", "hashes").mapInArrow(_finish, _RESULT)
     return found.withColumn("doc_id", F.when(F.col("doc_id") != _NULL_ID, F.col("doc_id")))
 
