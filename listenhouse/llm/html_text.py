@@ -9,8 +9,12 @@ innermost element that holds ``HELD`` of the content, with all its lines, so tha
 short paragraphs between long ones survive. Where that is the page itself, it
 goes from the first content line, or the headings before it, to the last.
 
-Lines inside elements that are never content by their tag, role or class
-(navigation, footers, forms, adverts, comments, ...) do not take part. Where the
+Lines inside elements that are never content by their tag or role (navigation,
+footers, forms, ...) do not take part. A class or id (``sidebar``, ``comments``,
+``widget``, ...) is only a hint: all its lines are clustered with the rest
+first. A hinted element goes if little of the content lies in it and in the
+others that its word names, and it is not what encloses the page's article; then
+the lines that stay are clustered anew. Where the
 page marks its article (``article``, ``main``, ``itemprop=articleBody``), the
 marked part with most content is the region, with all its lines.
 
@@ -37,6 +41,8 @@ SIGMA = 1.5
 SHARE = 0.5
 #: Share of the content, in characters, that the main element has to hold.
 HELD = 0.75
+#: A hinted element, or all that one word names, stays if it holds this share of the content, in characters.
+LARGE = 0.5
 
 # Element and attribute names of HTML.
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer
@@ -53,6 +59,8 @@ widget""".split())
 CLOSES_P = BLOCKS - {"body", "html", "head", "title", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "optgroup", "legend", "summary", "li", "dd", "dt"}
 SAME = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 ARTICLE = frozenset({"article", "main"})
+#: In a name, what comes behind one of these is told of the element around it: no-sidebar, has-comments.
+TELLS = frozenset({"no", "not", "has", "have", "with", "without"})
 HEADINGS = frozenset({"h1", "h2", "h3", "h4", "h5", "h6"})
 
 _SPLIT = re.compile(r"[^a-z0-9]+")
@@ -62,35 +70,59 @@ _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 def _never(tag: str, attrs: dict[str, str | None], marked: bool) -> bool:
     if tag in NEVER or "hidden" in attrs or (attrs.get("aria-hidden") or "") == "true" or (attrs.get("role") or "").lower() in ROLES:
         return True
-    if tag == "header":
-        return not marked  # an article's own header holds its title
+    return tag == "header" and not marked  # an article's own header holds its title
+
+
+def _hints(tag: str, attrs: dict[str, str | None], marked: bool) -> frozenset[str]:
+    """Words of the class and id that hint at something else than content."""
     if tag in ("html", "body") or tag in ARTICLE:
-        return False
-    named = _CAMEL.sub(" ", f"{attrs.get('class') or ''} {attrs.get('id') or ''}").lower()
-    return any(w in HINTS and not (marked and w == "header") for w in _SPLIT.split(named))
+        return frozenset()
+    found = set()
+    for name in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split():
+        for word in _SPLIT.split(_CAMEL.sub("-", name).lower()):
+            if word in TELLS:
+                break
+            if word in HINTS and not (marked and word == "header"):
+                found.add(word)
+    return frozenset(found)
 
 
 class Lines(HTMLParser):
-    """Collects lines: text, link characters, tags, and the number of the marked part they lie in."""
+    """Collects what lines are made of: texts and tags, each with the hinted element it lies in, and the ends of lines."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int, int]] = []  # tag, never content, marked part, element
-        self.lines: list[tuple[str, int, int, int, int, bool]] = []
+        self.open: list[tuple[str, bool, int, int, int]] = []  # tag, never content, marked part, element, hinted element
+        self.events: list[tuple] = []  # (text, hinted element, linked), (hinted element,) of a tag, (part, element, heading, None) of an end
         self.above: list[int] = [0]  # of each element the one around it; 0 is the page
-        self.text: list[str] = []
-        self.linked = self.tags = self.parts = self.anchors = 0
+        self.hinted: list[tuple[int, frozenset[str]]] = [(0, frozenset())]  # of each hinted element the one around it, and its words
+        self.parts: list[tuple[str, int]] = [("", 0)]  # of each marked part the tag and the hinted element around it
+        self.anchors = 0
 
-    def _top(self) -> tuple[bool, int]:
-        return (self.open[-1][1], self.open[-1][2]) if self.open else (False, 0)
+    def _top(self) -> tuple[bool, int, int]:
+        return (self.open[-1][1], self.open[-1][2], self.open[-1][4]) if self.open else (False, 0, 0)
 
     def flush(self) -> None:
-        words = "".join(self.text).split()
-        if words:
-            tag, _, part, element = self.open[-1] if self.open else ("", False, 0, 0)
-            self.lines.append((" ".join(words), self.linked, self.tags, part, element, tag in HEADINGS))
-            self.tags = 0
-        self.text, self.linked = [], 0
+        tag, _, part, element, _ = self.open[-1] if self.open else ("", False, 0, 0, 0)
+        self.events.append((part, element, tag in HEADINGS, None))
+
+    def lines(self, dropped: set[int]) -> list[tuple[str, int, int, int, int, bool, list[tuple[int, int]]]]:
+        """Text, link characters, tags, marked part, element, heading or not, and the characters by hinted element."""
+        lines, pieces, tags = [], [], 0
+        for event in self.events:
+            if len(event) == 3:
+                if event[1] not in dropped:
+                    pieces.append(event)
+            elif len(event) == 1:
+                tags += event[0] not in dropped
+            elif pieces:
+                words = "".join(text for text, *_ in pieces).split()
+                if words:
+                    linked = sum(len(text) for text, _, inside in pieces if inside)
+                    lines.append((" ".join(words), linked, tags, *event[:3], [(hint, len(text.strip())) for text, hint, _ in pieces]))
+                    tags = 0
+                pieces = []
+        return lines
 
     def _close(self, place: int) -> None:
         self.flush()
@@ -99,13 +131,14 @@ class Lines(HTMLParser):
         del self.open[place:]
 
     def handle_starttag(self, tag, attrs):
-        never, part = self._top()
-        self.tags += not never
+        never, part, hint = self._top()
+        if not never:
+            self.events.append((hint,))
         if tag in VOID:
             if tag == "hr":
                 self.flush()
             elif tag == "br" and not never:
-                self.text.append(" ")
+                self.events.append((" ", hint, False))
             return
         if tag in BLOCKS:
             self.flush()
@@ -117,18 +150,22 @@ class Lines(HTMLParser):
                     break
                 if name in (until or ()) or (name in BLOCKS and name != "p"):
                     break
-            never, part = self._top()
+            never, part, hint = self._top()
         attributes = dict(attrs)
         if not never and not part and (tag in ARTICLE or (attributes.get("itemprop") or "").lower() == "articlebody"):
-            self.parts += 1
-            part = self.parts
+            self.parts.append((tag, hint))
+            part = len(self.parts) - 1
         never = never or _never(tag, attributes, part > 0)
+        words = frozenset() if never else _hints(tag, attributes, part > 0)
+        if words:
+            self.hinted.append((hint, words))
+            hint = len(self.hinted) - 1
         self.anchors += tag == "a"
         above = self.open[-1][3] if self.open else 0
         if tag in BLOCKS and tag not in ("html", "body"):
             self.above.append(above)
             above = len(self.above) - 1
-        self.open.append((tag, never, part, above))
+        self.open.append((tag, never, part, above, hint))
 
     def handle_startendtag(self, tag, attrs):
         if tag in VOID:
@@ -138,8 +175,9 @@ class Lines(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        never, _ = self._top()
-        self.tags += not never
+        never, _, hint = self._top()
+        if not never:
+            self.events.append((hint,))
         for place in range(len(self.open) - 1, -1, -1):
             if self.open[place][0] == tag:
                 if tag in BLOCKS or any(t in BLOCKS for t, *_ in self.open[place:]):
@@ -156,11 +194,9 @@ class Lines(HTMLParser):
         return self.parse_bogus_comment(i)  # as browsers read <![...>
 
     def handle_data(self, data):
-        if self._top()[0]:
-            return
-        self.text.append(data)
-        if self.anchors:
-            self.linked += len(data)
+        never, _, hint = self._top()
+        if not never:
+            self.events.append((data, hint, self.anchors > 0))
 
 
 def smoothed(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -171,6 +207,51 @@ def smoothed(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return full / np.convolve(np.ones(len(ratio)), kernel)[reach : reach + len(ratio)]
 
 
+def clustered(lines: list[tuple]) -> np.ndarray:
+    """Which lines are content."""
+    ratio = np.array([max(0, len(text) - 2 * linked) / max(1, tags) for text, linked, tags, *_ in lines], float)
+    line = smoothed(ratio)
+    content = line >= SHARE * line.std()
+    return content & ((ratio > 0) | ~(ratio[content] > 0).any())
+
+
+def _dropped(parser: Lines, lines: list[tuple], content: np.ndarray) -> set[int]:
+    """Hinted elements that are no content, with all inside them."""
+    weight, depth = [0] * len(parser.hinted), [0] * len(parser.hinted)
+    held = [0] * len(parser.parts)
+    marked = {part for _, _, _, part, *_ in lines} - {0}
+    for (_, _, _, part, _, _, pieces), chosen in zip(lines, content):
+        for hint, n in pieces if chosen else ():
+            weight[hint] += n
+            held[part] += n
+    free = weight[0]  # content outside all hinted elements
+    for hint in range(len(weight) - 1, 0, -1):
+        weight[parser.hinted[hint][0]] += weight[hint]
+    for hint in range(1, len(depth)):
+        depth[hint] = depth[parser.hinted[hint][0]] + 1
+    large = LARGE * weight[0]
+    stay = {hint for hint in range(1, len(weight)) if weight[hint] >= large}
+    # The article is what lies in the fewest hinted elements; the articles of a list of comments or teasers are not.
+    least = min((depth[parser.parts[part][1]] for part in marked), default=0)
+    for part in marked:
+        tag, hint = parser.parts[part]
+        if depth[hint] == least and (tag == "main" or held[part] >= free):
+            while hint:
+                stay.add(hint)
+                hint = parser.hinted[hint][0]
+    named: dict[str, int] = {}
+    inside: list[frozenset[str]] = [frozenset()]  # words of the elements around, which count those within
+    for hint, (around, words) in enumerate(parser.hinted[1:], 1):
+        inside.append(inside[around] if hint in stay else inside[around] | words)
+        for word in words - inside[around] if hint not in stay else ():
+            named[word] = named.get(word, 0) + weight[hint]
+    dropped: set[int] = set()
+    for hint, (around, words) in enumerate(parser.hinted[1:], 1):
+        if around in dropped or (hint not in stay and any(named[word] < large for word in words if word in named)):
+            dropped.add(hint)
+    return dropped
+
+
 def main_text(html: str | None) -> str:
     parser = Lines()
     parser.feed(html or "")
@@ -178,15 +259,19 @@ def main_text(html: str | None) -> str:
     while parser.open:
         parser._close(len(parser.open) - 1)
     parser.flush()
-    lines = parser.lines
+    lines = parser.lines(set())
     if not lines:
         return ""
-    ratio = np.array([max(0, len(text) - 2 * linked) / max(1, tags) for text, linked, tags, *_ in lines], float)
-    line = smoothed(ratio)
-    content = line >= SHARE * line.std()
-    content &= (ratio > 0) | ~(ratio[content] > 0).any()
+    content = clustered(lines)
+    if len(parser.hinted) > 1:
+        dropped = _dropped(parser, lines, content)
+        if dropped:
+            lines = parser.lines(dropped)
+            if not lines:
+                return ""
+            content = clustered(lines)
     held: dict[int, tuple[int, int]] = {}
-    for (text, _, _, part, _, _), chosen in zip(lines, content):
+    for (text, _, _, part, *_), chosen in zip(lines, content):
         if part:
             own, every = held.get(part, (0, 0))
             held[part] = own + len(text) * bool(chosen), every + len(text)
@@ -195,7 +280,7 @@ def main_text(html: str | None) -> str:
         return "\n\n".join(text for text, _, _, part, *_ in lines if part == best)
     main = _main_element(lines, content, parser.above)
     if main:
-        return "\n\n".join(text for text, _, _, _, element, _ in lines if _within(element, main, parser.above))
+        return "\n\n".join(text for text, _, _, _, element, *_ in lines if _within(element, main, parser.above))
     found = np.flatnonzero(content)
     first = found[0]
     while first and lines[first - 1][5]:
@@ -206,14 +291,14 @@ def main_text(html: str | None) -> str:
 def _main_element(lines: list[tuple], content: np.ndarray, above: list[int]) -> int:
     """The last opened of the innermost elements with HELD of the content; 0 for the page."""
     weight = [0] * len(above)
-    for (text, _, _, _, element, _), chosen in zip(lines, content):
+    for (text, _, _, _, element, *_), chosen in zip(lines, content):
         weight[element] += len(text) * bool(chosen)
     for element in range(len(above) - 1, 0, -1):  # an element is opened after those around it
         weight[above[element]] += weight[element]
     enough = [e for e in range(len(above)) if weight[e] >= HELD * weight[0]]
     inner = enough[-1]
     # One long paragraph is not the element that was meant; what stands around it is.
-    return above[inner] if sum(_within(e, inner, above) for *_, e, _ in lines) == 1 else inner
+    return above[inner] if sum(_within(e, inner, above) for _, _, _, _, e, *_ in lines) == 1 else inner
 
 
 def _within(element: int, main: int, above: list[int]) -> bool:
