@@ -5,9 +5,9 @@ line; each line has its characters of text, the characters among them that are
 links, and the tags met on the way. The text-to-tag ratio of the lines is
 smoothed with a Gaussian, and lines are clustered by a threshold relative to
 the page's spread: runs above it are content regions. The main text is the
-innermost element that holds ``HELD`` of the content, with all its lines, so that
-short paragraphs between long ones survive. Where that is the page itself, it
-goes from the first content line, or the headings before it, to the last.
+innermost element that holds all content, with all its lines and the headings just
+before it, so that short paragraphs between long ones survive. Where that is the page
+itself, it goes from the first content line, or the headings before it, to the last.
 
 Lines inside elements that are never content by their tag or role (navigation,
 footers, forms, ...) do not take part. A class or id (``sidebar``, ``comments``,
@@ -15,8 +15,9 @@ footers, forms, ...) do not take part. A class or id (``sidebar``, ``comments``,
 first. A hinted element goes if little of the content lies in it and in the
 others that its word names, and it is not what encloses the page's article; then
 the lines that stay are clustered anew. Where the
-page marks its article (``article``, ``main``, ``itemprop=articleBody``), the
-marked part with most content is the region, with all its lines.
+page marks its article (``article``, ``main``, ``itemprop=articleBody``), all
+marked parts with content are the region, with all their lines; to an
+``articleBody`` without h1 belongs the h1 above it. If no marked part has content, its lines count as content.
 
 Defined results: null, empty or unparsable html gives an empty text; unclosed
 and misnested tags end with the nearest enclosing element that matches;
@@ -39,8 +40,6 @@ from pyspark.sql import functions as F
 SIGMA = 1.5
 #: Lines above this share of the standard deviation of smoothed ratios are content.
 SHARE = 0.5
-#: Share of the content, in characters, that the main element has to hold.
-HELD = 0.75
 #: A hinted element, or all that one word names, stays if it holds this share of the content, in characters.
 LARGE = 0.5
 
@@ -95,6 +94,7 @@ class Lines(HTMLParser):
         self.open: list[tuple[str, bool, int, int, int]] = []  # tag, never content, marked part, element, hinted element
         self.events: list[tuple] = []  # (text, hinted element, linked), (hinted element,) of a tag, (part, element, heading, None) of an end
         self.above: list[int] = [0]  # of each element the one around it; 0 is the page
+        self.tops: set[int] = set()  # elements that are h1
         self.hinted: list[tuple[int, frozenset[str]]] = [(0, frozenset())]  # of each hinted element the one around it, and its words
         self.parts: list[tuple[str, int]] = [("", 0)]  # of each marked part the tag and the hinted element around it
         self.anchors = 0
@@ -165,6 +165,8 @@ class Lines(HTMLParser):
         if tag in BLOCKS and tag not in ("html", "body"):
             self.above.append(above)
             above = len(self.above) - 1
+            if tag == "h1":
+                self.tops.add(above)
         self.open.append((tag, never, part, above, hint))
 
     def handle_startendtag(self, tag, attrs):
@@ -270,33 +272,45 @@ def main_text(html: str | None) -> str:
             if not lines:
                 return ""
             content = clustered(lines)
-    held: dict[int, tuple[int, int]] = {}
-    for (text, _, _, part, *_), chosen in zip(lines, content):
-        if part:
-            own, every = held.get(part, (0, 0))
-            held[part] = own + len(text) * bool(chosen), every + len(text)
-    if held:
-        best = max(held, key=lambda part: (held[part], -part))
-        return "\n\n".join(text for text, _, _, part, *_ in lines if part == best)
+    chosen_parts = {part for (_, _, _, part, *_), chosen in zip(lines, content) if part and chosen}
+    if chosen_parts:
+        kept = np.array([part in chosen_parts for _, _, _, part, *_ in lines])
+        if parser.parts[lines[kept.argmax()][3]][0] not in ARTICLE:
+            _add_title(kept, lines, parser.tops)
+        return "\n\n".join(text for (text, *_), own in zip(lines, kept) if own)
+    # Marked parts that are not told from the rest by their text stay with what is.
+    content |= np.array([part > 0 for _, _, _, part, *_ in lines])
     main = _main_element(lines, content, parser.above)
-    if main:
-        return "\n\n".join(text for text, _, _, _, element, *_ in lines if _within(element, main, parser.above))
-    found = np.flatnonzero(content)
+    found = np.flatnonzero([_within(element, main, parser.above) for _, _, _, _, element, *_ in lines] if main else content)
     first = found[0]
     while first and lines[first - 1][5]:
         first -= 1
     return "\n\n".join(text for text, *_ in lines[first : found[-1] + 1])
 
 
+def _add_title(kept: np.ndarray, lines: list[tuple], tops: set[int]) -> None:
+    """Adds the last h1 above the first kept line, if there is none among them, and the headings just before."""
+    if any(own and line[4] in tops for line, own in zip(lines, kept)):
+        return
+    at = first = int(kept.argmax())
+    while first and lines[first - 1][5]:
+        first -= 1
+        kept[first] = True
+    while at:
+        at -= 1
+        if lines[at][4] in tops:
+            kept[at] = True
+            return
+
+
 def _main_element(lines: list[tuple], content: np.ndarray, above: list[int]) -> int:
-    """The last opened of the innermost elements with HELD of the content; 0 for the page."""
+    """The innermost element with all content; 0 for the page."""
     weight = [0] * len(above)
-    for (text, _, _, _, element, *_), chosen in zip(lines, content):
-        weight[element] += len(text) * bool(chosen)
+    for (_, _, _, _, element, *_), chosen in zip(lines, content):
+        weight[element] += bool(chosen)
     for element in range(len(above) - 1, 0, -1):  # an element is opened after those around it
         weight[above[element]] += weight[element]
-    enough = [e for e in range(len(above)) if weight[e] >= HELD * weight[0]]
-    inner = enough[-1]
+    inner = max(e for e in range(len(above)) if weight[e] == weight[0])
     # One long paragraph is not the element that was meant; what stands around it is.
     return above[inner] if sum(_within(e, inner, above) for _, _, _, _, e, *_ in lines) == 1 else inner
 

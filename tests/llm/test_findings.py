@@ -25,3 +25,15 @@ def test_html_hint_of_small_elements():
     teaser = "<div class=sidebar><article><p>Another story, in a few words of its own.</p></article></div>"
     assert html_text.main_text(f"<body><div>{_BODY}</div>{teaser}</body>") == _TEXT
     assert html_text.main_text(f"<body><div><p>{_LONG[0]} <span class=share>Share it</span></p>{_BODY}</div></body>") == f"{_LONG[0]}\n\n{_TEXT}"
+
+
+def test_html_all_of_the_content():
+    """Neither a quarter of the content nor a second marked part is cut."""
+    a, b, c, d = _LONG
+    page = f"<div class=post><h1>Title</h1><p>lead</p><div class=text><p>{a}</p><p>{b}</p></div></div>"
+    assert html_text.main_text(page) == f"Title\n\nlead\n\n{a}\n\n{b}"
+    assert html_text.main_text(f"<nav>Home</nav><div><section>{_BODY * 2}</section><section><p>{a}</p></section></div>") == f"{_TEXT}\n\n{_TEXT}\n\n{a}"
+    for first, second in (("article", "article"), ("div itemprop=articleBody", "div itemprop=articleBody")):
+        parts = f"<{first}><p>{a}</p><p>{b}</p></{first.split()[0]}><p>x</p><{second}><p>{c}</p><p>{d}</p></{second.split()[0]}>"
+        assert html_text.main_text(parts) == _TEXT
+    assert html_text.main_text(f"<div><h1>Title</h1><p>By me</p><div itemprop=articleBody>{_BODY}</div></div>") == f"Title\n\n{_TEXT}"
