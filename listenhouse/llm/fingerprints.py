@@ -4,8 +4,12 @@ A fingerprint is the hex form of ``SIZE`` MinHash values of 16 bits over the dis
 shingles, computed with universal hash functions in numpy. Its likeness to
 another is the share of equal values, an estimate of Jaccard.
 
-``near_pairs`` posts fingerprints under their bands and joins each document with the least
-document of each band; candidates are verified on their full shingle sets.
+``near_classes`` posts fingerprints under their bands and verifies pairs on their full shingle sets.
+Equal sets are one node. Each node meets the least one of each of its bands; members of a band
+that are in different components then meet a member of its largest component, and what is
+still apart meets by exact prefixes of full sets. A pair of Jaccard 0.75 shares no band with
+probability 0.0023 (0.8: 0.0002); one that shares a band is lost with probability 2e-6 or its
+documents are in one class.
 ``with_next`` brings every document together with the one that follows it by
 doc_id, in one shuffle: ranges of doc_id are cut at quantiles, and the first
 document of a range is also given to the range before.
@@ -27,9 +31,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from listenhouse.llm.components import components
+from listenhouse.llm.near_dedup import _unmet, apart
 from listenhouse.llm.staging import partitions, stage
 from listenhouse.llm.texts import packed_texts, parts, unpack
-from listenhouse.llm.words import MinHash, shingles, slices, words
+from listenhouse.llm.words import MinHash, mix, shingles, slices, words
 
 SHINGLE = 5
 SIZE = 64
@@ -67,10 +73,10 @@ def _range_of(key: Column, cuts: list[int]) -> Column:
 
 
 def with_next(docs: DataFrame, near: DataFrame) -> DataFrame:
-    """Sorted partitions of (range, follows, key, doc_id, packed, near_id, n_near).
+    """Sorted partitions of (range, follows, key, doc_id, packed, near_id, n_near, class_id).
 
     Each range ends with the row that follows its last one. Before a document come its rows of ``near`` (doc_id, near_id,
-    n_near), so that these need no join with the wide results.
+    n_near, class_id), so that these need no join with the wide results.
     """
     n = partitions(docs.sparkSession)
     key = F.coalesce("doc_id", F.lit(-(1 << 63)))
@@ -81,18 +87,18 @@ def with_next(docs: DataFrame, near: DataFrame) -> DataFrame:
     before = place(F.when(F.col("range") > 0, F.col("range") - 1).otherwise(max(0, len(cuts) - 1)), True)
     first = F.coalesce(F.get(F.from_json(F.lit(json.dumps(cuts)), "array<bigint>"), "range") == F.col("key"), F.lit(False))
     dealt = rows.withColumn("place", F.explode(F.when(first, F.array(own, before)).otherwise(F.array(own))))
-    dealt = dealt.select("place.range", "place.follows", "key", "doc_id", "packed", F.lit(None).cast("long").alias("near_id"), F.lit(None).cast("long").alias("n_near"))
+    dealt = dealt.select("place.range", "place.follows", "key", "doc_id", "packed", *[F.lit(None).cast("long").alias(c) for c in _NEAR])
     found = near.select(
         _range_of(F.col("doc_id"), cuts).cast("int").alias("range"), F.lit(False).alias("follows"), F.col("doc_id").alias("key"), "doc_id",
-        F.lit(None).cast("binary").alias("packed"), "near_id", "n_near",
+        F.lit(None).cast("binary").alias("packed"), *_NEAR,
     )
     order = ["range", "follows", "key", F.col("n_near").isNull(), "packed"]
     return dealt.union(found).repartition(n, "range").sortWithinPartitions(*order)
 
 
 def _fingerprints(batches):
-    waiting: list[tuple[int | None, str, tuple[int | None, int]]] = []
-    size, known, none = 0, (None, (None, 0)), (None, 0)
+    waiting: list[tuple[int | None, str, tuple[int | None, int, int | None]]] = []
+    size, known, none = 0, (None, (None, 0, None)), (None, 0, None)
 
     def flush(last: str | None) -> tuple[pa.RecordBatch, list]:
         """Results of all that wait and whose follower is known."""
@@ -105,7 +111,7 @@ def _fingerprints(batches):
             pa.array([hashlib.sha256(t.encode()).hexdigest() for t in changed], pa.string()),
             pa.array([v.tobytes().hex() for v in own[:ready]], pa.string()), pa.array([v.tobytes().hex() for v in other], pa.string()),
             pa.array((own[:ready] == other).mean(axis=1)), pa.array((own[:ready] == own[1:]).mean(axis=1)),
-            pa.array([near for *_, (near, _) in waiting[:ready]], pa.int64()), pa.array([n for *_, (_, n) in waiting[:ready]], pa.int64()),
+            *[pa.array([near[c] for *_, near in waiting[:ready]], pa.int64()) for c in range(3)],
         ], _COLUMNS)
         return batch, waiting[ready:]
 
@@ -113,9 +119,9 @@ def _fingerprints(batches):
         for i in range(0, batch.num_rows, 64):
             part = batch.slice(i, 64)
             texts = unpack(part.column(2)).fill_null("").to_pylist()
-            for follows, doc, text, near, n_near in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), texts, *(part.column(c).to_pylist() for c in (3, 4))):
+            for follows, doc, text, near, n_near, group in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), texts, *(part.column(c).to_pylist() for c in (3, 4, 5))):
                 if n_near is not None:
-                    known = (doc, (near, n_near))
+                    known = (doc, (near, n_near, group))
                     continue
                 if follows:
                     if waiting:  # else an equal key of the next range, behind its first
@@ -131,13 +137,25 @@ def _fingerprints(batches):
                     size = len(waiting[0][1])
 
 
-_COLUMNS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "near_id", "n_near"]
-_SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, near_id long, n_near long"
+_NEAR = ["near_id", "n_near", "class_id"]
+_COLUMNS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", *_NEAR]
+_SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, near_id long, n_near long, class_id long"
+
+
+_SET = ["n_shingles", "set_a", "set_b"]
 
 
 def _prints(batches):
+    """Fingerprint, size and 128-bit digest of the shingle set."""
     for part in slices(batches, 1):
-        yield pa.RecordBatch.from_arrays([part.column(0), pa.array([v.tobytes() for v in values(part.column(1))], pa.binary())], ["doc_id", "print"])
+        prints, sizes, first, second = [], [], [], []
+        for items in shingles(words(part.column(1), lower=True), SHINGLE):
+            prints.append((_SKETCH(items) >> np.uint64(48)).astype(">u2").tobytes())
+            sizes.append(len(items))
+            first.append(items.sum(dtype=np.uint64))
+            second.append(mix(items ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
+        digests = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (first, second)]
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(prints, pa.binary()), pa.array(sizes, pa.int64()), *digests], ["doc_id", "print", *_SET])
 
 
 def _alike(batches):
@@ -156,31 +174,52 @@ def _verify(batches):
         yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(likeness, pa.float64())], ["doc_id", "near_id", "jaccard"])
 
 
-def near_pairs(docs: DataFrame) -> DataFrame:
-    """(doc_id, near_id, jaccard): documents and the least document of a band of theirs, at Jaccard THRESHOLD or more on full sets.
+def verified(pairs: DataFrame, prints: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of Jaccard THRESHOLD or more on full sets, of those whose fingerprints are alike; staged."""
+    left, right = (prints.select(F.col("d").alias(k), F.col("print").alias(f"print_{k}"), F.col("n_shingles").alias(f"n_{k}")) for k in "ab")
+    with_print = pairs.join(left, "a").join(right, "b").where(F.least("n_a", "n_b") >= THRESHOLD * F.greatest("n_a", "n_b"))
+    likely = stage(with_print.select("a", "b", "print_a", "print_b").mapInArrow(_alike, "doc_id long, near_id long").distinct(), "pairs")
+    wanted = likely.select("doc_id").union(likely.select("near_id")).distinct()
+    packed = packed_texts(texts, wanted)
+    both = likely.join(packed, "doc_id").join(packed.select(F.col("doc_id").alias("near_id"), F.col("packed").alias("near_packed")), "near_id")
+    found = both.select("doc_id", "near_id", "packed", "near_packed").mapInArrow(_verify, "doc_id long, near_id long, jaccard double")
+    return stage(found.where(F.col("jaccard") >= THRESHOLD).select(F.col("doc_id").alias("a"), F.col("near_id").alias("b")).distinct(), "links")
+
+
+def near_classes(docs: DataFrame) -> DataFrame:
+    """(doc_id, near_id, n_near, class_id) of documents that have a near-duplicate.
 
-    A band that many documents share gives one pair for each of them.
+    A class is what verified links connect. A band that many documents share gives some pair for each of them, not for each two.
     """
     identified = docs.where("doc_id is not null")
-    prints = stage(identified.mapInArrow(_prints, "doc_id long, print binary"), "prints")
+    every = stage(identified.mapInArrow(_prints, "doc_id long, print binary, n_shingles long, set_a long, set_b long").where("n_shingles > 0"), "prints")
+    ids = every.select("doc_id", *_SET).distinct()
+    sets = stage(ids.groupBy(*_SET).agg(F.min("doc_id").alias("d"), F.count("*").alias("copies")), "sets")
+    prints = stage(every.join(sets.select("d", *_SET), [every.doc_id == F.col("d"), *[every[c] == sets[c] for c in _SET]]).select("d", "print", every.n_shingles).distinct(), "nodes")
     width = 2 * SIZE // BANDS
-    bands = prints.select("doc_id", F.posexplode(F.array(*[F.substring("print", 1 + i * width, width) for i in range(BANDS)])).alias("band", "part"))
-    bands = bands.select("doc_id", F.xxhash64("band", "part").alias("band"))
-    least = bands.groupBy("band").agg(F.min("doc_id").alias("near_id"), F.count("*").alias("n")).where("n > 1").drop("n")
-    pairs = bands.join(least, "band").where("doc_id <> near_id").select("doc_id", "near_id").distinct()
-    of_near = prints.select(F.col("doc_id").alias("near_id"), F.col("print").alias("near_print"))
-    pairs = pairs.join(prints, "doc_id").join(of_near, "near_id").select("doc_id", "near_id", "print", "near_print")
-    pairs = stage(pairs.mapInArrow(_alike, "doc_id long, near_id long").distinct(), "pairs")
-    wanted = pairs.select("doc_id").union(pairs.select("near_id")).distinct()
-    texts = packed_texts(identified, wanted)
-    both = pairs.join(texts, "doc_id").join(texts.select(F.col("doc_id").alias("near_id"), F.col("packed").alias("near_packed")), "near_id")
-    verified = both.select("doc_id", "near_id", "packed", "near_packed").mapInArrow(_verify, "doc_id long, near_id long, jaccard double")
-    return verified.where(F.col("jaccard") >= THRESHOLD)
+    bands = prints.select("d", F.posexplode(F.array(*[F.substring("print", 1 + i * width, width) for i in range(BANDS)])).alias("band", "part"))
+    bands = bands.select(F.xxhash64("band", "part").alias("key"), "d").distinct()
+    shared = bands.groupBy("key").agg(F.min("d").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
+    lists = stage(bands.join(shared, "key"), "lists")
+    links = verified(lists.where("d <> pivot").select(F.col("d").alias("a"), F.col("pivot").alias("b")).distinct(), prints, identified)
+    # Members of a band that are in different components meet one of the largest; what is still apart, by exact prefixes.
+    lists = lists.drop("pivot")
+    unmet = _unmet(lists, components(links)).where("label <> largest").select(F.col("d").alias("a"), F.col("pivot").alias("b"))
+    links = links.union(verified(unmet.distinct(), prints, identified))
+    links = links.union(verified(apart(_unmet(lists, components(links)), identified), prints, identified))
+
+    below = links.select(F.greatest("a", "b").alias("d"), F.least("a", "b").alias("least")).groupBy("d").agg(F.min("least").alias("least"))
+    labelled = sets.join(components(links).withColumnRenamed("node", "d"), "d", "left").join(below, "d", "left")
+    labelled = stage(labelled.withColumn("class_id", F.coalesce("component", "d")).where("component is not null or copies > 1").select(*_SET, F.coalesce("least", "d").alias("least"), "copies", "class_id"), "classes")
+    sizes = labelled.groupBy("class_id").agg((F.sum("copies") - 1).alias("n_near"))
+    of = ids.join(labelled.join(sizes, "class_id"), _SET)
+    near = F.min(F.when(F.col("least") < F.col("doc_id"), F.col("least"))).alias("near_id")
+    return of.groupBy("doc_id").agg(near, F.min_by("n_near", "class_id").alias("n_near"), F.min("class_id").alias("class_id"))
 
 
 def fingerprint(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row its fingerprint, that of its edited text, the likeness to the edited text and to the next document,
-    the least verified near-duplicate of a shared band (near_id, null if none) and how many such there are."""
+    """Per row its fingerprint, that of its edited text, the likeness to the edited text and to the next document, the least
+    verified near-duplicate before it that it met (near_id, null if none), the least document of its class of near-duplicates
+    (class_id, null if it is alone; the least member has it too) and how many others are in the class (n_near)."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    near = near_pairs(rows).groupBy("doc_id").agg(F.min("near_id").alias("near_id"), F.count_distinct("near_id").alias("n_near"))
-    return with_next(rows, near).select("follows", "doc_id", "packed", "near_id", "n_near").mapInArrow(_fingerprints, _SCHEMA)
+    return with_next(rows, near_classes(rows)).select("follows", "doc_id", "packed", *_NEAR).mapInArrow(_fingerprints, _SCHEMA)

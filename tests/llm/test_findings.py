@@ -1,8 +1,13 @@
 """Small cases of what reviews found missing."""
 
+import random
+
 import pytest
 
-from listenhouse.llm import html_text
+from listenhouse.llm import fingerprints, html_text
+from tests.llm import brute
+from tests.llm.conftest import table
+from tests.llm.test_edges import BASE, changed, prose
 
 _LONG = [f"This is paragraph number {i} of the story, with quite a few words, so that it is content by any measure." for i in range(4)]
 _BODY = "".join(f"<p>{p}</p>" for p in _LONG)
@@ -37,3 +42,19 @@ def test_html_all_of_the_content():
         parts = f"<{first}><p>{a}</p><p>{b}</p></{first.split()[0]}><p>x</p><{second}><p>{c}</p><p>{d}</p></{second.split()[0]}>"
         assert html_text.main_text(parts) == _TEXT
     assert html_text.main_text(f"<div><h1>Title</h1><p>By me</p><div itemprop=articleBody>{_BODY}</div></div>") == f"Title\n\n{_TEXT}"
+
+
+def test_fingerprint_classes(spark):
+    """Copies, near copies around the threshold whose least member is far from most, and documents with a passage in common."""
+    r = random.Random(12)
+    rows = [(i, changed(BASE, r.sample(range(300), 12))) for i in range(40)]
+    rows += [(100 + i, prose(150, 1000 + i) + " " + " ".join(BASE.split()[:150])) for i in range(20)] + [(200, rows[7][1]), (201, None), (202, "")]
+    half = prose(150, 5)
+    rows += [(300, half + " " + prose(150, 6))] + [(301 + i, changed(half + " " + prose(120, 7), [i])) for i in range(4)]
+    group = brute.components(rows)
+    size = brute.Counter(group.values())
+    texts = dict(rows)
+    for x in fingerprints.fingerprint(table(spark, rows)).collect():
+        alone = size[group[x.doc_id]] == 1
+        assert (x.class_id, x.n_near) == ((None, 0) if alone else (group[x.doc_id], size[group[x.doc_id]] - 1))
+        assert x.near_id is None or (x.near_id < x.doc_id and brute.jaccard(texts[x.doc_id], texts[x.near_id]) >= 0.75)
