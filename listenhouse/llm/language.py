@@ -3,8 +3,12 @@
 A text becomes a vector of character n-grams (1 to 3 bytes of its letters in
 lower case, hashed to ``DIMENSIONS`` places): logarithmic counts times inverse
 document frequency, at unit length. Every language has up to ``CENTROIDS``
-centroids from spherical k-means; the nearest one by cosine decides. A text
-farther than ``MAX_DISTANCE`` from every centroid is rejected.
+centroids from spherical k-means; the nearest one by cosine decides. A text is
+rejected if its cosine is below the limit of that language for texts of its number of
+distinct n-grams. Limits are learned: each half of a language's sample, cut to several lengths,
+is compared with the centroids of the other half, and the limit is ``MARGIN`` of a
+low quantile. Texts of fewer than ``FEW`` distinct n-grams, and languages with too few learning rows
+to tell, have only the fixed limit ``MAX_DISTANCE``.
 
 Document frequencies cover all learning rows. The centroids are fitted on a
 sample of at most ``SAMPLE`` rows of each language, those with the least hash
@@ -34,6 +38,13 @@ CENTROIDS = 4
 SAMPLE = 400
 #: One minus the cosine to the nearest centroid above which a text is rejected.
 MAX_DISTANCE = 0.97
+#: Quantile of the cosines of learning rows, the share of it that is the limit, the rows it takes, and the n-grams a text needs to be told.
+QUANTILE = 0.01
+MARGIN = 0.6
+LEAST_ROWS = 20
+FEW = 24
+#: Characters that learning rows are cut to, besides the whole row.
+LENGTHS = (12, 24, 48, 96, 192, 384, 768, 1536, 3072)
 ROUNDS = 8
 _BASES = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 
@@ -89,23 +100,63 @@ def _frequencies(batches):
         yield pa.RecordBatch.from_arrays([pa.array(np.append(np.arange(DIMENSIONS), -1)), pa.array(np.append(df, n))], ["place", "n"])
 
 
+def _vectors(texts: list[str], idf: np.ndarray):
+    """TF-IDF rows and their numbers of distinct n-grams, slice by slice."""
+    for part in _parts([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])], 0):
+        rows = counts(part.column(0))
+        yield weighted(rows, idf), (rows > 0).sum(axis=1)
+
+
+def _centres(vectors: np.ndarray) -> np.ndarray:
+    """Spherical k-means; starts from rows spread by farthest-first choice."""
+    centres = vectors.mean(axis=0, keepdims=True)
+    for _ in range(min(CENTROIDS, len(vectors)) - 1):
+        far = (vectors @ centres.T).max(axis=1).argmin()
+        centres = np.concatenate((centres, vectors[far : far + 1]))
+    for _ in range(ROUNDS):
+        near = (vectors @ centres.T).argmax(axis=1)
+        for c in range(len(centres)):
+            if (near == c).any():
+                centres[c] = vectors[near == c].mean(axis=0)
+        centres /= np.maximum(np.sqrt((centres * centres).sum(axis=1, keepdims=True)), 1e-12)
+    return centres
+
+
+def _bucket(grams: np.ndarray) -> np.ndarray:
+    return np.log2(np.maximum(grams, 1)).astype(int)
+
+
+def _limits(texts: list[str], vectors: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """The least cosine of a text of the language, by the logarithm of its number of distinct n-grams."""
+    limits = np.full(_bucket(np.array(DIMENSIONS)) + 1, 1 - MAX_DISTANCE)
+    if len(texts) < 2 * LEAST_ROWS:
+        return limits
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for half in (0, 1):
+        centres = _centres(vectors[1 - half :: 2])
+        own = texts[half::2]
+        for length in (*LENGTHS, None):
+            cut = [t[:length] for t in own if length is None or len(t) > length]
+            found += [((v @ centres.T).max(axis=1), n) for v, n in (_vectors(cut, idf) if cut else ())]
+    cosine, grams = (np.concatenate(x) for x in zip(*found))
+    for b in range(len(limits)):
+        own = cosine[(_bucket(grams) == b) & (grams >= FEW)]
+        if len(own) >= LEAST_ROWS:
+            limits[b] = max(1 - MAX_DISTANCE, MARGIN * np.quantile(own, QUANTILE))
+        elif b:
+            limits[b] = limits[b - 1]
+    return limits
+
+
 def _fit(idf: np.ndarray):
-    """Spherical k-means of one language's sample; starts from rows spread by farthest-first choice."""
+    """Centroids of one language's sample and its limits."""
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["rank"])
-        vectors = np.concatenate([weighted(counts(p.column(0)), idf) for p in _parts([pa.RecordBatch.from_arrays([pa.array(rows["text"], pa.string())], ["text"])], 0)])
-        centres = vectors.mean(axis=0, keepdims=True)
-        for _ in range(min(CENTROIDS, len(vectors)) - 1):
-            far = (vectors @ centres.T).max(axis=1).argmin()
-            centres = np.concatenate((centres, vectors[far : far + 1]))
-        for _ in range(ROUNDS):
-            near = (vectors @ centres.T).argmax(axis=1)
-            for c in range(len(centres)):
-                if (near == c).any():
-                    centres[c] = vectors[near == c].mean(axis=0)
-            centres /= np.maximum(np.sqrt((centres * centres).sum(axis=1, keepdims=True)), 1e-12)
-        return pd.DataFrame({"lang": key[0], "centre": [c.tolist() for c in centres]})
+        texts = rows.sort_values(["rank"])["text"].tolist()
+        vectors = np.concatenate([v for v, _ in _vectors(texts, idf)])
+        limits = _limits(texts, vectors, idf).tolist()
+        centres = _centres(vectors)
+        return pd.DataFrame({"lang": key[0], "centre": [c.tolist() for c in centres], "limits": [limits] * len(centres)})
 
     return run
 
@@ -115,15 +166,20 @@ def has_letter(text: Column) -> Column:
 
 
 class Model:
-    """Languages in order, their centroids, and the inverse document frequencies."""
+    """Languages in order, their centroids, the inverse document frequencies, and the limits of each centroid's language."""
 
-    def __init__(self, langs: list[str], centres: np.ndarray, idf: np.ndarray):
-        self.langs, self.centres, self.idf = langs, centres, idf
+    def __init__(self, langs: list[str], centres: np.ndarray, idf: np.ndarray, limits: np.ndarray):
+        self.langs, self.centres, self.idf, self.limits = langs, centres, idf, limits
 
-    def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
-        cosine = weighted(counts(column), self.idf) @ self.centres.T
+    def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, cosine, and whether it is below the limit."""
+        rows = counts(column)
+        cosine = weighted(rows, self.idf) @ self.centres.T
         best = cosine.argmax(axis=1)
-        return [self.langs[b] for b in best], np.clip(cosine[np.arange(len(best)), best].astype(float), 0, 1)
+        score = np.clip(cosine[np.arange(len(best)), best].astype(float), 0, 1)
+        grams = (rows > 0).sum(axis=1)
+        limit = np.where(grams < FEW, 1 - MAX_DISTANCE, self.limits[best, _bucket(grams)])
+        return [self.langs[b] for b in best], score, score < limit
 
 
 def fit(rows: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model | None:
@@ -142,20 +198,20 @@ def fit(rows: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     likely = known.withColumn("place", F.pmod(F.xxhash64("id", "text"), F.lit(1 << 40))).where(F.col("place") < upto[F.col("lang")])
     order = Window.partitionBy("lang").orderBy("place", "id", "text")
     chosen = likely.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample)
-    fitted = chosen.groupBy("lang").applyInPandas(_fit(idf), "lang string, centre array<float>").orderBy("lang", "centre").collect()
-    return Model([r.lang for r in fitted], np.array([r.centre for r in fitted], np.float32), idf)
+    fitted = chosen.groupBy("lang").applyInPandas(_fit(idf), "lang string, centre array<float>, limits array<double>").orderBy("lang", "centre").collect()
+    return Model([r.lang for r in fitted], np.array([r.centre for r in fitted], np.float32), idf, np.array([r.limits for r in fitted]))
 
 
 def _predict(model: Model | None):
     def run(batches):
         for part in _parts(batches, 1):
             if model:
-                langs, score = model.predict(part.column(1))
+                langs, score, low = model.predict(part.column(1))
             else:
-                langs, score = ["und"] * part.num_rows, np.zeros(part.num_rows)
+                langs, score, low = ["und"] * part.num_rows, np.zeros(part.num_rows), np.ones(part.num_rows, bool)
             letter = part.column(2).to_numpy(zero_copy_only=False)
             langs = [x if y else "und" for x, y in zip(langs, letter)]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(langs, pa.string()), pa.array(np.where(letter, score, 0.0))], ["row", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(langs, pa.string()), pa.array(np.where(letter, score, 0.0)), pa.array(low)], ["row", "lang_pred", "score", "low"])
 
     return run
 
@@ -170,8 +226,8 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     row = F.struct(*([F.col(f"`{c}`") for c in docs.columns] if keep else [F.col(doc_id)])).alias("row")
     source = docs.select(row, F.col(text).cast("string"), has_letter(F.col(text)))
     kind = source.schema["row"].dataType.simpleString()
-    found = source.mapInArrow(_predict(model), f"row {kind}, lang_pred string, score double")
-    out = found.withColumn("rejected", (F.col("lang_pred") == "und") | (F.col("score") < 1 - MAX_DISTANCE))
+    found = source.mapInArrow(_predict(model), f"row {kind}, lang_pred string, score double, low boolean")
+    out = found.withColumn("rejected", (F.col("lang_pred") == "und") | F.col("low"))
     out = out.withColumn("doc_id", F.col(f"row.`{doc_id}`")).withColumn("held_out", held_out(F.col("doc_id")))
     names = ["doc_id", "held_out", "lang_pred", "score", "rejected"]
     return out.select(*names, "row") if keep else out.select(*names)

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from listenhouse.llm import fingerprints, html_text
+from listenhouse.llm import fingerprints, html_text, language
 from tests.llm import brute
 from tests.llm.conftest import table
 from tests.llm.test_edges import BASE, changed, prose
@@ -58,3 +58,18 @@ def test_fingerprint_classes(spark):
         alone = size[group[x.doc_id]] == 1
         assert (x.class_id, x.n_near) == ((None, 0) if alone else (group[x.doc_id], size[group[x.doc_id]] - 1))
         assert x.near_id is None or (x.near_id < x.doc_id and brute.jaccard(texts[x.doc_id], texts[x.near_id]) >= 0.75)
+
+
+def test_language_rejects_noise(spark):
+    """Foreign scripts and noise go, short clean documents stay."""
+    r = random.Random(4)
+    of = lambda letters, n: "".join(r.choices(letters, k=n))
+    latin = "abcdefghijklmnopqrstuvwxyz"
+    odd = [of(letters, n) for letters in ("абвгдежзиклмнопрстуфхцчшыьэюя ", "".join(map(chr, range(0x4E00, 0x9000))), latin, latin + latin.upper() + "0123456789+/") for n in (100, 400, 2000)]
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    learned = documents.select("doc_id", "text", "lang")
+    short = [(10**9 + 100 + i, x.text[:60], None) for i, x in enumerate(documents.where("length(text) > 200").orderBy("doc_id").limit(40).collect())]
+    more = spark.createDataFrame([(10**9 + i, t, None) for i, t in enumerate(odd)] + short, "doc_id long, text string, lang string")
+    found = {x.doc_id: x.rejected for x in language.identify(learned.union(more)).where(f"doc_id >= {10**9}").collect()}
+    assert [i for i in range(len(odd)) if not found[10**9 + i]] == []
+    assert [t for i, t, _ in short if found[i]] == []
