@@ -12,7 +12,8 @@ the shortest phrase are left out before the index is built.
 The benchmark is the query set: it goes through in blocks of ``BLOCK_BYTES``
 of text, each against all rows, so what a task holds is bounded however
 large the benchmark is. Documents are read where they lie; with one block
-nothing is shuffled.
+nothing is shuffled. With several, what the blocks find is put together by doc_id, hash and
+length of the text, and each row takes what was found for its own.
 
 Defined results: null or empty text has no words; an item without words has
 no window; rows that repeat a doc_id are judged each by its own text; an
@@ -23,6 +24,7 @@ tables give empty or all-clean results.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -256,43 +258,44 @@ def _search(known: Phrases):
     return run
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str) -> list[list]:
-    """The benchmark in blocks of at most BLOCK_BYTES, or one item; read from the driver one block at a time."""
+def _blocks(benchmark: DataFrame, item_id: str, text: str) -> tuple[int, Iterator[list]]:
+    """The number of blocks, and the benchmark in blocks of at most BLOCK_BYTES, or one item; read from the driver one block at a time."""
     items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     total = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     n = -(-total // (BLOCK_BYTES // 2)) or 1
-    for b in range(n):
-        yield items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == b).collect() if n > 1 else items.collect()
+    return n, (items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == b).collect() if n > 1 else items.collect() for b in range(n))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", keep: bool = False) -> DataFrame:
     """Per row: doc_id, n_words, n_hit, items, spans (merged word spans to remove), contaminated; ``keep`` adds ``row``, the whole input row."""
     kept = F.struct(*([F.col(f"`{c}`") for c in docs.columns] if keep else [F.col(doc_id)]))
-    kind = docs.select(kept.alias("row")).schema["row"].dataType.simpleString()
-    source = docs.select(kept.alias("row"), F.col(text).cast("string"))
-    schema = f"row {kind}, n_words long, n_hit long, items array<string>, spans array<array<int>>"
+    n, blocks = _blocks(benchmark, item_id, "text")
+    own_text = F.col(text).cast("string")
+    key = F.struct(F.col(doc_id).cast("string").alias("id"), F.xxhash64(own_text).alias("hash"), F.coalesce(F.octet_length(own_text), F.lit(-1)).alias("size"))
+    source = docs.select((kept if n == 1 else key).alias("row"), own_text)
+    schema = f"row {source.schema['row'].dataType.simpleString()}, n_words long, n_hit long, items array<string>, spans array<array<int>>"
     parts = []
-    for block in _blocks(benchmark, item_id, "text"):
+    for block in blocks:
         found = source.mapInArrow(_search(phrases([r.id for r in block], [r.text for r in block])), schema)
-        parts.append(found)
-    if len(parts) == 1:
-        whole = parts[0]
-    else:
-        whole = _merged([stage(p, "block") for p in parts])
+        parts.append(found if n == 1 else stage(found, "block"))
+    whole = parts[0] if n == 1 else _merged(parts, docs.select(kept.alias("row"), key.alias("key")))
     hit = (F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words"))
     out = whole.withColumn("contaminated", hit).withColumn("doc_id", F.col(f"row.`{doc_id}`"))
     names = ["doc_id", "n_words", "n_hit", "items", "spans", "contaminated"]
     return out.select(*names, "row") if keep else out.select(*names)
 
 
-def _merged(parts: list[DataFrame]) -> DataFrame:
-    """Blocks of one corpus put together: spans merge, items add up."""
-    every = parts[0]
-    for p in parts[1:]:
+def _merged(parts: list[DataFrame], rows: DataFrame) -> DataFrame:
+    """Blocks of one corpus put together for each of ``rows`` (row, key): spans merge, items add up."""
+    columns = ["n_words", "items", "spans"]
+    # Rows of one key have the same text, so that any of them tells what a block finds.
+    once = [p.groupBy("row").agg(*[F.first(c).alias(c) for c in columns]) for p in parts]
+    every = once[0]
+    for p in once[1:]:
         every = every.union(p)
     grouped = every.groupBy("row").agg(
         F.max("n_words").alias("n_words"), F.flatten(F.collect_list("items")).alias("items"),
-        F.sort_array(F.flatten(F.collect_list("spans"))).alias("all"), F.count("*").alias("n"),
+        F.sort_array(F.flatten(F.collect_list("spans"))).alias("all"),
     )
     start = F.array().cast("array<array<int>>")
     merged = F.aggregate(
@@ -303,11 +306,12 @@ def _merged(parts: list[DataFrame]) -> DataFrame:
         ).otherwise(F.concat(done, F.array(s))),
     )
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s[1] - s[0])
-    return (
-        grouped.withColumn("items", F.sort_array("items")).withColumn("spans", F.when(F.size("all") > 0, merged).otherwise(start))
-        .withColumn("n_hit", n_hit).withColumn("copies", F.explode(F.array_repeat(F.lit(1), (F.col("n") / len(parts)).cast("int"))))
-        .select("row", "n_words", "n_hit", "items", "spans")
+    found = (
+        grouped.withColumn("items", F.sort_array("items")).withColumn("spans", F.when(F.size("all") > 0, merged).otherwise(start)).withColumn("n_hit", n_hit)
+        .select(*[F.col(f"row.{c}").alias(c) for c in ("id", "hash", "size")], "n_words", "n_hit", "items", "spans")
     )
+    same = F.col("key.id").eqNullSafe(F.col("id")) & (F.col("key.hash") == F.col("hash")) & (F.col("key.size") == F.col("size"))
+    return rows.join(found, same).select("row", "n_words", "n_hit", "items", "spans")
 
 
 def digest(found: DataFrame) -> DataFrame:

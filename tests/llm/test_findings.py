@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from listenhouse.llm import fingerprints, html_text, language
+from listenhouse.llm import decontaminate, fingerprints, html_text, language
 from tests.llm import brute
 from tests.llm.conftest import table
 from tests.llm.test_edges import BASE, changed, prose
@@ -73,3 +73,17 @@ def test_language_rejects_noise(spark):
     found = {x.doc_id: x.rejected for x in language.identify(learned.union(more)).where(f"doc_id >= {10**9}").collect()}
     assert [i for i in range(len(odd)) if not found[10**9 + i]] == []
     assert [t for i, t, _ in short if found[i]] == []
+
+
+@pytest.mark.parametrize("size", [8 << 20, 200])
+def test_decontaminate_rows_of_one_id(spark, monkeypatch, size):
+    """Rows without id, and rows that repeat an id, are judged by their own texts, with one block and with several."""
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", size)
+    items = [(i, " ".join(BASE.split()[20 * i : 20 * i + 20])) for i in range(6)]
+    rows = [(None, BASE), (None, prose(300, 41)), (None, None), (1, BASE), (1, BASE), (1, prose(90, 42)), (2, changed(BASE, range(30, 300))), (3, "")]
+    found = decontaminate.contamination(table(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    key = lambda r: (r[0] or 0, *r[1:])
+    assert sorted(((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in found), key=key) == sorted(((i, *brute.contamination(t, items)) for i, t in rows), key=key)
+    kept = decontaminate.drop_contaminated(table(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    clean = [(i, t) for i, t in rows for n, hit, _ in [brute.contamination(t, items)] if not (hit and 20 * hit >= n)]
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept) == sorted((i or 0, t or "") for i, t in clean)
