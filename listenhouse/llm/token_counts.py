@@ -7,8 +7,9 @@ below. Each pre-token's token count is stored where it ends, and texts add up
 the counts of theirs.
 
 A pre-token is a run of anything but white space (\\x20, \\x09-\\x0D) with the one
-space before it, if there is one; runs of more than ``LONGEST`` bytes are
-several pre-tokens. Every white space character that no pre-token takes is one
+space before it, if there is one. It is segmented as a whole, whatever its length; those of
+more than ``LONGEST`` bytes go outside the trie, with a rolling window of scores. In ``n_pretokens``
+such a run counts once for every ``LONGEST`` bytes begun. Every white space character that no pre-token takes is one
 token. A piece of rank r costs round(1000 ln(r + 2)), a single byte as much as
 a piece behind the last one; of equal costs the segmentation with fewer tokens
 counts.
@@ -31,12 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listenhouse.llm.words import mix, powers, running, slices, utf8, words
+from listenhouse.llm.words import powers, slices, utf8, words
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LONGEST = 64
 SLICE = 8 << 20
 _ROLL = np.uint64(0xA24BAED4963EE407)
+#: Places of a long pre-token handled at once.
+_BLOCK = 1 << 16
 _TOKEN = 4096  # a cost is milli-nats * _TOKEN + tokens
 
 
@@ -62,12 +65,11 @@ def vocabulary(pieces: dict[bytes, int]) -> Vocabulary:
         pieces = pieces if bytes([byte]) in pieces else pieces | {bytes([byte]): size}
     lengths: dict[int, list[tuple[int, int]]] = {}
     for piece, rank in pieces.items():
-        if len(piece) <= LONGEST + 1:
-            value = np.uint64(0)
-            with np.errstate(over="ignore"):
-                for byte in piece:
-                    value = value * _ROLL + np.uint64(byte + 1)
-            lengths.setdefault(len(piece), []).append((int(value), cost(piece, rank, size)))
+        value = np.uint64(0)
+        with np.errstate(over="ignore"):
+            for byte in piece:
+                value = value * _ROLL + np.uint64(byte + 1)
+        lengths.setdefault(len(piece), []).append((int(value), cost(piece, rank, size)))
     return Vocabulary({
         n: (np.array([v for v, _ in sorted(of)], np.uint64), np.array([c for _, c in sorted(of)], np.int64)) for n, of in lengths.items()
     })
@@ -108,29 +110,62 @@ def terminal_counts(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, k
     return result
 
 
+def long_count(data: np.ndarray, known: Vocabulary) -> int:
+    """Tokens of one pre-token of any length: the same recurrence, block by block."""
+    longest = max(known.by_length)
+    base = powers(_ROLL, longest + 1)
+    best = [0]  # costs and tokens at the last places, up to the block's first
+    for first in range(0, len(data), _BLOCK):
+        stop = min(first + _BLOCK, len(data))
+        begin = max(0, first - longest)
+        rolled = [0]
+        for byte in data[begin:stop].tolist():
+            rolled.append((rolled[-1] * int(_ROLL) + byte + 1) & 0xFFFFFFFFFFFFFFFF)
+        roll = np.array(rolled, np.uint64)
+        ends, sizes, prices = [], [], []
+        for n, (hashes, costs) in known.by_length.items():
+            end = np.arange(max(first + 1, begin + n), stop + 1)  # places behind a piece
+            value = roll[end - begin] - roll[end - begin - n] * base[n]
+            at = np.minimum(np.searchsorted(hashes, value), len(hashes) - 1)
+            found = hashes[at] == value
+            ends.append(end[found])
+            sizes.append(np.full(len(ends[-1]), n))
+            prices.append(costs[at[found]])
+        ends, sizes, prices = (np.concatenate(x) for x in (ends, sizes, prices))
+        order = np.argsort(ends, kind="stable")
+        place, least = first, None
+        for end, n, price in zip(ends[order].tolist(), sizes[order].tolist(), prices[order].tolist()):
+            if end != place + 1:  # every place is the end of a single byte
+                best.append(least)
+                place, least = place + 1, None
+            total = best[len(best) - 1 - (place - (end - n))] + (price << 40) + 1
+            least = total if least is None or total < least else least
+        best.append(least)
+        best = best[-longest - 1 :]
+    return best[-1] & ((1 << 40) - 1)
+
+
 def counts(column: pa.Array, known: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Pre-tokens and tokens of every text."""
     w = words(column)
     n = len(column)
     text = np.repeat(np.arange(n), w.counts)
     size = w.ends - w.starts
-    parts = -(-size // LONGEST)
-    within = running(parts)
-    starts = np.repeat(w.starts, parts) + within * LONGEST
-    stops = np.minimum(starts + LONGEST, np.repeat(w.ends, parts))
-    text = np.repeat(text, parts)
-    hashes = mix(np.repeat(w.hashes, parts) + within.astype(np.uint64))
-    # A space before the first part of a word, in the same text, belongs to it.
+    # A space before a word, in the same text, belongs to it.
     _, offsets = utf8(column)
-    spaced = (within == 0) & (starts > offsets[text])
-    spaced[spaced] = w.data[starts[spaced] - 1] == 32
-    hashes = np.where(spaced, ~hashes, hashes)
+    spaced = w.starts > offsets[text]
+    spaced[spaced] = w.data[w.starts[spaced] - 1] == 32
+    hashes = np.where(spaced, ~w.hashes, w.hashes)
     _, first, same = np.unique(hashes, return_index=True, return_inverse=True)
-    lead = spaced[first].astype(np.int64)
-    tokens = terminal_counts(w.data, starts[first] - lead, stops[first] - starts[first] + lead, known)
-    total = np.bincount(text, tokens[same], n).astype(np.int64)
-    covered = np.bincount(text, stops - starts + spaced, n).astype(np.int64)
-    return np.bincount(text, minlength=n), total + np.diff(offsets) - covered
+    starts, lengths = w.starts[first] - spaced[first], size[first] + spaced[first]
+    tokens, long = np.zeros(len(first), np.int64), size[first] > LONGEST
+    tokens[~long] = terminal_counts(w.data, starts[~long], lengths[~long], known)
+    for i in np.flatnonzero(long):
+        tokens[i] = long_count(w.data[starts[i] : starts[i] + lengths[i]], known)
+    total, covered, pre = np.zeros((3, n), np.int64)
+    for into, values in ((total, tokens[same]), (covered, size + spaced), (pre, -(-size // LONGEST))):
+        np.add.at(into, text, values)
+    return pre, total + np.diff(offsets) - covered
 
 
 def _count(known: Vocabulary):

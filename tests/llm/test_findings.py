@@ -2,9 +2,10 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
-from listenhouse.llm import decontaminate, fingerprints, html_text, language
+from listenhouse.llm import decontaminate, fingerprints, html_text, language, token_counts
 from tests.llm import brute
 from tests.llm.conftest import table
 from tests.llm.test_edges import BASE, changed, prose
@@ -87,3 +88,22 @@ def test_decontaminate_rows_of_one_id(spark, monkeypatch, size):
     kept = decontaminate.drop_contaminated(table(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
     clean = [(i, t) for i, t in rows for n, hit, _ in [brute.contamination(t, items)] if not (hit and 20 * hit >= n)]
     assert sorted((r.doc_id or 0, r.text or "") for r in kept) == sorted((i or 0, t or "") for i, t in clean)
+
+
+@pytest.mark.parametrize("block", [1 << 16, 50])
+def test_tokens_of_long_runs(monkeypatch, block):
+    """One Viterbi search over the whole run; no piece ends at a place because of its number."""
+    monkeypatch.setattr(token_counts, "_BLOCK", block)
+    pieces = token_counts.pieces_of(token_counts.VOCABULARY)
+    known = token_counts.vocabulary(dict(pieces))
+    size = max(pieces.values()) + 1
+    r = random.Random(6)
+    runs = ["internationalization" * 12, "日本語の文章には空白がない" * 9, " " + "function(a){return(a+1)}" * 20, "=" * 130, "-" * 1000, "".join(r.choices("abcdefgh/+XYZ019", k=700))]
+    runs += [max(pieces, key=len).decode().strip() or "x" * 90]
+    for text, n in zip(runs, token_counts.counts(pa.array(runs, pa.string()), known)[1].tolist()):
+        data = text.encode()
+        best = [(0, 0)]
+        for end in range(1, len(data) + 1):
+            of = ((data[a:end], best[a]) for a in range(max(0, end - 128), end))
+            best.append(min((b[0] + token_counts.cost(p, pieces.get(p, size), size), b[1] + 1) for p, b in of if len(p) == 1 or p in pieces))
+        assert n == best[-1][1], text
