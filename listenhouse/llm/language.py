@@ -193,7 +193,7 @@ def fit(rows: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     idf = np.log((1 + total[-1]) / (1 + df)) + 0.1
     # Only hashes that can be among the least are shuffled: some four times the sample, however many rows there are.
     # One number per language, as the model has; a join would send all texts by language.
-    sizes = {r.lang: r["count"] for r in named.groupBy("lang").count().collect()}
+    sizes = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
     upto = F.create_map(*[x for name, n in sizes.items() for x in (F.lit(name), F.lit(min(1.0, 4 * sample / n) * (1 << 40)))])
     likely = known.withColumn("place", F.pmod(F.xxhash64("id", "text"), F.lit(1 << 40))).where(F.col("place") < upto[F.col("lang")])
     order = Window.partitionBy("lang").orderBy("place", "id", "text")

@@ -107,3 +107,11 @@ def test_tokens_of_long_runs(monkeypatch, block):
             of = ((data[a:end], best[a]) for a in range(max(0, end - 128), end))
             best.append(min((b[0] + token_counts.cost(p, pieces.get(p, size), size), b[1] + 1) for p, b in of if len(p) == 1 or p in pieces))
         assert n == best[-1][1], text
+
+
+def test_language_of_few_readable_rows(spark):
+    """The sample is bounded by the readable rows; a language of mostly letterless rows is learned."""
+    few = [(i, prose(20, i), "aa") for i in range(5)] + [(10 + i, prose(20, 50 + i), "bb") for i in range(5)]
+    blank = spark.range(100, 20_000).selectExpr("id as doc_id", "'12 --' as text", "'aa' as lang")
+    model = language.fit(spark.createDataFrame(few, "doc_id long, text string, lang string").union(blank), sample=5)
+    assert set(model.langs) == {"aa", "bb"}
