@@ -189,6 +189,50 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(k
 FROM d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
 
+OP13 = r"""
+WITH RECURSIVE
+d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first
+  FROM documents
+),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS bad FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(bad, false) AS bad,
+    (CASE WHEN len(w) < 200 THEN 1 ELSE 0 END) + (CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END)
+    + (CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 4 ELSE 0 END)
+    + (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END) + (CASE WHEN d.doc_id > first THEN 16 ELSE 0 END) AS mask
+  FROM d LEFT JOIN l ON l.doc_id = d.doc_id
+),
+m AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS bad FROM f GROUP BY part, mask),
+o AS (
+  SELECT '' AS filter_order, 0 AS step
+  UNION ALL
+  SELECT filter_order || substr('ABCDE', i, 1), step + 1 FROM o, range(1, 6) AS r(i)
+  WHERE step < 5 AND NOT contains(filter_order, substr('ABCDE', i, 1))
+),
+s AS (
+  SELECT filter_order, i AS step, 1 << (strpos('ABCDE', substr(filter_order, i, 1)) - 1) AS own,
+    list_sum(list_transform(range(1, i + 1), lambda k: 1 << (strpos('ABCDE', substr(filter_order, k, 1)) - 1))) AS upto
+  FROM o, range(1, 6) AS r(i) WHERE o.step = 5
+),
+x AS (
+  SELECT part, filter_order, s.step, own,
+    sum(CASE WHEN mask & upto = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & upto = own THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & own = own AND mask & upto <> own THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = own THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & upto = own THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & upto = own THEN bad ELSE 0 END) AS toxic_lost
+  FROM m, s GROUP BY part, filter_order, s.step, own
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM x
+"""
+
 ORACLE: dict[str, str] = {
     "op1_near_dedup": OP1, "op2_decontaminate": OP2, "op4_secrets": OP4, "op6_mix": OP6, "op8_substring_dedup": OP8,
+    "op13_filter_audit": OP13,
 }

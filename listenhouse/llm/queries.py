@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from listenhouse.llm import decontaminate, fingerprints, html_text, language, mixing, near_dedup, secret_scan, sharding, substring_dedup, token_counts
+from listenhouse.llm import decontaminate, filter_audit, fingerprints, html_text, language, mixing, near_dedup, secret_scan, sharding, substring_dedup, token_counts
 from listenhouse.sources.tables import read_table
 
 
@@ -70,10 +70,15 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(_table(spark, sf_dir, "documents"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove of every source, in every order."""
+    return filter_audit.filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_near_dedup, op2_decontaminate, op3_token_counts, op4_secrets, op5_shards, op6_mix, op7_html_text, op8_substring_dedup, op9_language,
-        op10_fingerprints,
+        op10_fingerprints, op13_filter_audit,
     )
 }
