@@ -16,11 +16,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    _delete_on_exit(spark, path)
+    delete_on_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _delete_on_exit(spark: SparkSession, path: str) -> None:
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """A folder that goes when the driver's file system closes."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
 
