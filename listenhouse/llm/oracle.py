@@ -189,6 +189,39 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(k
 FROM d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
 
+OP12 = r"""
+WITH
+p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+      unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+  )
+),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase FROM p, range(1, 6) AS r(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY lang, k, phrase HAVING count(*) >= 100),
+n AS (SELECT lang, sum(len(w)) AS n FROM p GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cuts AS (
+  SELECT c.lang, c.phrase, j, x.f AS l, y.f AS r, n.n, (CAST(1000 AS HUGEINT) * c.a * n.n) // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM c JOIN range(1, 5) AS q(j) ON j < c.k
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:j], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[j + 1:c.k], ' ')
+  JOIN n ON n.lang = c.lang
+),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+held AS (
+  SELECT DISTINCT c.lang, c.phrase FROM c JOIN c d ON d.lang = c.lang AND d.k > c.k AND d.a >= c.a AND contains(' ' || d.phrase || ' ', ' ' || c.phrase || ' ')
+),
+ranked AS (
+  SELECT c.lang, row_number() OVER (PARTITION BY c.lang ORDER BY score DESC, c.a DESC, c.phrase) AS rank, c.phrase, c.a, l, r, x.n, score
+  FROM c JOIN weakest x ON x.lang = c.lang AND x.phrase = c.phrase
+  WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.lang = c.lang AND h.phrase = c.phrase)
+)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
+"""
+
 OP13 = r"""
 WITH RECURSIVE
 d AS (
@@ -234,5 +267,5 @@ FROM x
 
 ORACLE: dict[str, str] = {
     "op1_near_dedup": OP1, "op2_decontaminate": OP2, "op4_secrets": OP4, "op6_mix": OP6, "op8_substring_dedup": OP8,
-    "op13_filter_audit": OP13,
+    "op12_collocations": OP12, "op13_filter_audit": OP13,
 }

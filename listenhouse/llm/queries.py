@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from listenhouse.llm import decontaminate, filter_audit, fingerprints, html_text, language, mixing, near_dedup, secret_scan, sharding, substring_dedup, token_counts, token_files
+from listenhouse.llm import collocations, decontaminate, filter_audit, fingerprints, html_text, language, mixing, near_dedup, secret_scan, sharding, substring_dedup, token_counts, token_files
 from listenhouse.llm.staging import delete_on_exit
 from listenhouse.session import scratch_path
 from listenhouse.sources.tables import read_table
@@ -75,11 +75,16 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, read back from the files they were written to."""
     folder = scratch_path(spark, "token-files")
-    delete_on_exit(spark, folder)
     token_files.write_tokens(_table(spark, sf_dir, "documents"), folder)
+    delete_on_exit(spark, folder)
     return token_files.digest(token_files.read_tokens(spark, folder))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best collocations of every language."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters remove of every source, in every order."""
     return filter_audit.filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -89,6 +94,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_near_dedup, op2_decontaminate, op3_token_counts, op4_secrets, op5_shards, op6_mix, op7_html_text, op8_substring_dedup, op9_language,
-        op10_fingerprints, op11_token_files, op13_filter_audit,
+        op10_fingerprints, op11_token_files, op12_collocations, op13_filter_audit,
     )
 }
