@@ -1,4 +1,4 @@
-"""The row before and the row after, per key and order, safe under skew."""
+"""The row before, the row after, and the last known value, per key and order, safe under skew."""
 
 from __future__ import annotations
 
@@ -78,3 +78,41 @@ def _within(df, keys, order, prev, next) -> DataFrame:
     if next:
         columns[NEXT] = F.lead(F.struct(*next)).over(window)
     return df.withColumns(columns)
+
+
+def carry_forward(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    column: str,
+    hot: HotKeys | None = None,
+) -> DataFrame:
+    """Replace ``column`` by its last value that is not null, up to and with the row itself.
+
+    One exchange, one sort, one window. With hot keys the window runs per (key, chunk); what each
+    chunk hands on is aggregated map-side, carried over the chunks in a tiny window and joined back. Chunks of
+    folded copies are not supported: copies share a position, hence a value, so keep one of them.
+    """
+    if hot is None:
+        return _carried(df, keys, order, column)
+    if hot.has_copies:
+        raise ValueError("identical rows fill whole chunks; drop repeated rows first")
+    tagged = hot.tag(df, keys, order)
+    body = _carried(tagged, [*keys, CHUNK], order, column)
+    known = F.when(F.col(column).isNotNull(), position(order))
+    across = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    seams = (
+        hot.tag(df, keys, order, only_hot=True)
+        .groupBy(*keys, CHUNK).agg(F.max_by(column, known).alias("last"))
+        .select(F.struct(*keys).alias("seam_key"), F.col(CHUNK).alias("seam_chunk"), F.last("last", ignorenulls=True).over(across).alias("before"))
+    )
+    match = F.col("seam_chunk") == F.col(CHUNK)
+    for k in keys:
+        match &= F.col(f"seam_key.{k}").eqNullSafe(F.col(k))
+    joined = body.join(seams, match, "left").withColumn(column, F.coalesce(column, "before"))
+    return joined.drop(CHUNK, "seam_key", "seam_chunk", "before")
+
+
+def _carried(df, keys, order, column) -> DataFrame:
+    window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.withColumn(column, F.last(column, ignorenulls=True).over(window))

@@ -7,9 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from listenhouse.functions.time import forever
+from listenhouse.operators.as_of import AS_OF, as_of
 from listenhouse.operators.hot_keys import HotKeys, position
 from listenhouse.operators.neighbours import NEXT, PREV, neighbours
 
+#: Place of the last event that went into a version.
+LAST = "lastEvent"
 VALIDITY = ("rowActivationDate", "rowExpirationDate", "currRow")
 
 
@@ -73,13 +76,17 @@ def scd2_changes(
     ts: str,
     tiebreak: Sequence[str],
     hot: HotKeys | None = None,
+    last_event: bool = False,
 ) -> DataFrame:
     """History of changes: a version starts where a tracked column changes and
     ends where the next change starts, so intervals tile and one is current.
 
-    The second window shares exchange and sort with the first.
+    The second window shares exchange and sort with the first. ``last_event`` adds the place of the
+    last event that went into each version, which ``scd2_merge`` needs.
     """
     order = [ts, *tiebreak]
+    if last_event:
+        return _tiled(df.withColumn(LAST, position(order)), keys, tracked, ts, tiebreak, hot)
     points = neighbours(df, keys, order, prev=tracked, hot=hot).where(changed(tracked)).drop(PREV)
     rows = neighbours(points, keys, order, next=[ts], hot=hot)
     is_last = F.col(NEXT).isNull()
@@ -90,6 +97,30 @@ def scd2_changes(
     }).drop(NEXT)
 
 
+def _tiled(
+    points: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts: str, tiebreak: Sequence[str], hot: HotKeys | None
+) -> DataFrame:
+    """scd2_changes of points that know, in ``LAST``, the last event they stand for.
+
+    A key's last point stays for the second window even if nothing changes there: it ends the
+    open version's events.
+    """
+    order = [ts, *tiebreak]
+    rows = neighbours(points, keys, order, prev=[*tracked, LAST], next=[ts], hot=hot)
+    rows = rows.withColumns({"__change": changed(tracked), "__until": F.col(f"{PREV}.{LAST}")})
+    kept = rows.where(F.col("__change") | F.col(NEXT).isNull()).drop(PREV, NEXT)
+    rows = neighbours(kept, keys, order, next=[ts, "__change", "__until", LAST], hot=hot).where("__change")
+    following = F.col(f"{NEXT}.__change")
+    is_last = ~F.coalesce(following, F.lit(False))
+    last = F.when(following, F.col(f"{NEXT}.__until")).otherwise(F.coalesce(F.col(f"{NEXT}.{LAST}"), F.col(LAST)))
+    return rows.withColumns({
+        LAST: last,
+        "rowActivationDate": F.col(ts),
+        "rowExpirationDate": F.when(is_last, forever(points, ts)).otherwise(F.col(f"{NEXT}.{ts}")),
+        "currRow": F.when(is_last, 1).otherwise(0),
+    }).drop(NEXT, "__change", "__until")
+
+
 def scd2_merge(
     existing: DataFrame,
     incoming: DataFrame,
@@ -99,43 +130,68 @@ def scd2_merge(
     tiebreak: Sequence[str],
     hot: HotKeys | None = None,
     landed: DataFrame | None = None,
+    late: str = "raise",
 ) -> DataFrame:
-    """Bring a change history up to date with newer events.
-
-    ``existing`` is a former result of scd2_changes. Its closed versions are
-    copied; only the open ones meet the new events, so one shuffle moves the
-    current rows and the batch, not the history. The result is written to a
-    new table and swapped in, as plain Parquet has no MERGE.
-
-    Events up to the start of a key's open version are late or known. A closed
-    version does not tell which events it was made of, so keys that have such
-    events are rebuilt from ``landed``, all events so far, the batch included.
-    Without ``landed`` they count as merged already: a repeated load is
-    harmless then, but late events are left out.
+    """Bring a change history up to date with events that may come late.
+
+    ``existing`` is a former result of scd2_changes with ``last_event``, or of this function. Versions of keys without
+    new events are copied. Every event is placed among the versions of its key:
+
+    * behind the key's last event, or between a version's last event and the next version: it is one more point;
+    * inside a version and like it: it changes nothing, whether it is known or late;
+    * inside a version and unlike it: the version has to be taken apart, which needs its events. They are read from
+      ``landed`` (all events so far, the batch included), those of the touched versions only.
+
+    Without ``landed`` such an event fails the job, or is left out if the caller says ``late="ignore"``. The result is
+    to be written as a new table and swapped in, as plain Parquet has no MERGE. Histories without
+    ``last_event`` count every event up to a version's end as known to it.
     """
+    if late not in ("raise", "ignore"):
+        raise ValueError(f"unknown late: {late}")
     order = [ts, *tiebreak]
-    open_rows = current(existing).drop(*VALIDITY)
-    since = open_rows.select(
-        F.struct(*keys).alias("__open"), position(order).alias("__since")
-    )
-    match = F.lit(True)
+    if LAST not in existing.columns:
+        since_start = incoming.schema[ts].dataType
+        end = F.struct(*[
+            (F.col("rowExpirationDate").cast(since_start) if i == 0 else F.lit(None).cast(incoming.schema[c].dataType)).alias(f"o{i}")
+            for i, c in enumerate(order)
+        ])
+        closed = existing.withColumn(LAST, F.when(F.col("currRow") == 0, end).otherwise(position(order)))
+        return scd2_merge(closed, incoming, keys, tracked, ts, tiebreak, hot, landed, late).drop(LAST)
+    columns = [c for c in existing.columns if c not in (*VALIDITY, LAST)]
+    states = existing.select(*columns, LAST)
+    touched = incoming.select(F.struct(*keys).alias("__key")).distinct()
+    among = F.lit(True)
+    for k in keys:
+        among &= F.col(k).eqNullSafe(F.col(f"__key.{k}"))
+    untouched = existing.join(touched, among, "left_anti")
+    states = states.join(touched, among, "left_semi")
+
+    placed = as_of(incoming.select(*columns), states, keys, order, order, [*order, *tracked, LAST])
+    inside = F.coalesce(position(order) <= F.col(f"{AS_OF}.{LAST}"), F.lit(False))
+    alike = F.lit(True)
+    for c in tracked:
+        alike &= F.col(f"{AS_OF}.{c}").eqNullSafe(F.col(c))
+    late_inside = inside & ~alike
+    fresh = placed.where(~inside)
+    if landed is None:
+        if late == "raise":
+            message = F.lit("a late event changes a closed interval: give landed, or late='ignore'")
+            fresh = placed.where(F.when(late_inside, F.raise_error(message).cast("boolean")).otherwise(~inside))
+        points = states.unionByName(fresh.drop(AS_OF).withColumn(LAST, position(order)))
+        return untouched.unionByName(_tiled(points, keys, tracked, ts, tiebreak, hot).select(untouched.columns))
+
+    opened = placed.where(late_inside).select(
+        F.struct(*keys).alias("__open"), F.struct(*[F.col(f"{AS_OF}.{c}").alias(f"o{i}") for i, c in enumerate(order)]).alias("__from"),
+        F.col(f"{AS_OF}.{LAST}").alias("__to"),
+    ).distinct()
+    of_key = F.lit(True)
     for k in keys:
-        match &= F.col(k).eqNullSafe(F.col(f"__open.{k}"))
-    newer = incoming.join(since, match, "left").where(
-        F.col("__since").isNull() | (position(order) > F.col("__since"))
-    )
-    if landed is not None:
-        late = incoming.join(since, match).where(position(order) <= F.col("__since"))
-        late = late.select(F.struct(*keys).alias("__late")).distinct()
-        among = F.lit(True)
-        for k in keys:
-            among &= F.col(k).eqNullSafe(F.col(f"__late.{k}"))
-        rebuilt = scd2_changes(landed.join(late, among, "left_semi"), keys, tracked, ts, tiebreak, hot)
-        kept = scd2_merge(
-            existing.join(late, among, "left_anti"), incoming.join(late, among, "left_anti"),
-            keys, tracked, ts, tiebreak, hot,
-        )
-        return kept.unionByName(rebuilt.select(kept.columns))
-    points = open_rows.unionByName(newer.select(open_rows.columns))
-    redone = scd2_changes(points, keys, tracked, ts, tiebreak, hot)
-    return existing.where(F.col("currRow") == 0).unionByName(redone)
+        of_key &= F.col(k).eqNullSafe(F.col(f"__open.{k}"))
+    within = of_key & (position(order) >= F.col("__from")) & (position(order) <= F.col("__to"))
+    # The scan of landed skips what lies outside all opened versions.
+    span = opened.agg(F.min("__from.o0").alias("low"), F.max("__to.o0").alias("high"))
+    near = landed.where(F.col(ts).between(span.select("low").scalar(), span.select("high").scalar()))
+    events = near.select(*columns).join(opened, within, "left_semi")
+    whole = states.join(opened, of_key & (position(order) == F.col("__from")), "left_anti")
+    own = events.unionByName(fresh.drop(AS_OF)).withColumn(LAST, position(order))
+    return untouched.unionByName(_tiled(whole.unionByName(own), keys, tracked, ts, tiebreak, hot).select(untouched.columns))

@@ -179,6 +179,22 @@ TILED = f"""WITH {LISTEN}, marked AS (
         CASE WHEN lead(ts) OVER w IS NULL THEN 1 ELSE 0 END AS currRow
     FROM points WINDOW w AS (PARTITION BY userId ORDER BY ts, event_id)"""
 
+
+
+def _as_of(key: str, tracked: str, columns: str) -> str:
+    """ASOF JOIN with the change history of the last event per key and time."""
+    differs = " OR ".join(f"lag({c}) OVER w IS DISTINCT FROM {c}" for c in tracked.split(", "))
+    return f"""WITH {LISTEN}, once AS (
+        SELECT * FROM listen WHERE {key} IS NOT NULL QUALIFY row_number() OVER (PARTITION BY {key}, ts ORDER BY event_id DESC) = 1),
+    versions AS (
+        SELECT {key}, {tracked}, ts AS rowActivationDate FROM once
+        WINDOW w AS (PARTITION BY {key} ORDER BY ts) QUALIFY row_number() OVER w = 1 OR {differs})
+    SELECT {columns} FROM listen e ASOF LEFT JOIN versions v ON e.{key} = v.{key} AND e.ts >= v.rowActivationDate"""
+
+
+USER_AS_OF = _as_of("userId", "level", f"""e.event_id, e.userId, v.userId AS UserKey,
+    CASE WHEN v.userId IS NOT NULL THEN {_md5('v.userId', 'v.rowActivationDate')} END AS UserVersion, v.level AS UserLevel""")
+
 # --- calendar --------------------------------------------------------------
 
 HOURS = f"""WITH {LISTEN}, hours AS (
@@ -427,6 +443,10 @@ ORACLE: dict[str, str] = {
         min(event_id) OVER (PARTITION BY city, zip, state, lat, lon) AS locationFirst,
         min(event_id) OVER (PARTITION BY city, zip, state, lat, lon) AS filledLocationFirst"""),
     "merge_late_events": TILED,
+    "join_user_as_of": USER_AS_OF,
+    "join_user_as_of_chunked": USER_AS_OF,
+    "join_artist_as_of": _as_of("artist", "lat, lon, city, state", f"""e.event_id, e.artist,
+        CASE WHEN v.artist IS NOT NULL THEN {_md5('v.artist', 'v.rowActivationDate')} END AS ArtistVersion"""),
     "listen_features_chunked": _features(f"event_id, userId, ts, {MEASURES}"),
     "scd_user_versions_chunked": f"WITH {LISTEN} {USER_VERSIONS}",
     "load_user_twice": f"""WITH {LISTEN}

@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from listenhouse.functions.keys import artist_key, location_key, song_key
+from listenhouse.functions.keys import artist_key, location_key, song_key, surrogate_key
 from listenhouse.functions.time import date_key
 from listenhouse.operators.dedup import first_seen, last_row
 from listenhouse.operators.hot_keys import HotKeys
-from listenhouse.operators.scd import VALIDITY, first_version, versions
+from listenhouse.operators.neighbours import NEXT, neighbours
+from listenhouse.operators.scd import VALIDITY, first_version, scd2_changes, versions
 from listenhouse.schemas import ARTIST_KEY, LOCATION_KEY, SONG_KEY, USER_ATTRIBUTES
 
 USER_COLUMNS = ("userId", *USER_ATTRIBUTES[:4], "eventTimestamp", *USER_ATTRIBUTES[4:])
@@ -53,6 +54,27 @@ def dim_user(events: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
     return first_version(latest, "eventTimestamp").select(*USER_COLUMNS, *VALIDITY)
 
 
+def _once(events: DataFrame, key: str, tiebreak: Sequence[str], hot: HotKeys | None) -> DataFrame:
+    """The last event of a key and time: what states are, at that time."""
+    rows = neighbours(events, [key], ["ts", *tiebreak], next=["ts"], hot=hot)
+    return rows.where(F.col(NEXT).isNull() | ~F.col(f"{NEXT}.ts").eqNullSafe(F.col("ts"))).drop(NEXT)
+
+
+def user_levels(events: DataFrame, tiebreak: Sequence[str], hot: HotKeys | None = None) -> DataFrame:
+    """Versioned user dimension: a row per change of level, with intervals that tile."""
+    once = _once(events.select("userId", "ts", "level", *tiebreak), "userId", tiebreak, hot)
+    rows = scd2_changes(once, ["userId"], ["level"], "ts", list(tiebreak), hot)
+    return rows.select("userId", "level", *VALIDITY).withColumn("userKey", surrogate_key(["userId", "rowActivationDate"]))
+
+
+def artist_places(events: DataFrame, tiebreak: Sequence[str], hot: HotKeys | None = None) -> DataFrame:
+    """Versioned artist dimension: a row per change of place."""
+    named = events.where(F.col("artist").isNotNull()).select(*ARTIST_KEY, "ts", *tiebreak)
+    once = _once(named, "artist", tiebreak, hot)
+    rows = scd2_changes(once, ["artist"], list(ARTIST_KEY[1:]), "ts", list(tiebreak), hot)
+    return rows.select(*ARTIST_KEY, *VALIDITY).withColumn("artistKey", surrogate_key(["artist", "rowActivationDate"]))
+
+
 def songs(events: DataFrame, algo: str = "md5") -> DataFrame:
     """Songs, each with the duration of its first play."""
     return first_seen(events, SONG_KEY, song_key(algo), "songId", payload="duration")

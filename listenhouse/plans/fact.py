@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from listenhouse.functions.keys import artist_key, location_key, song_key, surrogate_key
 from listenhouse.functions.time import date_key, forever, gap_seconds, hour_start, time_parts
+from listenhouse.operators.as_of import AS_OF, as_of
 from listenhouse.operators.dedup import first_row
 from listenhouse.operators.hot_keys import HotKeys
 from listenhouse.operators.neighbours import NEXT, PREV, neighbours
@@ -118,6 +119,22 @@ def join_calendar_datekey(events: DataFrame, calendar: DataFrame) -> DataFrame:
     return lookup(dated, calendar, "dateRef", "DateKey", "DateKey").drop("dateRef")
 
 
+def join_user_as_of(events: DataFrame, versions: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+    """The version of the user valid at the event: ``UserKey``, ``UserVersion`` (the key of the version), ``UserLevel``.
+
+    All three are null before the user's first version. A hot user is split in the merge of both sides.
+    """
+    rows = as_of(events, versions, ["userId"], ["ts"], ["rowActivationDate"], ["userId", "userKey", "level"], hot)
+    found = {"UserKey": "userId", "UserVersion": "userKey", "UserLevel": "level"}
+    return rows.withColumns({name: F.col(f"{AS_OF}.{c}") for name, c in found.items()}).drop(AS_OF)
+
+
+def join_artist_as_of(events: DataFrame, versions: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+    """``ArtistVersion``: the key of the artist's version valid at the event."""
+    rows = as_of(events, versions, ["artist"], ["ts"], ["rowActivationDate"], ["artistKey"], hot)
+    return rows.withColumn("ArtistVersion", F.col(f"{AS_OF}.artistKey")).drop(AS_OF)
+
+
 def star_join(
     features: DataFrame, dims: Mapping[str, DataFrame], algo: str = "md5"
 ) -> DataFrame:

@@ -20,7 +20,8 @@ from listenhouse.functions import (
 from listenhouse.operators.dedup import last_row
 from listenhouse.operators.hot_keys import HotKeys, find_hot_keys
 from listenhouse.operators.joins import new_rows
-from listenhouse.operators.scd import current, scd2_changes, scd2_merge
+from listenhouse.operators.as_of import hot_places
+from listenhouse.operators.scd import LAST, current, scd2_changes, scd2_merge
 from listenhouse.plans import dims, fact, history, jobs
 from listenhouse.schemas import FACT_LOAD_KEY, FACT_VALIDITY_KEY, TOPICS
 from listenhouse.session import scratch_path
@@ -425,9 +426,36 @@ def merge_late_events(spark, sf_dir):
     events = testdata.listen_events(spark, sf_dir, LEVEL_COLUMNS)
     how = (["userId"], ["level"], "ts", TIEBREAK, hot_users(spark, sf_dir))
     late = F.col("event_id") % 7 == 3
-    existing = scd2_changes(before(events, MIDDLE).where(~late), *how)
+    existing = scd2_changes(before(events, MIDDLE).where(~late), *how, last_event=True)
     incoming = since(events, MIDDLE).unionByName(before(events, MIDDLE).where(late))
-    return as_text(scd2_merge(existing, incoming, *how, landed=events), "rowExpirationDate")
+    return as_text(scd2_merge(existing, incoming, *how, landed=events).drop(LAST), "rowExpirationDate")
+
+
+@query
+def join_user_as_of(spark, sf_dir):
+    """Every listen with the level its user had at that time, by the history of changes."""
+    events = testdata.listen_events(spark, sf_dir, ["event_id", "ts", "userId", "level"])
+    versions = dims.user_levels(events, TIEBREAK, hot_users(spark, sf_dir))
+    hot = find_hot_keys(*hot_places(events, ["userId"], ["ts"]))
+    return fact.join_user_as_of(events, versions, hot).select("event_id", "userId", "UserKey", "UserVersion", "UserLevel")
+
+
+@query
+def join_user_as_of_chunked(spark, sf_dir):
+    """The same with every user cut into chunks of some 20 listens."""
+    events = testdata.listen_events(spark, sf_dir, ["event_id", "ts", "userId", "level"])
+    versions = dims.user_levels(events, TIEBREAK)
+    hot = find_hot_keys(*hot_places(events, ["userId"], ["ts"]), rows_per_task=20)
+    return fact.join_user_as_of(events, versions, hot).select("event_id", "userId", "UserKey", "UserVersion", "UserLevel")
+
+
+@query
+def join_artist_as_of(spark, sf_dir):
+    """Every listen with the place its artist had at that time."""
+    events = testdata.listen_events(spark, sf_dir, ARTIST_COLUMNS)
+    versions = dims.artist_places(events, TIEBREAK, hot_artists(spark, sf_dir))
+    hot = find_hot_keys(*hot_places(events, ["artist"], ["ts"]))
+    return fact.join_artist_as_of(events, versions, hot).select("event_id", "artist", "ArtistVersion")
 
 
 @query
