@@ -35,6 +35,7 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from listenhouse.llm.staging import partitions
-from listenhouse.llm.words import mix, powers, running, slices, utf8
+from listenhouse.llm.words import SLICE_BYTES, mix, powers, slices, utf8
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 END_ID = 2
@@ -53,7 +54,9 @@ END_ID = 2
 FILE_IDS = 1 << 28
 BLOCK_IDS = 1 << 18
 #: Distinct pieces, and ids of theirs, that a worker remembers before it starts anew.
-KNOWN_PIECES, KNOWN_IDS = 1 << 20, 1 << 23
+KNOWN_PIECES, KNOWN_IDS = 1 << 21, 1 << 24
+#: Places of the table of pieces, a power of two.
+PLACES = 1 << 23
 
 _MANIFEST, _RANKS = "manifest.json", "ids-by-rank.bin"
 _SCHEMA = "doc_id long, start long, ids binary"
@@ -93,6 +96,7 @@ def decode_numbers(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
 
 _OF_BYTE = np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64)
 _IN_PIECE = np.uint64(0x9E3779B97F4A7C15)
+_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _ASCII = np.arange(256)
 _SOLID = (_ASCII > 0x20) & (_ASCII < 0x7F)
 #: First bytes of characters of two bytes, white space not among them.
@@ -120,7 +124,11 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Ids of texts by a tokenizer file. Cuts may be made in one text only, so texts are cut at their ends as well."""
+    """Ids of texts by a tokenizer file.
+
+    Pieces met before are found by a table with one place per low bits of the hash; the others of a slice are encoded, each
+    distinct one once, and take their places.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -128,53 +136,77 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self._forget()
-
-    def _forget(self) -> None:
-        self.hashes, self.first, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-
-    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
-        """Encode new pieces; ``hashes`` are sorted."""
-        found = [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        size = np.array([len(x) for x in found], np.int64)
-        place = np.searchsorted(self.hashes, hashes)
-        self.first = np.insert(self.first, place, len(self.ids) + np.cumsum(size) - size)
-        self.size, self.hashes = np.insert(self.size, place, size), np.insert(self.hashes, place, hashes)
-        self.ids = np.concatenate([self.ids, *found])
-
-    def _pieces(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Number of each piece, place of the distinct ones among the known, and pieces of each text."""
+        self.powers = powers(_IN_PIECE, SLICE_BYTES + 1)
+        self.inverse = powers(_BACK, SLICE_BYTES + 1)
+        self.forget()
+
+    def forget(self) -> None:
+        """Start anew; numbers of pieces given out before no longer hold."""
+        self.places = np.zeros(PLACES, np.uint64)
+        self.number = np.zeros(PLACES, np.int32)
+        # Ids of piece i: ids[ends[i]:ends[i + 1]]. The buffers grow by doubling.
+        self.ids, self.ends, self.n = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), 0
+
+    def full(self) -> bool:
+        return self.n > KNOWN_PIECES or self.ends[self.n] > KNOWN_IDS
+
+    def _learn(self, pieces: list[str]) -> None:
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        new = np.fromiter(chain.from_iterable(found), np.uint32)
+        ends = self.ends[self.n] + np.cumsum([len(x) for x in found])
+        while len(self.ids) < ends[-1]:
+            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+        while len(self.ends) <= self.n + len(found):
+            self.ends = np.concatenate((self.ends, np.zeros_like(self.ends)))
+        self.ids[self.ends[self.n] : ends[-1]] = new
+        self.ends[self.n + 1 : self.n + 1 + len(found)] = ends
+        self.n += len(found)
+
+    def _hashes(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Of the bytes of every piece, by one running sum over the slice."""
+        n = len(data)
+        if n > len(self.powers) - 1:
+            self.powers, self.inverse = powers(_IN_PIECE, n + 1), powers(_BACK, n + 1)
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(_OF_BYTE[data] * self.powers[:n], out=total[1:])
+        ends = np.append(starts[1:], n)
+        return mix((total[ends] - total[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
+
+    def pieces(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the pieces of all texts one after another, and how many each text has."""
         data, offsets = utf8(column)
         starts = piece_starts(data, offsets)
-        lengths = np.diff(np.append(starts, len(data)))
-        values = _OF_BYTE[data] * powers(_IN_PIECE, int(lengths.max(initial=0)))[running(lengths)]
-        hashes = mix(np.add.reduceat(values, starts) + lengths.astype(np.uint64)) if len(starts) else np.zeros(0, np.uint64)
-        distinct, example, number = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.hashes) > KNOWN_PIECES or len(self.ids) > KNOWN_IDS:
-            self._forget()
-        at = np.searchsorted(self.hashes, distinct)
-        new = np.ones(len(distinct), bool)
-        inside = at < len(self.hashes)
-        new[inside] = self.hashes[at[inside]] != distinct[inside]
-        if new.any():
-            self._learn(distinct[new], [data[starts[i] : starts[i] + lengths[i]].tobytes().decode() for i in example[new]])
-        return number, np.searchsorted(self.hashes, distinct), np.diff(np.searchsorted(starts, offsets))
+        per_text = np.diff(np.searchsorted(starts, offsets))
+        if not len(starts):
+            return np.zeros(0, np.int32), per_text
+        hashes = self._hashes(data, starts)
+        place = (hashes & np.uint64(PLACES - 1)).astype(np.int64)
+        number = self.number[place]
+        unknown = np.flatnonzero(self.places[place] != hashes)
+        if len(unknown):
+            new, example, same = np.unique(hashes[unknown], return_index=True, return_inverse=True)
+            at = unknown[example]
+            first, ends = self.n, np.append(starts[1:], len(data))
+            self._learn([data[a:b].tobytes().decode() for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+            number[unknown] = first + same
+            self.places[place[at]], self.number[place[at]] = new, first + np.arange(len(new))
+        return number, per_text
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has."""
-        number, at, per_text = self._pieces(column)
-        first, size = self.first[at][number], self.size[at][number]
+        if self.full():
+            self.forget()
+        number, per_text = self.pieces(column)
+        first = self.ends[number]
+        size = self.ends[number + 1] - first
         ends = np.concatenate(([0], np.cumsum(size)))
         ids = self.ids[np.repeat(first - ends[:-1], size) + np.arange(ends[-1])]
         return ids, np.diff(ends[np.concatenate(([0], np.cumsum(per_text)))])
 
-    def counts(self, column: pa.Array) -> np.ndarray:
-        """How often each id occurs."""
-        number, at, _ = self._pieces(column)
-        times, size = np.bincount(number, minlength=len(at)), self.size[at]
-        ids = self.ids[np.repeat(self.first[at], size) + running(size)]
-        return np.bincount(ids, np.repeat(times, size)).astype(np.int64)
+    def id_counts(self, times: np.ndarray) -> np.ndarray:
+        """How often each id occurs, if piece i occurs ``times[i]`` times."""
+        size = np.diff(self.ends[: len(times) + 1])
+        return np.bincount(self.ids[: self.ends[len(times)]], np.repeat(times, size)).astype(np.int64)
 
 
 @lru_cache(maxsize=1)
@@ -190,14 +222,24 @@ def _with_end(ids: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray
 
 def _count(path: str, end: int):
     def run(batches):
-        total = np.zeros(0, np.int64)
+        total, times = np.zeros(end + 1, np.int64), np.zeros(0, np.int64)
+        coder = encoder(path)
+
+        def add(more: np.ndarray) -> None:
+            nonlocal total
+            total = np.pad(total, (0, max(0, len(more) - len(total))))
+            total[: len(more)] += more
+
         for part in slices(batches, 0):
-            found = encoder(path).counts(part.column(0))
-            ended = np.zeros(end + 1, np.int64)
-            ended[end] = part.num_rows
-            for more in (found, ended):
-                total = np.pad(total, (0, max(0, len(more) - len(total))))
-                total[: len(more)] += more
+            if coder.full():
+                add(coder.id_counts(times))
+                coder.forget()
+                times = np.zeros(0, np.int64)
+            number, _ = coder.pieces(part.column(0))
+            times = np.pad(times, (0, coder.n - len(times)))
+            times += np.bincount(number, minlength=coder.n)
+            total[end] += part.num_rows
+        add(coder.id_counts(times))
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["id", "n"])
 
