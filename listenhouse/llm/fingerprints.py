@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from listenhouse.llm.components import components
 from listenhouse.llm.near_dedup import _unmet, apart
-from listenhouse.llm.staging import partitions, stage
+from listenhouse.llm.staging import drop, partitions, stage
 from listenhouse.llm.texts import packed_texts, parts, unpack
 from listenhouse.llm.words import MinHash, mix, shingles, slices, words
 
@@ -163,7 +163,7 @@ def _alike(batches):
     for batch in batches:
         a, b = (np.array([np.frombuffer(x, ">u2") for x in batch.column(c).to_pylist()]).reshape(-1, SIZE) for c in (2, 3))
         keep = pa.array((a == b).mean(axis=1) >= LIKELY)
-        yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["doc_id", "near_id"])
+        yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
 
 def _verify(batches):
@@ -174,22 +174,30 @@ def _verify(batches):
         yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(likeness, pa.float64())], ["doc_id", "near_id", "jaccard"])
 
 
-def verified(pairs: DataFrame, prints: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of Jaccard THRESHOLD or more on full sets, of those whose fingerprints are alike; staged."""
-    left, right = (prints.select(F.col("d").alias(k), F.col("print").alias(f"print_{k}"), F.col("n_shingles").alias(f"n_{k}")) for k in "ab")
-    with_print = pairs.join(left, "a").join(right, "b").where(F.least("n_a", "n_b") >= THRESHOLD * F.greatest("n_a", "n_b"))
-    likely = stage(with_print.select("a", "b", "print_a", "print_b").mapInArrow(_alike, "doc_id long, near_id long").distinct(), "pairs")
-    wanted = likely.select("doc_id").union(likely.select("near_id")).distinct()
+def verified(pairs: DataFrame, prints: DataFrame, texts: DataFrame, likely: bool = True) -> DataFrame:
+    """The pairs (a, b) of Jaccard THRESHOLD or more on full sets, of those whose fingerprints are alike; staged.
+
+    Unless ``likely``, the full sets alone decide.
+    """
+    left, right = (prints.select(F.col("d").alias(k), F.col("n_shingles").alias(f"n_{k}"), *([F.col("print").alias(f"print_{k}")] if likely else [])) for k in "ab")
+    candidates = pairs.join(left, "a").join(right, "b").where(F.least("n_a", "n_b") >= THRESHOLD * F.greatest("n_a", "n_b"))
+    if likely:
+        candidates = candidates.select("a", "b", "print_a", "print_b").mapInArrow(_alike, "a long, b long")
+    candidates = stage(candidates.select(F.col("a").alias("doc_id"), F.col("b").alias("near_id")).distinct(), "pairs")
+    wanted = candidates.select("doc_id").union(candidates.select("near_id")).distinct()
     packed = packed_texts(texts, wanted)
-    both = likely.join(packed, "doc_id").join(packed.select(F.col("doc_id").alias("near_id"), F.col("packed").alias("near_packed")), "near_id")
+    both = candidates.join(packed, "doc_id").join(packed.select(F.col("doc_id").alias("near_id"), F.col("packed").alias("near_packed")), "near_id")
     found = both.select("doc_id", "near_id", "packed", "near_packed").mapInArrow(_verify, "doc_id long, near_id long, jaccard double")
-    return stage(found.where(F.col("jaccard") >= THRESHOLD).select(F.col("doc_id").alias("a"), F.col("near_id").alias("b")).distinct(), "links")
+    links = stage(found.where(F.col("jaccard") >= THRESHOLD).select(F.col("doc_id").alias("a"), F.col("near_id").alias("b")).distinct(), "links")
+    drop(candidates)
+    return links
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, near_id, n_near, class_id) of documents that have a near-duplicate.
+    """(doc_id, near_id, n_near, class_id) of documents that have a near-duplicate; staged.
 
     A class is what verified links connect. A band that many documents share gives some pair for each of them, not for each two.
+    Only bands that two documents share are joined with their documents.
     """
     identified = docs.where("doc_id is not null")
     every = stage(identified.mapInArrow(_prints, "doc_id long, print binary, n_shingles long, set_a long, set_b long").where("n_shingles > 0"), "prints")
@@ -198,23 +206,28 @@ def near_classes(docs: DataFrame) -> DataFrame:
     prints = stage(every.join(sets.select("d", *_SET), [every.doc_id == F.col("d"), *[every[c] == sets[c] for c in _SET]]).select("d", "print", every.n_shingles).distinct(), "nodes")
     width = 2 * SIZE // BANDS
     bands = prints.select("d", F.posexplode(F.array(*[F.substring("print", 1 + i * width, width) for i in range(BANDS)])).alias("band", "part"))
-    bands = bands.select(F.xxhash64("band", "part").alias("key"), "d").distinct()
-    shared = bands.groupBy("key").agg(F.min("d").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
-    lists = stage(bands.join(shared, "key"), "lists")
+    bands = bands.select(F.xxhash64("band", "part").alias("key"), "d")
+    shared = stage(bands.groupBy("key").agg(F.min("d").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n"), "shared")
+    lists = stage(bands.join(shared, "key").distinct(), "lists")
     links = verified(lists.where("d <> pivot").select(F.col("d").alias("a"), F.col("pivot").alias("b")).distinct(), prints, identified)
+    groups = components(links)
     # Members of a band that are in different components meet one of the largest; what is still apart, by exact prefixes.
-    lists = lists.drop("pivot")
-    unmet = _unmet(lists, components(links)).where("label <> largest").select(F.col("d").alias("a"), F.col("pivot").alias("b"))
-    links = links.union(verified(unmet.distinct(), prints, identified))
-    links = links.union(verified(apart(_unmet(lists, components(links)), identified), prints, identified))
-
+    unmet = _unmet(lists.drop("pivot"), groups).where("label <> largest").select(F.col("d").alias("a"), F.col("pivot").alias("b"))
+    more = verified(unmet.distinct(), prints, identified)
+    groups = components(more, groups)
+    pairs = apart(_unmet(lists.drop("pivot"), groups), identified)
+    rest = verified(pairs, prints, identified, likely=False)
+    groups = components(rest, groups)
+    drop(shared, lists, pairs, prints)
+
+    links = links.union(more).union(rest)
     below = links.select(F.greatest("a", "b").alias("d"), F.least("a", "b").alias("least")).groupBy("d").agg(F.min("least").alias("least"))
-    labelled = sets.join(components(links).withColumnRenamed("node", "d"), "d", "left").join(below, "d", "left")
+    labelled = sets.join(groups.withColumnRenamed("node", "d"), "d", "left").join(below, "d", "left")
     labelled = stage(labelled.withColumn("class_id", F.coalesce("component", "d")).where("component is not null or copies > 1").select(*_SET, F.coalesce("least", "d").alias("least"), "copies", "class_id"), "classes")
     sizes = labelled.groupBy("class_id").agg((F.sum("copies") - 1).alias("n_near"))
     of = ids.join(labelled.join(sizes, "class_id"), _SET)
     near = F.min(F.when(F.col("least") < F.col("doc_id"), F.col("least"))).alias("near_id")
-    return of.groupBy("doc_id").agg(near, F.min_by("n_near", "class_id").alias("n_near"), F.min("class_id").alias("class_id"))
+    return stage(of.groupBy("doc_id").agg(near, F.min_by("n_near", "class_id").alias("n_near"), F.min("class_id").alias("class_id")), "near")
 
 
 def fingerprint(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

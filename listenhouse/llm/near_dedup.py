@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from listenhouse.llm.components import components
-from listenhouse.llm.staging import stage
+from listenhouse.llm.staging import drop, stage
 from listenhouse.llm.texts import packed_texts, parts, unpack
 from listenhouse.llm.words import MinHash, mix, shingles, slices, words
 
@@ -79,21 +79,23 @@ def _confirm(batches):
         yield pa.RecordBatch.from_arrays([part.column(0).filter(keep), part.column(1).filter(keep)], ["a", "b"])
 
 
-def confirm(pairs: DataFrame, signatures: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose signatures agree often enough and whose full shingle sets are similar enough; staged."""
-    left, right = (signatures.select(F.col("doc_id").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col("signature").alias(f"s_{k}")) for k in "ab")
-    agree = F.size(F.filter(F.zip_with("s_a", "s_b", lambda x, y: x == y), lambda x: x))
-    likely = (
-        pairs.join(left, "a").join(right, "b")
-        .where(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
-        .where(agree >= MATCHES).select("a", "b").distinct()
-    )
-    likely = stage(likely, "likely")
+def confirm(pairs: DataFrame, signatures: DataFrame, texts: DataFrame, matches: int = MATCHES) -> DataFrame:
+    """The pairs (a, b) whose signatures agree in ``matches`` coordinates and whose full shingle sets are similar enough; staged.
+
+    With ``matches`` 0 the full sets alone decide.
+    """
+    left, right = (signatures.select(F.col("doc_id").alias(k), F.col("n_shingles").alias(f"n_{k}"), *([F.col("signature").alias(f"s_{k}")] if matches else [])) for k in "ab")
+    likely = pairs.join(left, "a").join(right, "b").where(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
+    if matches:
+        likely = likely.where(F.size(F.filter(F.zip_with("s_a", "s_b", lambda x, y: x == y), lambda x: x)) >= matches)
+    likely = stage(likely.select("a", "b").distinct(), "likely")
     wanted = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
     packed = packed_texts(texts, wanted)
     of = {k: packed.select(F.col("doc_id").alias(k), F.col("packed").alias(f"packed_{k}")) for k in "ab"}
     with_text = likely.join(of["a"], "a").join(of["b"], "b").select("a", "b", "packed_a", "packed_b")
-    return stage(with_text.mapInArrow(_confirm, "a long, b long").distinct(), "links")
+    links = stage(with_text.mapInArrow(_confirm, "a long, b long").distinct(), "links")
+    drop(likely)
+    return links
 
 
 def prefix_lists(posts: DataFrame, required: Column) -> DataFrame:
@@ -124,9 +126,11 @@ def _shingle_rows(batches):
 
 
 def apart(unmet: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of documents of different components that share one of the shingles of both prefixes.
+    """Pairs (a, b) of documents of different components that share one of the shingles of both prefixes; staged.
 
-    The exact way for what the turns leave: full shingle sets in place of signatures.
+    The exact way for what the turns leave: full shingle sets in place of signatures. A document is posted only if
+    others hold as many of its shingles as a partner must. Members of the largest component of a list do not meet each other; k others of
+    it do, under the shingles of their prefixes, so the join is bounded by the sum over those shingles of k times the list.
     """
     nodes = stage(unmet.select("d", "label").distinct(), "unmet")
     packed = packed_texts(texts, nodes.select(F.col("d").alias("doc_id")))
@@ -146,8 +150,10 @@ def apart(unmet: DataFrame, texts: DataFrame) -> DataFrame:
         and 100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)
         and {100 + PERCENT} * (1 + least(left_a, left_b)) >= {PERCENT} * (n_a + n_b)
     """
-    pairs = x.where("label_a <> largest").join(y.drop("largest"), "key").where(fits)
-    return pairs.select(F.col("d_a").alias("a"), F.col("d_b").alias("b")).distinct()
+    found = x.where("label_a <> largest").join(y.drop("largest"), "key").where(fits)
+    pairs = stage(found.select(F.col("d_a").alias("a"), F.col("d_b").alias("b")).distinct(), "apart")
+    drop(nodes, posts, lists)
+    return pairs
 
 
 def _unmet(lists: DataFrame, groups: DataFrame) -> DataFrame:
@@ -177,15 +183,20 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     least = lists.groupBy("key").agg(F.min("d").alias("pivot"), F.count("*").alias("n")).where("n > 1")
     to_pivot = lists.join(least, "key").where("d <> pivot").select(F.col("d").alias("a"), F.col("pivot").alias("b")).distinct()
     links = confirm(to_pivot, signatures, texts)
+    groups = components(links)
+    drop(links)
 
     # One member of the largest component, another one for every list, meets the members of the others.
-    unmet = _unmet(lists, components(links))
-    more = confirm(unmet.where("label <> largest").select(F.col("d").alias("a"), F.col("pivot").alias("b")).distinct(), signatures, texts)
-    links = stage(links.union(more), "links")
-    # What is still apart.
-    more = confirm(apart(_unmet(lists, components(links)), texts), signatures, texts)
+    unmet = _unmet(lists, groups)
+    links = confirm(unmet.where("label <> largest").select(F.col("d").alias("a"), F.col("pivot").alias("b")).distinct(), signatures, texts)
+    groups = components(links, groups)
+    drop(links)
+    # What is still apart: their sets alone decide.
+    pairs = apart(_unmet(lists, groups), texts)
+    links = confirm(pairs, signatures, texts, matches=0)
+    groups = components(links, groups)
+    drop(lists, pairs, links)
 
-    groups = components(links.union(more))
     per_set = sets.join(groups, "node", "left").select("set_a", "set_b", "n_shingles", F.coalesce("component", "node").alias("component_id"))
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return (
