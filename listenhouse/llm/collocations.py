@@ -47,6 +47,10 @@ FIRST = 2000
 SLICE = 8 << 20
 BUCKET = 1 << 19
 
+#: floor(1000 a n / (l r)) by decimals of 38 digits.
+SCORE = """cast(cast(a as decimal(19, 0)) * cast(n as decimal(15, 0)) * cast(1000 as decimal(4, 0))
+    div (cast(l as decimal(19, 0)) * cast(r as decimal(19, 0))) as bigint)"""
+
 _BYTES = np.arange(256)
 _BREAK = np.isin(_BYTES, np.frombuffer(b".,;:!?\n\x0b\x0c\r", np.uint8))
 _IN_WORD = ~(_BREAK | (_BYTES == 0x20) | (_BYTES == 0x09))
@@ -273,9 +277,7 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, fi
     part = lambda side, f: counts.select(F.col("group").alias(side), F.col("f").alias(f))
     cuts = several.select("lang", "group", "a", F.posexplode(F.arrays_zip("lefts", "rights")).alias("k", "cut"))
     cuts = cuts.select("lang", "group", "a", "k", "cut.lefts", "cut.rights").join(part("lefts", "l"), "lefts").join(part("rights", "r"), "rights").join(sizes, "lang")
-    # 1000 a n and l r as decimals of 38 digits.
-    score = F.expr("cast(cast(a as decimal(19, 0)) * cast(n as decimal(15, 0)) * cast(1000 as decimal(4, 0)) div (cast(l as decimal(19, 0)) * cast(r as decimal(19, 0))) as bigint)")
-    weakest = cuts.withColumn("score", score).groupBy("group").agg(F.min(F.struct("score", "k", "l", "r", "n")).alias("cut"))
+    weakest = cuts.withColumn("score", F.expr(SCORE)).groupBy("group").agg(F.min(F.struct("score", "k", "l", "r", "n")).alias("cut"))
     # A phrase lies in a longer one as frequent as itself exactly if it does in one that is longer by a word.
     around = several.where("words > 2").select(F.explode(F.array(F.element_at("lefts", -1), F.element_at("rights", 1))).alias("group"), F.col("a").alias("longer"))
     around = around.groupBy("group").agg(F.max("longer").alias("longer"))
