@@ -166,11 +166,7 @@ def scd2_merge(
     untouched = existing.join(touched, among, "left_anti")
     states = states.join(touched, among, "left_semi")
 
-    placed = as_of(incoming.select(*columns), states, keys, order, order, [*order, *tracked, LAST])
-    inside = F.coalesce(position(order) <= F.col(f"{AS_OF}.{LAST}"), F.lit(False))
-    alike = F.lit(True)
-    for c in tracked:
-        alike &= F.col(f"{AS_OF}.{c}").eqNullSafe(F.col(c))
+    placed, inside, alike = _placed(states, incoming.select(*columns), keys, tracked, order)
     late_inside = inside & ~alike
     fresh = placed.where(~inside)
     if landed is None:
@@ -188,10 +184,31 @@ def scd2_merge(
     for k in keys:
         of_key &= F.col(k).eqNullSafe(F.col(f"__open.{k}"))
     within = of_key & (position(order) >= F.col("__from")) & (position(order) <= F.col("__to"))
-    # The scan of landed skips what lies outside all opened versions.
-    span = opened.agg(F.min("__from.o0").alias("low"), F.max("__to.o0").alias("high"))
-    near = landed.where(F.col(ts).between(span.select("low").scalar(), span.select("high").scalar()))
-    events = near.select(*columns).join(opened, within, "left_semi")
+    events = landed.select(*columns).join(opened, within, "left_semi")
     whole = states.join(opened, of_key & (position(order) == F.col("__from")), "left_anti")
     own = events.unionByName(fresh.drop(AS_OF)).withColumn(LAST, position(order))
     return untouched.unionByName(_tiled(whole.unionByName(own), keys, tracked, ts, tiebreak, hot).select(untouched.columns))
+
+
+def _placed(
+    states: DataFrame, incoming: DataFrame, keys: Sequence[str], tracked: Sequence[str], order: Sequence[str]
+) -> tuple[DataFrame, Column, Column]:
+    """Events with the version they fall to, whether they lie inside of its events, and whether they are like it."""
+    placed = as_of(incoming, states, keys, order, order, [*order, *tracked, LAST])
+    inside = F.coalesce(position(order) <= F.col(f"{AS_OF}.{LAST}"), F.lit(False))
+    alike = F.lit(True)
+    for c in tracked:
+        alike &= F.col(f"{AS_OF}.{c}").eqNullSafe(F.col(c))
+    return placed, inside, alike
+
+
+def late_span(
+    existing: DataFrame, incoming: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts: str, tiebreak: Sequence[str]
+) -> tuple | None:
+    """Between which times scd2_merge needs landed events, None if it needs none: two values for the driver, so that the scan can be pruned."""
+    order = [ts, *tiebreak]
+    states = existing.select(*keys, *order, *[c for c in tracked if c not in keys], LAST)
+    rows = incoming.select(*[c for c in states.columns if c != LAST])
+    placed, inside, alike = _placed(states, rows, keys, tracked, order)
+    low, high = placed.where(inside & ~alike).agg(F.min(f"{AS_OF}.{ts}"), F.max(f"{AS_OF}.{LAST}.o0")).first()
+    return None if low is None and high is None else (low, high)

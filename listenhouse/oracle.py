@@ -33,6 +33,9 @@ VIEW = """
 LISTEN = f"""listen AS (
     SELECT * FROM ({VIEW}) WHERE event_type IN ('view', 'click', 'purchase'))"""
 
+# Messages carry milliseconds.
+LISTEN_MILLIS = LISTEN.replace("SELECT * FROM", "SELECT * REPLACE (make_timestamp(epoch_us(ts) // 1000 * 1000) AS ts) FROM")
+
 
 def _md5(*columns: str) -> str:
     parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns)
@@ -454,4 +457,11 @@ ORACLE: dict[str, str] = {
     "load_session_twice": f"""WITH {LISTEN} SELECT sessionId, {SESSION_TEXT},
         s AS rowActivationDate, {VALID} FROM ({_sessions()})""",
     "load_fact_twice": _fact(f"{K}, {MEASURES}, {VALIDITY}") + f" {V}",
+    "load_fact_by_day": _fact(f"{K}, {MEASURES}, {VALIDITY}") + f" {V}",
+    "load_warehouse_catalog": _fact(f"{K}, {MEASURES}, {VALIDITY}") + f" {V}",
+    "load_user_history": TILED,
+    "load_stream": _fact(f"{K}, {MEASURES}, {VALIDITY}").replace(LISTEN, LISTEN_MILLIS) + f" {V}",
 }
+# Models are the same tables, built by a job.
+ORACLE |= {f"model_{name}": ORACLE[sql] for name, sql in (
+    ("dim_user", "dim_user_sql"), ("dim_artist", "dim_artist_sql"), ("fact_streams", "fact_streams_natural"))}

@@ -21,6 +21,11 @@ MEASURES = (
     "nextListenEventTimeGap", "consecutiveNoSong",
 )
 
+#: Features that depend on the listen before (is_first: known to the first of a day) or behind (is_last).
+FEATURES = {
+    "isMoving": "is_first", "isFirstListenEvent": "is_first", "isLastListenEvent": "is_last", "nextListenEventTimeGap": "is_last",
+}
+
 
 # --- features --------------------------------------------------------------
 
@@ -193,7 +198,13 @@ def fact_rows(
     hot_users: HotKeys | None = None,
 ) -> DataFrame:
     """The fact before its validity: six keys, time, measures, tiebreak; de-duplicated."""
-    features = listen_features(events, tiebreak, rule, hot_users)
+    return fact_rows_of(listen_features(events, tiebreak, rule, hot_users), dims, tiebreak, algo, detailed)
+
+
+def fact_rows_of(
+    features: DataFrame, dims: Mapping[str, DataFrame], tiebreak: Sequence[str], algo: str = "md5", detailed: bool = False
+) -> DataFrame:
+    """The same from events that have their features."""
     joined = star_join(features, dims, algo).withColumnRenamed("ts", "Timestamp")
     extra: list[Column] = []
     if detailed:

@@ -95,7 +95,11 @@ def user_initial_state(events: DataFrame, changes: DataFrame) -> DataFrame:
 def dim_user_sql(
     events: DataFrame, tiebreak: Sequence[str], hot: HotKeys | None = None
 ) -> DataFrame:
-    changes = user_level_changes(events, tiebreak, hot)
+    return dim_user_of(events, user_level_changes(events, tiebreak, hot))
+
+
+def dim_user_of(events: DataFrame, changes: DataFrame) -> DataFrame:
+    """The dimension from change rows that are known."""
     rows = user_level_history(changes).unionByName(user_initial_state(events, changes))
     key = surrogate_key(["userId", "rowActivationDate", "level"])
     return rows.withColumn("userKey", key)
@@ -138,7 +142,11 @@ def artist_initial_state(events: DataFrame, changes: DataFrame) -> DataFrame:
 def dim_artist_sql(
     events: DataFrame, tiebreak: Sequence[str], hot: HotKeys | None = None
 ) -> DataFrame:
-    changes = artist_changes(events, tiebreak, hot)
+    return dim_artist_of(events, artist_changes(events, tiebreak, hot))
+
+
+def dim_artist_of(events: DataFrame, changes: DataFrame) -> DataFrame:
+    """The dimension from change rows that are known."""
     rows = artist_history(changes).unionByName(artist_initial_state(events, changes))
     return rows.withColumn("artistKey", surrogate_key(["artistName", "rowActivationDate"]))
 

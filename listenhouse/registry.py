@@ -8,6 +8,7 @@ nanosecond timestamps in pandas.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -22,14 +23,16 @@ from listenhouse.operators.hot_keys import HotKeys, find_hot_keys
 from listenhouse.operators.joins import new_rows
 from listenhouse.operators.as_of import hot_places
 from listenhouse.operators.scd import LAST, current, scd2_changes, scd2_merge
-from listenhouse.plans import dims, fact, history, jobs
-from listenhouse.schemas import FACT_LOAD_KEY, FACT_VALIDITY_KEY, TOPICS
+from listenhouse.plans import dims, fact, history, jobs, models
+from listenhouse.schemas import FACT_LOAD_KEY, FACT_VALIDITY_KEY, TOPICS, landed_schema
 from listenhouse.session import scratch_path
+from listenhouse.sinks.store import Store
 from listenhouse.sinks.tables import write_by_hour
 from listenhouse.sources import testdata
 from listenhouse.sources.calendar import calendar_hours_sequence, calendar_of_years, occurring_years
+from listenhouse.streaming import load as streaming_load
 from listenhouse.streaming.export import export_topics
-from listenhouse.streaming.ingest import drain, read_file_stream, start_ingest
+from listenhouse.streaming.ingest import drain, parse_events, read_file_stream, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -678,17 +681,23 @@ def _two_loads(spark, sf_dir, load) -> str:
 def load_user_twice(spark, sf_dir):
     """The user job, run twice, read back."""
     warehouse = _two_loads(spark, sf_dir, jobs.load_users)
-    return as_text(spark.read.parquet(f"{warehouse}/dim_user"), "rowExpirationDate")
+    return as_text(Store(spark, warehouse).read("dim_user"), "rowExpirationDate")
 
 
 @query
 def load_session_twice(spark, sf_dir):
     """The session job, run twice, read back."""
     warehouse = _two_loads(spark, sf_dir, jobs.load_sessions)
-    rows = spark.read.parquet(f"{warehouse}/dim_session").drop("startTimestamp", "endTimestamp")
+    rows = Store(spark, warehouse).read("dim_session").drop("startTimestamp", "endTimestamp")
     return as_text(rows, "rowExpirationDate")
 
 
+def _fact_table(store: Store) -> DataFrame:
+    """The fact table of a warehouse, as the queries return it."""
+    rows = store.read("fact_streams").withColumn("DateKey", F.col("DateKey").cast("timestamp_ntz"))
+    return as_text(rows.drop("event_date", "event_hour", *jobs.TIEBREAK), "rowExpirationDate")
+
+
 @query
 def load_fact_twice(spark, sf_dir):
     """All jobs, run twice, the fact read back."""
@@ -696,9 +705,84 @@ def load_fact_twice(spark, sf_dir):
         jobs.load_dimensions(spark, events, warehouse)
         jobs.load_fact(spark, events, warehouse)
 
-    rows = spark.read.parquet(f"{_two_loads(spark, sf_dir, load)}/fact_streams")
-    rows = rows.withColumn("DateKey", F.col("DateKey").cast("timestamp_ntz"))
-    return as_text(rows.drop("event_date", "event_hour"), "rowExpirationDate")
+    return _fact_table(Store(spark, _two_loads(spark, sf_dir, load)))
+
+
+def _landed(spark, sf_dir) -> DataFrame:
+    """Listens as landed: with the parts of their time."""
+    events = testdata.listen_events(spark, sf_dir).withColumn("itemInSession", F.col("event_id"))
+    return jobs.with_row_hash(events).withColumns(time_parts("ts"))
+
+
+def _batches(events: DataFrame) -> list[DataFrame]:
+    """The first half of the events without some, then those that came late, then the rest."""
+    late = F.col("event_id") % 7 == 3
+    return [before(events, MIDDLE).where(~late), before(events, MIDDLE).where(late), since(events, MIDDLE)]
+
+
+@query
+def load_fact_by_day(spark, sf_dir):
+    """The fact loaded in full, then with late events, then with the rest, each time only the days of the batch."""
+    events, store = _landed(spark, sf_dir), Store(spark, scratch_path(spark, "warehouse"))
+    path = scratch_path(spark, "landed")
+    for i, batch in enumerate(_batches(events)):
+        batch.write.partitionBy("year", "month", "day").parquet(path, mode="append")
+        landed = spark.read.schema(events.schema).parquet(path)
+        days = jobs.days_of(batch)
+        jobs.load_dimensions(spark, jobs.of_days(landed, days), store, landed=landed)
+        jobs.load_fact(spark, landed, store, days=days if i else None)
+    return _fact_table(store)
+
+
+@query
+def load_user_history(spark, sf_dir):
+    """The user history job, run for three batches, one of late events, and once more for the second."""
+    events, store = _landed(spark, sf_dir), Store(spark, scratch_path(spark, "warehouse"))
+    first, late, rest = _batches(events)
+    landed = first
+    for i, batch in enumerate((first, late, rest, late)):
+        landed = landed.unionByName(batch) if i in (1, 2) else landed
+        jobs.load_user_history(batch, store, landed)
+    rows = store.read("dim_user_history").withColumnRenamed("itemInSession", "event_id")
+    return as_text(rows.drop("rowHash", LAST), "rowExpirationDate")
+
+
+@query
+def load_warehouse_catalog(spark, sf_dir):
+    """All jobs on tables of a catalog schema, run for two batches, the fact read back."""
+    events = _landed(spark, sf_dir)
+    schema = f"warehouse_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {schema} LOCATION '{scratch_path(spark, schema)}'")
+    store = Store(spark, schema, format=None)
+    for batch, landed in ((before(events, MIDDLE), before(events, MIDDLE)), (since(events, MIDDLE), events)):
+        jobs.load_dimensions(spark, batch, store, landed=landed)
+        jobs.load_fact(spark, landed, store, days=jobs.days_of(batch))
+    return _fact_table(store)
+
+
+# --- models as jobs ---------------------------------------------------------
+
+def _model(spark, sf_dir, name: str) -> DataFrame:
+    """A model and what it refers to, built as tables and read back."""
+    sources = {"listen_events": testdata.listen_events(spark, sf_dir), "hours": _calendar(spark, sf_dir)}
+    store = Store(spark, scratch_path(spark, "models"))
+    models.build_models(models.warehouse_models(TIEBREAK), sources, store, [name])
+    return store.read(name)
+
+
+@query
+def model_dim_user(spark, sf_dir):
+    return as_text(_model(spark, sf_dir, "dim_user_sql"), "rowExpirationDate")
+
+
+@query
+def model_dim_artist(spark, sf_dir):
+    return as_text(_model(spark, sf_dir, "dim_artist_sql"), "rowExpirationDate")
+
+
+@query
+def model_fact_streams(spark, sf_dir):
+    return _model(spark, sf_dir, "fact_streams_natural")
 
 
 # --- streaming and export --------------------------------------------------
@@ -727,6 +811,24 @@ def ingest_stream(spark, sf_dir):
     )
 
 
+@query
+def load_stream(spark, sf_dir):
+    """Listen messages streamed into the warehouse in three batches, one of late events, the second delivered again; the fact read back."""
+    messages = testdata.messages(spark, sf_dir).where("topic = 'listen_events'")
+    base = scratch_path(spark, "load-stream")
+    part = F.when(F.col("position") % 7 == 3, "b").when(F.col("position") % 2 == 0, "a").otherwise("c")
+    staged = messages.select("value", part.alias("part"))
+    staged.repartition(1, "part").write.partitionBy("part").text(f"{base}/in")
+    stream = parse_events(read_file_stream(spark, f"{base}/in/part=*", maxFilesPerTrigger="1"), "listen_events")
+    store = Store(spark, f"{base}/warehouse")
+    drain({"load": streaming_load.load_stream(stream, f"{base}/landed", store, f"{base}/checkpoint", None, algo="md5").start()})
+    schema = landed_schema("listen_events")
+    spark.read.schema(schema).parquet(f"{base}/landed/batch=1").write.parquet(f"{base}/again")
+    streaming_load.load_batch(spark.read.schema(schema).parquet(f"{base}/again"), 1, f"{base}/landed", store, algo="md5")
+    rows = _fact_table(store)
+    return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("Timestamp", "rowActivationDate")})
+
+
 @query
 def export_topics_query(spark, sf_dir):
     """The whole export, read back from its CSV files."""

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job wants, whatever the cluster size. Partition counts and
 # memory belong to the cluster and are left to spark-submit.
@@ -61,6 +63,44 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_folder(context.applicationId)
 
 
+_SCRATCH: set[str] = set()
+
+
+def _scratch_folder(spark: SparkSession) -> str:
+    """One folder per application, which goes when the driver ends."""
+    path = f"{shared_dir(spark)}/scratch-{spark.sparkContext.applicationId}"
+    if path not in _SCRATCH:
+        target, system = located(spark, path)
+        system.mkdirs(target)
+        system.deleteOnExit(target)
+        _SCRATCH.add(path)
+    return path
+
+
+def located(spark: SparkSession, path: str):
+    """A path and its file system."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path under the shared folder, for a table that is not needed once the application has ended."""
+    return f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A function that writes a table to the shared folder and reads it back; all of them go at the end of the block."""
+    paths = []
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        paths.append(scratch_path(spark, name))
+        df.write.parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    try:
+        yield stage
+    finally:
+        for path in paths:
+            target, system = located(spark, path)
+            system.delete(target, True)

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from listenhouse.functions.time import hour_start
-from listenhouse.operators.dedup import last_row
 from listenhouse.operators.joins import new_rows
-from listenhouse.schemas import FACT_DEDUP_KEY
-from listenhouse.session import scratch_path
 from listenhouse.sources.tables import read_table, table_exists
 
 FILE_FORMATS = ("parquet", "orc", "json", "csv")
@@ -56,30 +54,6 @@ def overwrite(df: DataFrame, name: str, format: str | None = "parquet", **option
     return write_table(df, name, "overwrite", format, **options)
 
 
-def replace(df: DataFrame, name: str) -> int:
-    """Overwrite a Parquet table by rows that may come from the table itself.
-
-    They are written to the shared folder first, so that nothing is read while it is replaced.
-    """
-    spark = df.sparkSession
-    stage = scratch_path(spark, "replace")
-    df.write.parquet(stage)
-    return overwrite(spark.read.schema(df.schema).parquet(stage), name)
-
-
-def upsert_latest(incoming: DataFrame, name: str, keys: Sequence[str], ts: str) -> int:
-    """One row per key, the one of the latest ``ts``; at equal times the incoming one.
-
-    The result does not depend on how many loads the rows came in.
-    """
-    spark = incoming.sparkSession
-    if not table_exists(spark, name, "parquet"):
-        return write_table(incoming, name, "append", "parquet")
-    stored = spark.read.parquet(name).withColumn("__new", F.lit(0))
-    both = stored.unionByName(incoming.withColumn("__new", F.lit(1)))
-    return replace(last_row(both, keys, [ts, "__new"]).drop("__new"), name)
-
-
 def with_event_hour(facts: DataFrame, ts: str = "Timestamp") -> DataFrame:
     return facts.withColumns({"event_date": F.to_date(ts), "event_hour": hour_start(ts)})
 
@@ -98,52 +72,21 @@ def write_by_hour(
     return write_table(rows, path, mode, "parquet", [column])
 
 
-def replace_changed_days(facts: DataFrame, path: str) -> int:
-    """Bring a fact table partitioned by day to the state of ``facts``; rows written.
+def changed_days(facts: DataFrame, stored: DataFrame) -> list[date | None]:
+    """The days whose rows differ from those stored, told by count and checksum.
 
-    ``facts`` covers all events so far. Days are compared by count and checksum, and only
-    those that differ are written again: the new ones, and those of rows that a later listen has changed.
+    ``facts`` covers all events so far; a day that has fewer rows than are stored is an error. At most one value per
+    day reaches the driver.
     """
-    spark = facts.sparkSession
-    if not table_exists(spark, path, "parquet"):
-        return write_by_hour(facts, path)
-    stage = scratch_path(spark, "facts")
-    write_table(with_event_hour(facts), stage, "overwrite", "parquet")
-    staged = spark.read.parquet(stage)
-    stored = spark.read.parquet(path)
-    columns = [c for c in staged.columns if c != "event_date"]
+    columns = [c for c in facts.columns if c != "event_date"]
     digest = F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))
     old, new = (
         df.groupBy("event_date").agg(F.count(F.lit(1)).alias(f"{n}_rows"), digest.alias(f"{n}_sum"))
-        for df, n in ((stored.select(*columns, "event_date"), "old"), (staged, "new"))
+        for df, n in ((stored.select(*columns, "event_date"), "old"), (facts, "new"))
     )
     days = new.alias("n").join(old.alias("o"), F.col("n.event_date").eqNullSafe(F.col("o.event_date")), "full")
-    if not days.where("old_rows > coalesce(new_rows, 0)").isEmpty():
+    differ = days.where("not (old_rows <=> new_rows and old_sum <=> new_sum)")
+    found = differ.select(F.coalesce("n.event_date", "o.event_date"), F.expr("old_rows > coalesce(new_rows, 0)")).collect()
+    if any(fewer for _, fewer in found):
         raise ValueError("facts have to cover all events that are stored; load from the whole landed table")
-    differ = days.where("not (old_rows <=> new_rows and old_sum <=> new_sum)").select(F.struct("n.event_date").alias("day"))
-    fresh = staged.join(differ, F.col("event_date").eqNullSafe(F.col("day.event_date")), "left_semi")
-    return write_table(
-        fresh.hint("rebalance", "event_date"), path, "overwrite", "parquet", ["event_date"], partitionOverwriteMode="dynamic"
-    )
-
-
-def append_new_facts(facts: DataFrame, path: str, stage: str | None = None) -> int:
-    """Append the facts not yet in the table, comparing the de-duplication key null-safely.
-
-    The new facts are computed once into a staging table. The stored table is
-    partitioned by day and the load key holds the time of the event, so only
-    the days of the batch are compared, however long the history is.
-    """
-    spark = facts.sparkSession
-    if not table_exists(spark, path, "parquet"):
-        return write_by_hour(facts, path)
-    stage = stage or scratch_path(spark, "facts")
-    write_table(with_event_hour(facts), stage, "overwrite", "parquet")
-    staged = spark.read.parquet(stage)
-    # One value per day in the batch.
-    days = [r[0] for r in staged.select("event_date").distinct().collect() if r[0] is not None]
-    stored = spark.read.parquet(path).where(F.col("event_date").isin(days))
-    undated = spark.read.parquet(path).where(F.col("event_date").isNull())
-    fresh = new_rows(staged, stored.unionByName(undated), FACT_DEDUP_KEY)
-    fresh = fresh.hint("rebalance", "event_date")
-    return write_table(fresh, path, "append", "parquet", ["event_date"])
+    return [day for day, _ in found]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -36,9 +37,10 @@ def read_table(spark: SparkSession, name: str, format: str | None = None, **opti
     return spark.read.format(format).options(table=name, **options).load()
 
 
-def table_exists(spark: SparkSession, name: str, format: str | None = None, **options: str) -> bool:
+def table_exists(spark: SparkSession, name: str, format: str | None = None, missing: str = "", **options: str) -> bool:
     """Whether a target is there. Only 'not found' means no; any other error
-    (rights, network) is raised rather than taken for a missing table."""
+    (rights, network) is raised rather than taken for a missing table. ``missing``: a pattern
+    of the message by which a connector says it."""
     if format is None:
         return spark.catalog.tableExists(name)
     try:
@@ -47,6 +49,8 @@ def table_exists(spark: SparkSession, name: str, format: str | None = None, **op
         if error.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND",
                                     "UNABLE_TO_INFER_SCHEMA"):
             return False
+        if missing and re.search(missing, str(error)):
+            return False
         raise
     return True
 

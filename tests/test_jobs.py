@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from listenhouse.plans.jobs import landed_listens, load_dimensions, load_fact, load_warehouse
+from listenhouse.sinks.store import Store
 from listenhouse.sinks.tables import append_new, overwrite, write_by_hour, write_table
 from listenhouse.sources import testdata
 from listenhouse.sources.tables import read_table, register, table_exists
@@ -26,7 +27,7 @@ def test_load_twice_appends_nothing(spark, folder, landed):
     assert first["fact_streams"] == 600 and first["dim_user"] == 15
     assert first["dim_datetime"] == 43_848
     second = load_warehouse(spark, landed, f"{folder}/wh")
-    merged = ("dim_datetime", "dim_user", "dim_session")
+    merged = ("dim_datetime", "dim_user", "dim_user_history", "dim_session")
     assert {k: v for k, v in second.items() if k not in merged} == {k: 0 for k in second if k not in merged}
     fact = spark.read.parquet(f"{folder}/wh/fact_streams")
     assert fact.count() == 600 and "event_date" in fact.columns
@@ -53,7 +54,7 @@ def test_two_loads_equal_one(spark, folder, landed):
             load_dimensions(spark, part, f"{folder}/{name}")
             load_fact(spark, part, f"{folder}/{name}")
     for table in ("dim_user", "dim_session", "dim_song", "dim_artist", "dim_location", "fact_streams"):
-        rows = [spark.read.parquet(f"{folder}/{name}/{table}") for name in ("one", "two")]
+        rows = [Store(spark, f"{folder}/{name}").read(table) for name in ("one", "two")]
         assert Counter(map(tuple, rows[0].collect())) == Counter(map(tuple, rows[1].select(rows[0].columns).collect()))
     with pytest.raises(ValueError):
         load_fact(spark, events.where(~early), f"{folder}/two")

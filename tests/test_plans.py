@@ -11,7 +11,8 @@ SF_DIR = "/root/testdata/sf0.001"
 # These write files first and return a scan of them.
 WRITING = {
     "fact_by_hour_partition", "ingest_stream", "export_topics", "export_topics_bounded",
-    "load_user_twice", "load_session_twice", "load_fact_twice",
+    "load_user_twice", "load_session_twice", "load_fact_twice", "load_fact_by_day", "load_user_history", "load_warehouse_catalog",
+    "load_stream", "model_dim_user", "model_dim_artist", "model_fact_streams",
 }
 
 
