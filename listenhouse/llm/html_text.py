@@ -10,14 +10,13 @@ before it, so that short paragraphs between long ones survive. Where that is the
 itself, it goes from the first content line, or the headings before it, to the last.
 
 Lines inside elements that are never content by their tag or role (navigation,
-footers, forms, ...) do not take part. A class or id (``sidebar``, ``comments``,
-``widget``, ...) is only a hint: all its lines are clustered with the rest
-first. A hinted element goes if little of the content lies in it and in the
-others that its word names, and it is not what encloses the page's article; then
-the lines that stay are clustered anew. Where the
-page marks its article (``article``, ``main``, ``itemprop=articleBody``), all
-marked parts with content are the region, with all their lines; to an
-``articleBody`` without h1 belongs the h1 above it. If no marked part has content, its lines count as content.
+footers, forms, ...) do not take part. All other marks only weigh: ratios of lines in a part that the page marks as its article
+(``article``, ``main``, ``itemprop=articleBody``) are multiplied by ``MARKED``. A class or id (``sidebar``, ``comments``,
+``widget``, ...) is a hint: all lines are clustered without it
+first. If little of the content lies in a hinted element and in the
+others that its word names, and it is not what encloses the page's article, its ratios are multiplied by ``HINTED``, and the
+lines are clustered anew; those of its lines that are still content stay. To an
+``articleBody`` without h1 belongs the h1 above it.
 
 Defined results: null, empty or unparsable html gives an empty text; unclosed
 and misnested tags end with the nearest enclosing element that matches;
@@ -42,6 +41,8 @@ SIGMA = 1.5
 SHARE = 0.5
 #: A hinted element, or all that one word names, stays if it holds this share of the content, in characters.
 LARGE = 0.5
+#: What the smoothed ratios of lines in a marked part, and of lines in a hinted element that holds little, are multiplied by.
+MARKED, HINTED = 8.0, 0.0625
 
 # Element and attribute names of HTML.
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer
@@ -98,6 +99,8 @@ class Lines(HTMLParser):
         self.hinted: list[tuple[int, frozenset[str]]] = [(0, frozenset())]  # of each hinted element the one around it, and its words
         self.parts: list[tuple[str, int]] = [("", 0)]  # of each marked part the tag and the hinted element around it
         self.anchors = 0
+        self.blocks: list[int] = []  # places of block elements in open
+        self.places: dict[str, list[int]] = {}  # and of the elements of each tag
 
     def _top(self) -> tuple[bool, int, int]:
         return (self.open[-1][1], self.open[-1][2], self.open[-1][4]) if self.open else (False, 0, 0)
@@ -106,29 +109,43 @@ class Lines(HTMLParser):
         tag, _, part, element, _ = self.open[-1] if self.open else ("", False, 0, 0, 0)
         self.events.append((part, element, tag in HEADINGS, None))
 
-    def lines(self, dropped: set[int]) -> list[tuple[str, int, int, int, int, bool, list[tuple[int, int]]]]:
-        """Text, link characters, tags, marked part, element, heading or not, and the characters by hinted element."""
-        lines, pieces, tags = [], [], 0
+    def lines(self, dropped: set[int]) -> list[tuple[str, int, int, int, int, bool, list[tuple[int, int]], bool]]:
+        """Text, link characters, tags, marked part, element, heading or not, the characters by hinted element, and whether all of it
+        lies in ``dropped`` elements. Of other lines what lies in these is left out."""
+        lines, pieces, aside, tags, tags_aside = [], [], [], 0, 0
         for event in self.events:
             if len(event) == 3:
-                if event[1] not in dropped:
-                    pieces.append(event)
+                (aside if event[1] in dropped else pieces).append(event)
             elif len(event) == 1:
                 tags += event[0] not in dropped
-            elif pieces:
+                tags_aside += event[0] in dropped
+            elif pieces or aside:
                 words = "".join(text for text, *_ in pieces).split()
+                hinted = not words
+                if hinted:
+                    pieces = aside
+                    words = "".join(text for text, *_ in pieces).split()
                 if words:
                     linked = sum(len(text) for text, _, inside in pieces if inside)
-                    lines.append((" ".join(words), linked, tags, *event[:3], [(hint, len(text.strip())) for text, hint, _ in pieces]))
-                    tags = 0
-                pieces = []
+                    lines.append((" ".join(words), linked, tags_aside if hinted else tags, *event[:3], [(hint, len(text.strip())) for text, hint, _ in pieces], hinted))
+                    if hinted:
+                        tags_aside = 0
+                    else:
+                        tags = 0
+                pieces, aside = [], []
         return lines
 
     def _close(self, place: int) -> None:
         self.flush()
+        self._cut(place)
+
+    def _cut(self, place: int) -> None:
         for tag, *_ in self.open[place:]:
             self.anchors -= tag == "a"
+            self.places[tag].pop()
         del self.open[place:]
+        while self.blocks and self.blocks[-1] >= place:
+            self.blocks.pop()
 
     def handle_starttag(self, tag, attrs):
         never, part, hint = self._top()
@@ -143,12 +160,12 @@ class Lines(HTMLParser):
         if tag in BLOCKS:
             self.flush()
             until = SAME.get(tag)
-            for place in range(len(self.open) - 1, -1, -1):
+            for place in reversed(self.blocks):
                 name = self.open[place][0]
                 if (until and name == tag) or (name == "p" and tag in CLOSES_P):
                     self._close(place)
                     break
-                if name in (until or ()) or (name in BLOCKS and name != "p"):
+                if name in (until or ()) or name != "p":
                     break
             never, part, hint = self._top()
         attributes = dict(attrs)
@@ -167,6 +184,9 @@ class Lines(HTMLParser):
             above = len(self.above) - 1
             if tag == "h1":
                 self.tops.add(above)
+        if tag in BLOCKS:
+            self.blocks.append(len(self.open))
+        self.places.setdefault(tag, []).append(len(self.open))
         self.open.append((tag, never, part, above, hint))
 
     def handle_startendtag(self, tag, attrs):
@@ -180,17 +200,14 @@ class Lines(HTMLParser):
         never, _, hint = self._top()
         if not never:
             self.events.append((hint,))
-        for place in range(len(self.open) - 1, -1, -1):
-            if self.open[place][0] == tag:
-                if tag in BLOCKS or any(t in BLOCKS for t, *_ in self.open[place:]):
-                    self._close(place)
-                else:
-                    for name, *_ in self.open[place:]:
-                        self.anchors -= name == "a"
-                    del self.open[place:]
-                return
-            if tag not in BLOCKS and self.open[place][0] in BLOCKS:
-                return  # an inline end tag without its start
+        place = self.places[tag][-1] if self.places.get(tag) else -1
+        block = self.blocks[-1] if self.blocks else -1
+        if place < 0 or (tag not in BLOCKS and place < block):
+            return  # an end tag without its start, or an inline one from outside the block
+        if block >= place:
+            self._close(place)
+        else:
+            self._cut(place)
 
     def parse_marked_section(self, i, report=1):
         return self.parse_bogus_comment(i)  # as browsers read <![...>
@@ -209,10 +226,10 @@ def smoothed(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return full / np.convolve(np.ones(len(ratio)), kernel)[reach : reach + len(ratio)]
 
 
-def clustered(lines: list[tuple]) -> np.ndarray:
-    """Which lines are content."""
+def clustered(lines: list[tuple], weights: list[float] | None = None) -> np.ndarray:
+    """Which lines are content; ``weights`` of their smoothed ratios are 1 by default."""
     ratio = np.array([max(0, len(text) - 2 * linked) / max(1, tags) for text, linked, tags, *_ in lines], float)
-    line = smoothed(ratio)
+    line = smoothed(ratio) * (np.ones(len(lines)) if weights is None else weights)
     content = line >= SHARE * line.std()
     return content & ((ratio > 0) | ~(ratio[content] > 0).any())
 
@@ -222,7 +239,7 @@ def _dropped(parser: Lines, lines: list[tuple], content: np.ndarray) -> set[int]
     weight, depth = [0] * len(parser.hinted), [0] * len(parser.hinted)
     held = [0] * len(parser.parts)
     marked = {part for _, _, _, part, *_ in lines} - {0}
-    for (_, _, _, part, _, _, pieces), chosen in zip(lines, content):
+    for (_, _, _, part, _, _, pieces, _), chosen in zip(lines, content):
         for hint, n in pieces if chosen else ():
             weight[hint] += n
             held[part] += n
@@ -267,25 +284,22 @@ def main_text(html: str | None) -> str:
     content = clustered(lines)
     if len(parser.hinted) > 1:
         dropped = _dropped(parser, lines, content)
-        if dropped:
-            lines = parser.lines(dropped)
-            if not lines:
-                return ""
-            content = clustered(lines)
-    chosen_parts = {part for (_, _, _, part, *_), chosen in zip(lines, content) if part and chosen}
-    if chosen_parts:
-        kept = np.array([part in chosen_parts for _, _, _, part, *_ in lines])
-        if parser.parts[lines[kept.argmax()][3]][0] not in ARTICLE:
-            _add_title(kept, lines, parser.tops)
-        return "\n\n".join(text for (text, *_), own in zip(lines, kept) if own)
-    # Marked parts that are not told from the rest by their text stay with what is.
-    content |= np.array([part > 0 for _, _, _, part, *_ in lines])
+        lines = parser.lines(dropped) if dropped else lines
+    content = clustered(lines, [HINTED if hinted else MARKED if part else 1.0 for _, _, _, part, _, _, _, hinted in lines])
     main = _main_element(lines, content, parser.above)
-    found = np.flatnonzero([_within(element, main, parser.above) for _, _, _, _, element, *_ in lines] if main else content)
-    first = found[0]
+    kept = np.array([_within(element, main, parser.above) for _, _, _, _, element, *_ in lines] if main else content)
+    first, last = int(kept.argmax()), len(kept) - 1 - int(kept[::-1].argmax())
     while first and lines[first - 1][5]:
         first -= 1
-    return "\n\n".join(text for text, *_ in lines[first : found[-1] + 1])
+    kept[first : last + 1] = True
+    # Inside the region, what is hinted at stays only if it is content, and so does what is unmarked between marked parts that have all content.
+    marked = np.array([part > 0 for _, _, _, part, *_ in lines])
+    aside = np.array([hinted for *_, hinted in lines]) | (~marked & marked[content].all())
+    kept &= content | ~aside
+    parts = {part for (_, _, _, part, *_), own in zip(lines, kept) if part and own}
+    if parts and all(parser.parts[part][0] not in ARTICLE for part in parts):
+        _add_title(kept, lines, parser.tops)
+    return "\n\n".join(text for (text, *_), own in zip(lines, kept) if own)
 
 
 def _add_title(kept: np.ndarray, lines: list[tuple], tops: set[int]) -> None:

@@ -7,7 +7,7 @@ import pytest
 
 from listenhouse.llm import decontaminate, fingerprints, html_text, language, token_counts
 from tests.llm import brute
-from tests.llm.conftest import table
+from tests.llm.conftest import SF_DIR, table
 from tests.llm.test_edges import BASE, changed, prose
 
 _LONG = [f"This is paragraph number {i} of the story, with quite a few words, so that it is content by any measure." for i in range(4)]
@@ -115,3 +115,33 @@ def test_language_of_few_readable_rows(spark):
     blank = spark.range(100, 20_000).selectExpr("id as doc_id", "'12 --' as text", "'aa' as lang")
     model = language.fit(spark.createDataFrame(few, "doc_id long, text string, lang string").union(blank), sample=5)
     assert set(model.langs) == {"aa", "bb"}
+
+
+def test_html_needs_its_clusters(spark, monkeypatch):
+    """With every line taken for content, pages keep what the method leaves out; without the article's mark it still finds it."""
+    import re
+
+    import numpy as np
+
+    pages = [r.html for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()]
+    found = [html_text.main_text(p) for p in pages]
+    unmarked = [html_text.main_text(re.sub(r"(</?)article", r"\1div", p)) for p in pages]
+    assert sum(u == f for u, f in zip(unmarked, found)) >= 0.95 * len(pages)  # but for articles shorter than a menu
+    monkeypatch.setattr(html_text, "clustered", lambda lines, *_: np.ones(len(lines), bool))
+    assert all(html_text.main_text(p) != f for p, f in zip(pages, found))
+
+
+def test_html_with_many_open_tags():
+    import time
+
+    began = time.time()
+    assert html_text.main_text("<p>" + "<span>x" * 32_000 + "</q>" * 32_000) == "x" * 32_000
+    assert html_text.main_text("<div>" * 3_000 + "y" + "</li>" * 30_000) == "y"
+    assert time.time() - began < 5
+
+
+def test_html_hints_and_marks_only_weigh():
+    """A hinted block with the ratio of an article stays; a short one goes; a mark does not keep a page from its text."""
+    long = "A long paragraph of text with many words that goes on and on for a while, and then some more of it."
+    assert html_text.main_text(f"<div><h1>Head</h1><p>{long}</p><div class=share>Share this</div><p>{long}</p></div><div class=sidebar>Other things</div>") == f"Head\n\n{long}\n\n{long}"
+    assert html_text.main_text(f"<div class=widget><p>{long}</p><p>{long}</p></div>") == f"{long}\n\n{long}"
