@@ -7,9 +7,9 @@ below. Each pre-token's token count is stored where it ends, and texts add up
 the counts of theirs.
 
 A pre-token is a run of anything but white space (\\x20, \\x09-\\x0D) with the one
-space before it, if there is one. It is segmented as a whole, whatever its length; those of
-more than ``LONGEST`` bytes go outside the trie, with a rolling window of scores. In ``n_pretokens``
-such a run counts once for every ``LONGEST`` bytes begun. Every white space character that no pre-token takes is one
+space before it, if there is one. It counts once and is segmented as a whole, whatever its length; those of
+more than ``LONGEST`` bytes go outside the trie, by the same recurrence with a rolling window of scores. Every white space
+character that no pre-token takes is one
 token. A piece of rank r costs round(1000 ln(r + 2)), a single byte as much as
 a piece behind the last one; of equal costs the segmentation with fewer tokens
 counts.
@@ -163,7 +163,7 @@ def counts(column: pa.Array, known: Vocabulary) -> tuple[np.ndarray, np.ndarray]
     for i in np.flatnonzero(long):
         tokens[i] = long_count(w.data[starts[i] : starts[i] + lengths[i]], known)
     total, covered, pre = np.zeros((3, n), np.int64)
-    for into, values in ((total, tokens[same]), (covered, size + spaced), (pre, -(-size // LONGEST))):
+    for into, values in ((total, tokens[same]), (covered, size + spaced), (pre, 1)):
         np.add.at(into, text, values)
     return pre, total + np.diff(offsets) - covered
 

@@ -80,19 +80,17 @@ def tokens(text, pieces, cost):
     """Pre-tokens and tokens by one Viterbi search per pre-token."""
     size = max(pieces.values()) + 1
     data, count, covered, pre = (text or "").encode(), 0, 0, 0
+    longest = max(map(len, pieces))
     for m in re.finditer(rb" ?[^\x20\x09-\x0D]+", data):
-        body = m[0].lstrip(b" ")
-        lead = m[0][: len(m[0]) - len(body)]
-        for n in range(0, len(body), 64):
-            token = (lead if n == 0 else b"") + body[n : n + 64]
-            best = [(0, 0)] + [(float("inf"), 0)] * len(token)
-            for end in range(1, len(token) + 1):
-                for start in range(end):
-                    piece = token[start:end]
-                    if len(piece) == 1 or piece in pieces:
-                        c = cost(piece, pieces.get(piece, size), size)
-                        best[end] = min(best[end], (best[start][0] + c, best[start][1] + 1))
-            pre, count, covered = pre + 1, count + best[-1][1], covered + len(token)
+        token = m[0]
+        best = [(0, 0)] + [(float("inf"), 0)] * len(token)
+        for end in range(1, len(token) + 1):
+            for start in range(max(0, end - longest), end):
+                piece = token[start:end]
+                if len(piece) == 1 or piece in pieces:
+                    c = cost(piece, pieces.get(piece, size), size)
+                    best[end] = min(best[end], (best[start][0] + c, best[start][1] + 1))
+        pre, count, covered = pre + 1, count + best[-1][1], covered + len(token)
     return pre, count + len(data) - covered
 
 
