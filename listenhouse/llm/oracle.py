@@ -90,21 +90,23 @@ added AS (
     AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = l.doc_id AND b.start < l.stop AND l.start < b.stop)
 ),
 owned AS (
-  SELECT v, count(DISTINCT owner) >= 3 AS wide FROM (SELECT * FROM base UNION ALL SELECT * FROM added) GROUP BY v
+  SELECT v, count(DISTINCT owner) AS owners, count(DISTINCT doc_id) AS repositories, count(DISTINCT owner) >= 3 OR count(DISTINCT doc_id) >= 20 AS wide FROM (SELECT * FROM base UNION ALL SELECT * FROM added) GROUP BY v
 ),
 every AS (
-  SELECT x.*, o.wide FROM (SELECT * FROM base UNION ALL SELECT * FROM added) x JOIN owned o ON o.v = x.v
+  SELECT x.*, o.wide, o.owners, o.repositories FROM (SELECT * FROM base UNION ALL SELECT * FROM added) x JOIN owned o ON o.v = x.v
 )
 """
 
 OP4 = "WITH " + _BASE + r"""
 SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
-  sha256(coalesce(b.joined, '')) AS base_sha256, coalesce(b.spans, '') AS spans, coalesce(b.n_live, 0) AS n_live, coalesce(b.n_wide, 0) AS n_wide
+  sha256(coalesce(b.joined, '')) AS base_sha256, coalesce(b.spans, '') AS spans, coalesce(b.n_live, 0) AS n_live, coalesce(b.n_wide, 0) AS n_wide,
+  coalesce(most_owners, 0) AS most_owners, coalesce(most_repositories, 0) AS most_repositories
 FROM documents d LEFT JOIN (
   SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
     string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind) FILTER (kind < 3) AS joined,
     string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind) FILTER (kind < 3 OR NOT wide) AS spans,
-    count(DISTINCT v) FILTER (NOT wide) AS n_live, count(DISTINCT v) FILTER (wide) AS n_wide
+    count(DISTINCT v) FILTER (NOT wide) AS n_live, count(DISTINCT v) FILTER (wide) AS n_wide,
+    max(owners) AS most_owners, max(repositories) AS most_repositories
   FROM every GROUP BY doc_id
 ) b ON b.doc_id = d.doc_id
 """

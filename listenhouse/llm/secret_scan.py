@@ -2,8 +2,9 @@
 
 Candidates are found by pattern in whole texts, natively. The hash of each
 candidate's value is counted over the corpus by distinct repositories and
-distinct owners: a value that at least ``WIDE_OWNERS`` owners hold is a widely copied
-example, one of fewer owners is live-looking and owner-specific.
+distinct owners: a value that at least ``WIDE_OWNERS`` owners hold, or that lies in at least ``WIDE_REPOSITORIES``
+repositories, whoever owns them, is a widely copied
+example; one of fewer is live-looking and owner-specific. Both counts are returned.
 
 Kinds ``assign``, ``access`` and ``hex`` are always reported. Kind ``live`` adds
 mixed-case tokens with digits that no base span covers, where their ownership
@@ -28,6 +29,8 @@ from listenhouse.llm.staging import stage
 
 #: A value held by at least so many owners is a widely copied example.
 WIDE_OWNERS = 3
+#: So is one that lies in so many repositories.
+WIDE_REPOSITORIES = 20
 
 # The patterns of the base kinds, in the order in which ties are listed.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -38,24 +41,42 @@ HEX = r"[0-9a-f]{24,}"
 LIVE = r"[A-Za-z0-9_-]{20,}"
 KINDS = ("assign", "access", "hex", "live")
 
+_BLOCK = 256
 _SPAN = "struct<start:int,kind:int,stop:int,value:string>"
 
 
+def _running(items: Column, start: Column, step, kind: str) -> Column:
+    """What ``step`` (state at, item) -> (state, result) makes of an array, results in an array of type ``kind``."""
+    empty = F.struct(start.alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+
+    def add(state: Column, x: Column) -> Column:
+        at, result = step(state["at"], x)
+        return F.struct(at.alias("at"), F.concat(state["out"], F.array(result.cast(kind))).alias("out"))
+
+    return F.aggregate(items, empty, add, lambda state: state["out"])
+
+
 def matches(text: Column, pattern: str, kind: int, value: str | None = None, least: int = 0) -> Column:
-    """Array of (start, kind, stop, value) of all matches: pieces between the matches give the places."""
+    """Array of (start, kind, stop, value) of all matches: pieces between the matches give the places.
+
+    Places are running sums, taken in blocks of ``_BLOCK`` matches: first where each block begins, then within the blocks. An array that grows
+    by a match at a time is copied each time, so none grows beyond a block, or beyond the number of blocks.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
-    lengths = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda gap, hit: F.struct(F.char_length(gap).alias("gap"), hit.alias("hit")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("spans"))
-
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + x["gap"]
+    pairs = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda gap, hit: F.struct(F.char_length(gap).alias("gap"), hit.alias("hit")))
+    count = F.ceil(F.size(found) / _BLOCK).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.slice(pairs, i * _BLOCK + 1, _BLOCK))
+    length = lambda block: F.aggregate(block, F.lit(0), lambda n, x: n + x["gap"] + F.char_length(x["hit"]))
+    begins = _running(F.transform(blocks, length), F.lit(0), lambda at, n: (at + n, at), "int")
+
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        begin = at + x["gap"]
         stop = begin + F.char_length(x["hit"])
         own = F.regexp_extract(x["hit"], value, 1) if value else x["hit"]
-        span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), stop.alias("stop"), own.alias("value"))
-        return F.struct(stop.alias("at"), F.concat(state["spans"], F.array(span.cast(_SPAN))).alias("spans"))
+        return stop, F.struct(begin.alias("start"), F.lit(kind).alias("kind"), stop.alias("stop"), own.alias("value"))
 
-    spans = F.aggregate(lengths, start, step, lambda state: state["spans"])
+    spans = F.flatten(F.zip_with(blocks, begins, lambda block, at: _running(block, at, step, _SPAN)))
     if least:
         spans = F.filter(spans, lambda s: F.char_length(s["value"]) >= least)
     # Most texts have no match; one cheap search decides.
@@ -86,7 +107,7 @@ def ownership(candidates: DataFrame) -> DataFrame:
     by_repository = candidates.groupBy("value", "repository").agg(F.lit(1).alias("one"))
     owners = by_owner.groupBy("value").agg(F.count("one").alias("owners"))
     repositories = by_repository.groupBy("value").agg(F.count("one").alias("repositories"))
-    return owners.join(repositories, "value").withColumn("wide", F.col("owners") >= WIDE_OWNERS)
+    return owners.join(repositories, "value").withColumn("wide", (F.col("owners") >= WIDE_OWNERS) | (F.col("repositories") >= WIDE_REPOSITORIES))
 
 
 def joined(spans: Column) -> Column:
@@ -96,20 +117,23 @@ def joined(spans: Column) -> Column:
 
 
 def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repository: str = "doc_id", owner: str = "source") -> DataFrame:
-    """Per row the base and all spans, their counts by kind, and how many values are owner-specific (n_live) or widely copied (n_wide)."""
+    """Per row the base and all spans, their counts by kind, how many values are owner-specific (n_live) or widely copied (n_wide),
+    and the owners and repositories of the row's most widely held value."""
     rows = stage(scan(docs, doc_id, text, repository, owner), "secrets")
     candidates = rows.select("doc_id", "text_hash", "repository", "owner", F.explode(F.concat("base", "added")).alias("s")).select("*", "s.value")
-    judged = candidates.join(ownership(candidates), "value").select("doc_id", "text_hash", "owner", "s", "wide")
+    judged = candidates.join(ownership(candidates), "value").select("doc_id", "text_hash", "owner", "s", "wide", "owners", "repositories")
     per_row = judged.groupBy("doc_id", "text_hash", "owner").agg(
         F.collect_set(F.when(~F.col("wide") & (F.col("s.kind") == 3), F.col("s"))).alias("live"),
         F.count_distinct(F.when(~F.col("wide"), F.col("s.value"))).alias("n_live"), F.count_distinct(F.when(F.col("wide"), F.col("s.value"))).alias("n_wide"),
+        F.max("owners").alias("most_owners"), F.max("repositories").alias("most_repositories"),
     )
     k = "__key"
     left = rows.withColumn(k, F.struct(F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(), "text_hash", "owner"))
-    right = per_row.select(F.struct(F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(), "text_hash", "owner").alias(k), "live", "n_live", "n_wide")
+    right = per_row.select(F.struct(F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(), "text_hash", "owner").alias(k), "live", "n_live", "n_wide", "most_owners", "most_repositories")
     every = F.array_sort(F.concat("base", F.coalesce("live", F.array().cast("array<struct<start:int,kind:int,stop:int,value:string>>"))))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     return left.join(right, k, "left").select(
         "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
         joined(every).alias("spans"), F.coalesce("n_live", F.lit(0)).alias("n_live"), F.coalesce("n_wide", F.lit(0)).alias("n_wide"),
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("most_owners", "most_repositories")],
     )

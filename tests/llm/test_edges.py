@@ -170,9 +170,32 @@ def test_secrets(spark, none):
     assert one[8].spans == one[9].spans == one[10].spans == "" and one[10].n_wide == 1
     assert one[2].spans == "access:0:20" and (one[2].n_wide, one[2].n_live) == (1, 0)
     assert one[5].n_assign == one[5].n_access == 1
+    assert one[10].most_owners == one[10].most_repositories == 3
     assert secret_scan.find_secrets(none).count() == 0
 
 
+def test_one_owner_copies_a_value(spark):
+    """To many repositories: an example; to fewer, a credential of that owner."""
+    many, few = "sk-Many0123456789Abcdefgh", "sk-Few0123456789Abcdefghi"
+    docs = table(spark, [(i, many, "en", "a") for i in range(secret_scan.WIDE_REPOSITORIES)] + [(100 + i, few, "en", "a") for i in range(secret_scan.WIDE_REPOSITORIES - 1)])
+    found = {r.doc_id: r for r in secret_scan.find_secrets(docs).collect()}
+    assert found[0].spans == "" and (found[0].most_owners, found[0].most_repositories) == (1, secret_scan.WIDE_REPOSITORIES)
+    assert found[100].spans == "live:0:25" and found[100].n_live == 1
+
+
+def test_many_secrets_in_one_text(spark):
+    """A hundred thousand of them take seconds."""
+    import time
+
+    text = " ".join(f"{i:024x}" for i in range(100_000)) + " password=" + "x" * 2_000_000
+    began = time.time()
+    row = secret_scan.find_secrets(table(spark, [(1, text)])).select("n_hex", "n_assign", "base_sha256").first()
+    assert (row.n_hex, row.n_assign) == (100_000, 1) and time.time() - began < 60
+    import hashlib
+
+    assert row.base_sha256 == hashlib.sha256(",".join([*(f"hex:{25 * i}:{25 * i + 24}" for i in range(100_000)), f"assign:2500000:{2500000 + 9 + 2_000_000}"]).encode()).hexdigest()
+
+
 @pytest.mark.parametrize("n", [1, 5, 8])
 def test_shards(docs, n):
     found = sharding.shard_documents(docs, n_shards=n).collect()
