@@ -9,42 +9,50 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# --- fixed values: the escape forms and what the short ones stand for ------
-ESCAPE_TOKENS = (
-    r"""(?s)(\\[0-7]{1,3}|\\x[0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|\\U[0-9a-fA-F]{8}"""
-    r"""|\\[abfnrtv\\"'""" + "\n" + r"""]|[^\\]+|\\)"""
-)
+# --- fixed values: what stands behind the backslash of an escape, and what the short ones mean ------
+OCTAL, HEX = "^[0-7]{1,3}", "^(?:x[0-9a-fA-F]{2}|u[0-9a-fA-F]{4}|U[0-9a-fA-F]{8})"
 SHORT_ESCAPES = {
-    "\\a": "\x07", "\\b": "\b", "\\f": "\f", "\\n": "\n", "\\r": "\r", "\\t": "\t",
-    "\\v": "\x0b", "\\\\": "\\", '\\"': '"', "\\'": "'", "\\\n": "",
+    "a": "\x07", "b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t", "v": "\x0b", '"': '"', "'": "'", "\n": "",
 }
 # Characters an encoding can hold.
 REACH = {"ISO-8859-1": r"\A[\x00-\xFF]*\z", "US-ASCII": r"\A[\x00-\x7F]*\z"}
-WHOLE_ESCAPES = r"""(?s)\\([0-3][0-7]{0,2}|[4-7][0-7]?(?![0-7])|x[0-9a-fA-F]{2}|u00[0-9a-fA-F]{2}|U000000[0-9a-fA-F]{2}|[^xuUN0-7])"""
-BROKEN_ESCAPE = r"\\"
+# A backslash that begins no escape of a character below 256: x, u, U, N without such a value, or nothing behind it.
+BROKEN = r"""(?s)\\(?!(?:[0-3][0-7]{0,2}|[4-7][0-7]?(?![0-7])|x[0-9a-fA-F]{2}|u00[0-9a-fA-F]{2}|U000000[0-9a-fA-F]{2}|[^xuUN0-7]))"""
 # ---------------------------------------------------------------------------
+BACKSLASH = "\\"
+#: Stands for an escaped backslash while the others are taken apart; no encoding above has it.
+ESCAPED = "\uf8ff"
 
 
-def _unescape_token(token: Column) -> Column:
-    """One token: a short escape, a numeric escape below 256, or plain text."""
+def _unescape_part(part: Column) -> Column:
+    """What follows a backslash: the escaped character and the text up to the next backslash."""
     short = F.create_map(*[F.lit(x) for pair in SHORT_ESCAPES.items() for x in pair])
-    kind = F.substring(token, 2, 1)
-    octal = F.conv(F.substring(token, 2, 3), 8, 10).cast("int")
-    hexa = F.conv(F.substring(token, 3, 8), 16, 10).cast("bigint")
-    char = lambda code: F.when(code < 256, F.char(code)).otherwise(token)
+    first = F.substring(part, 1, 1)
+    octal, hexa = F.regexp_extract(part, OCTAL, 0), F.regexp_extract(part, HEX, 0)
+    rest = lambda n: F.substr(part, n + 1)
+    whole = F.concat(F.lit(BACKSLASH), part)
+
+    def numeric(code: Column, n: Column) -> Column:
+        return F.when(code < 256, F.concat(F.char(code), rest(n))).otherwise(whole)
+
     return (
-        F.when(~F.startswith(token, F.lit("\\")) | (F.length(token) == 1), token)
-        .when(kind.between("0", "7"), char(octal))
-        .when(kind.isin("x", "u", "U"), char(hexa))
-        .otherwise(F.coalesce(short[token], token))
+        F.when(first.between("0", "7"), numeric(F.conv(octal, 8, 10).cast("int"), F.length(octal)))
+        .when(first.isin("x", "u", "U") & (hexa != ""), numeric(F.conv(F.substr(hexa, F.lit(2)), 16, 10).cast("bigint"), F.length(hexa)))
+        .otherwise(F.coalesce(F.concat(short[first], rest(F.lit(1))), whole))
     )
 
 
+def _paired(c: Column) -> Column:
+    """Escaped backslashes out of the way: every backslash left begins an escape, or is broken."""
+    return F.replace(c, F.lit(2 * BACKSLASH), F.lit(ESCAPED))
+
+
 def unescape(c: Column) -> Column:
-    tokens = F.regexp_extract_all(c, F.lit(ESCAPE_TOKENS), F.lit(1))
-    decoded = F.array_join(F.transform(tokens, _unescape_token), "")
-    # Most names hold no backslash; they skip the tokens altogether.
-    return F.when(F.contains(c, F.lit("\\")), decoded).otherwise(c)
+    parts = F.split(_paired(c), r"\\", -1)
+    behind = F.transform(F.slice(parts, 2, F.size(parts)), _unescape_part)
+    decoded = F.replace(F.concat(F.get(parts, F.lit(0)), F.array_join(behind, "")), F.lit(ESCAPED), F.lit(BACKSLASH))
+    # Most names hold no backslash; they are not taken apart.
+    return F.when(F.contains(c, F.lit(BACKSLASH)), decoded).otherwise(c)
 
 
 def encoded(c: Column, encoding: str = "ISO-8859-1") -> Column:
@@ -60,9 +68,7 @@ def repair_text(c: str | Column, encoding: str = "ISO-8859-1") -> Column:
     are no UTF-8 comes back as it is.
     """
     column = F.col(c) if isinstance(c, str) else c
-    # An escape is broken where no token but a lone backslash matches it, or x, u, U, N have no value.
-    sound = ~F.regexp_replace(column, WHOLE_ESCAPES, "").rlike(BROKEN_ESCAPE)
-    fits = column.rlike(REACH[encoding])
-    plain = ~F.contains(column, F.lit("\\"))
-    text = F.when(fits & (plain | sound), encoded(unescape(column), encoding))
+    # Only text with a backslash is searched for broken escapes; characters beyond the encoding survive the unescaping and fail then.
+    sound = ~F.contains(column, F.lit(BACKSLASH)) | ~_paired(column).rlike(BROKEN)
+    text = F.when(sound & ~F.contains(column, F.lit(ESCAPED)), encoded(unescape(column), encoding))
     return F.when(text.isNotNull(), F.btrim(text, F.lit('"'))).otherwise(column)
