@@ -215,7 +215,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
     unmet = _unmet(lists.drop("pivot"), groups).where("label <> largest").select(F.col("d").alias("a"), F.col("pivot").alias("b"))
     more = verified(unmet.distinct(), prints, identified)
     groups = components(more, groups)
-    pairs = apart(_unmet(lists.drop("pivot"), groups), identified)
+    pairs = apart(_unmet(lists.drop("pivot"), groups), prints.select("d", F.col("n_shingles").alias("n")), identified)
     rest = verified(pairs, prints, identified, likely=False)
     groups = components(rest, groups)
     drop(shared, lists, pairs, prints)

@@ -35,7 +35,7 @@ from pyspark.sql.window import Window
 
 from listenhouse.llm.components import components
 from listenhouse.llm.staging import drop, stage
-from listenhouse.llm.texts import packed_texts, parts, unpack
+from listenhouse.llm.texts import filter_bits, packed_texts, parts, passing, place, unpack
 from listenhouse.llm.words import MinHash, mix, shingles, slices, words
 
 SHINGLE = 5
@@ -98,50 +98,59 @@ def confirm(pairs: DataFrame, signatures: DataFrame, texts: DataFrame, matches:
     return links
 
 
-def prefix_lists(posts: DataFrame, required: Column) -> DataFrame:
-    """Of ``posts`` (key, d, ...) those of each document's prefix.
-
-    Partners share at least ``required`` keys with a document, hence one of any
-    (keys of the document - required + 1). Those are its rarest; keys that no
-    other document has come first, and need not be posted.
-    """
+def ranked_lists(posts: DataFrame) -> DataFrame:
+    """``posts`` (key, d) of keys that others have too, with the rank of the key in its document, rarest first, and how many of them the document has."""
     common = posts.groupBy("key").agg(F.count("*").alias("f")).where("f > 1")
     own = Window.partitionBy("d")
     return (
         posts.join(common, "key")
         .withColumn("rank", F.row_number().over(own.orderBy("f", "key")))
         .withColumn("shared", F.count("*").over(own))
-        .where(F.col("rank") <= F.col("shared") - (required - 1))
         .drop("f")
     )
 
 
-def _shingle_rows(batches):
-    for part in parts(batches, 1):
-        sets = list(shingles(words(unpack(part.column(1)), lower=True), SHINGLE))
-        sizes = np.array([len(x) for x in sets], np.int64)
-        keys = np.concatenate(sets).view(np.int64)
-        d, label = (np.repeat(part.column(c).to_numpy(), sizes) for c in (0, 2))
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys, d, label, np.repeat(sizes, sizes))], ["key", "d", "label", "n"])
+def in_prefix(required: Column) -> Column:
+    """Whether a ranked post belongs to its document's prefix.
+
+    Partners share at least ``required`` keys with a document, hence one of any
+    (keys of the document - required + 1). Those are its rarest; keys that no
+    other document has come first, and need not be posted.
+    """
+    return F.col("rank") <= F.col("shared") - (required - 1)
+
+
+def _shingle_rows(bits: np.ndarray):
+    def run(batches):
+        for part in slices((passing(b, bits, 2) for b in batches), 1):
+            sets = list(shingles(words(part.column(1), lower=True), SHINGLE))
+            sizes = [len(x) for x in sets]
+            keys = np.concatenate(sets).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(part.column(0).to_numpy(), sizes))], ["key", "d"])
+
+    return run
 
 
-def apart(unmet: DataFrame, texts: DataFrame) -> DataFrame:
+def apart(unmet: DataFrame, sizes: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) of documents of different components that share one of the shingles of both prefixes; staged.
 
-    The exact way for what the turns leave: full shingle sets in place of signatures. A document is posted only if
+    The exact way for what the turns leave: full shingle sets in place of signatures; ``sizes`` has (d, n), how many shingles a
+    document has. A document is posted only if
     others hold as many of its shingles as a partner must. Members of the largest component of a list do not meet each other; k others of
     it do, under the shingles of their prefixes, so the join is bounded by the sum over those shingles of k times the list.
+    No text is moved: a filter of fixed size spares documents that are not wanted, what it lets through besides is only counted.
     """
-    nodes = stage(unmet.select("d", "label").distinct(), "unmet")
-    packed = packed_texts(texts, nodes.select(F.col("d").alias("doc_id")))
-    with_text = nodes.join(packed, nodes.d == packed.doc_id).select("d", "packed", "label")
-    posts = stage(with_text.mapInArrow(_shingle_rows, "key long, d long, label long, n long").distinct(), "shingles")
+    nodes = stage(unmet.select("d", "label").distinct().join(sizes, "d").distinct(), "unmet")
+    source = texts.select("doc_id", F.col("text").cast("string"), place("doc_id").alias("place"))
+    bits = filter_bits(nodes.select(F.col("d").alias("doc_id")))
+    posts = stage(source.mapInArrow(_shingle_rows(bits), "key long, d long"), "shingles")
     # |a & b| >= PERCENT % of the larger; and of the smaller, 2 PERCENT / (100 + PERCENT).
     least, least_small = (F.expr(f"(n * {up} + {down} - 1) div {down}") for up, down in ((PERCENT, 100), (2 * PERCENT, 100 + PERCENT)))
-    lists = prefix_lists(posts, least).withColumn("short", F.col("rank") <= F.col("shared") - (least_small - 1))
+    lists = ranked_lists(posts).join(nodes, "d").where(in_prefix(least)).withColumn("short", in_prefix(least_small))
     lists = lists.withColumn("left", F.col("shared") - F.col("rank"))
     most = lists.groupBy("key", "label").agg(F.count("*").alias("m")).groupBy("key").agg(F.max_by("label", "m").alias("largest"), F.count("*").alias("labels"))
     lists = stage(lists.join(most.where("labels > 1").drop("labels"), "key"), "prefixes")
+    drop(posts)
     x, y = (lists.select("key", "largest", *[F.col(c).alias(f"{c}_{k}") for c in ("d", "label", "n", "short", "left")]) for k in "ab")
     # The first shingle that a pair has in common bounds the rest: what comes behind it, in either document.
     fits = f"""
@@ -152,7 +161,7 @@ def apart(unmet: DataFrame, texts: DataFrame) -> DataFrame:
     """
     found = x.where("label_a <> largest").join(y.drop("largest"), "key").where(fits)
     pairs = stage(found.select(F.col("d_a").alias("a"), F.col("d_b").alias("b")).distinct(), "apart")
-    drop(nodes, posts, lists)
+    drop(nodes, lists)
     return pairs
 
 
@@ -179,7 +188,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id is not null")
 
     posts = signatures.select(F.col("doc_id").alias("d"), F.posexplode("signature")).select(F.xxhash64("pos", "col").alias("key"), "d")
-    lists = stage(prefix_lists(posts, F.lit(MATCHES)).select("key", "d"), "lists")
+    lists = stage(ranked_lists(posts).where(in_prefix(F.lit(MATCHES))).select("key", "d"), "lists")
     least = lists.groupBy("key").agg(F.min("d").alias("pivot"), F.count("*").alias("n")).where("n > 1")
     to_pivot = lists.join(least, "key").where("d <> pivot").select(F.col("d").alias("a"), F.col("pivot").alias("b")).distinct()
     links = confirm(to_pivot, signatures, texts)
@@ -192,7 +201,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     groups = components(links, groups)
     drop(links)
     # What is still apart: their sets alone decide.
-    pairs = apart(_unmet(lists, groups), texts)
+    pairs = apart(_unmet(lists, groups), signatures.select(F.col("doc_id").alias("d"), F.col("n_shingles").alias("n")), texts)
     links = confirm(pairs, signatures, texts, matches=0)
     groups = components(links, groups)
     drop(lists, pairs, links)

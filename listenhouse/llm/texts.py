@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bits of the filter that spares unwanted texts the shuffle; 1 MB however many are wanted.
@@ -40,8 +40,7 @@ def _pack(bits: np.ndarray | None):
     def run(batches):
         for batch in batches:
             if bits is not None:
-                place = batch.column(2).to_numpy()
-                batch = batch.filter(pa.array((bits[place >> 3] >> (place & 7)) & 1 == 1))
+                batch = passing(batch, bits, 2)
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
                 yield pa.RecordBatch.from_arrays([part.column(0), pack(part.column(1))], ["doc_id", "packed"])
@@ -49,19 +48,33 @@ def _pack(bits: np.ndarray | None):
     return run
 
 
+def place(doc_id: str) -> Column:
+    """Which bit of the filter an id has."""
+    return F.pmod(F.xxhash64(doc_id), F.lit(FILTER_BITS))
+
+
+def filter_bits(wanted: DataFrame) -> np.ndarray:
+    """The filter of the ids of ``wanted`` (doc_id)."""
+    # bitmap_bit_position counts from 0 where the value is 1.
+    found = wanted.select((place("doc_id") + 1).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for row in found.collect():
+        first = (row.bucket - 1) * _PER_BUCKET // 8
+        bits[first : first + len(row.bits)] = np.frombuffer(bytes(row.bits), np.uint8)
+    return bits
+
+
+def passing(batch: pa.RecordBatch, bits: np.ndarray, column: int) -> pa.RecordBatch:
+    """The rows whose bit, by the place in a column, is set."""
+    at = batch.column(column).to_numpy()
+    return batch.filter(pa.array((bits[at >> 3] >> (at & 7)) & 1 == 1))
+
+
 def packed_texts(docs: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """(doc_id, packed) of ``docs`` (doc_id, text); with ``wanted`` (doc_id) at least the rows of those ids, and few others.
 
     The filter has a fixed size: the more are wanted, the less it spares, but no wanted row is lost.
     """
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
-    bits = None
-    if wanted is not None:
-        # bitmap_bit_position counts from 0 where the value is 1.
-        found = wanted.select((place("doc_id") + 1).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
-        bits = np.zeros(FILTER_BITS // 8, np.uint8)
-        for row in found.collect():
-            first = (row.bucket - 1) * _PER_BUCKET // 8
-            bits[first : first + len(row.bits)] = np.frombuffer(bytes(row.bits), np.uint8)
+    bits = None if wanted is None else filter_bits(wanted)
     source = docs.select("doc_id", F.col("text").cast("string"), place("doc_id").alias("place"))
     return source.mapInArrow(_pack(bits), "doc_id long, packed binary")
