@@ -56,6 +56,11 @@ def _running(items: Column, start: Column, step, kind: str) -> Column:
     return F.aggregate(items, empty, add, lambda state: state["out"])
 
 
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often a lambda in it needs it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def matches(text: Column, pattern: str, kind: int, value: str | None = None, least: int = 0) -> Column:
     """Array of (start, kind, stop, value) of all matches: pieces between the matches give the places.
 
@@ -65,18 +70,22 @@ def matches(text: Column, pattern: str, kind: int, value: str | None = None, lea
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
     pairs = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda gap, hit: F.struct(F.char_length(gap).alias("gap"), hit.alias("hit")))
-    count = F.ceil(F.size(found) / _BLOCK).cast("int")
-    blocks = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.slice(pairs, i * _BLOCK + 1, _BLOCK))
-    length = lambda block: F.aggregate(block, F.lit(0), lambda n, x: n + x["gap"] + F.char_length(x["hit"]))
-    begins = _running(F.transform(blocks, length), F.lit(0), lambda at, n: (at + n, at), "int")
-
     def step(at: Column, x: Column) -> tuple[Column, Column]:
         begin = at + x["gap"]
         stop = begin + F.char_length(x["hit"])
         own = F.regexp_extract(x["hit"], value, 1) if value else x["hit"]
         return stop, F.struct(begin.alias("start"), F.lit(kind).alias("kind"), stop.alias("stop"), own.alias("value"))
 
-    spans = F.flatten(F.zip_with(blocks, begins, lambda block, at: _running(block, at, step, _SPAN)))
+    def places(blocks: Column) -> Column:
+        length = lambda block: F.aggregate(block, F.lit(0), lambda n, x: n + x["gap"] + F.char_length(x["hit"]))
+        begins = _running(F.transform(blocks, length), F.lit(0), lambda at, n: (at + n, at), "int")
+        return F.flatten(F.zip_with(blocks, begins, lambda block, at: _running(block, at, step, _SPAN)))
+
+    def in_blocks(pairs: Column) -> Column:
+        count = F.ceil(F.size(pairs) / _BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.slice(pairs, i * _BLOCK + 1, _BLOCK))
+
+    spans = _bound(_bound(pairs, in_blocks), places)
     if least:
         spans = F.filter(spans, lambda s: F.char_length(s["value"]) >= least)
     # Most texts have no match; one cheap search decides.
