@@ -7,9 +7,11 @@ tables do not depend on how many loads the events came in.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from listenhouse.operators.dedup import last_row
@@ -135,16 +137,24 @@ def load_dimensions(
     """Bring every dimension up to date with ``events``, all or a batch; rows written by table.
 
     Songs, artists and locations are appended and keep their first row; users and sessions are merged. ``landed``:
-    all events so far, if ``events`` is a batch.
+    all events so far, if ``events`` is a batch. No table needs another one, so all are loaded at once.
     """
-    written = {
-        "dim_datetime": load_calendar(spark, events, warehouse),
-        "dim_user": load_users(events, warehouse), "dim_session": load_sessions(events, warehouse),
-        "dim_user_history": load_user_history(events, warehouse, landed),
+    loads: dict[str, Callable[[], int]] = {
+        "dim_datetime": lambda: load_calendar(spark, events, warehouse),
+        "dim_user": lambda: load_users(events, warehouse), "dim_session": lambda: load_sessions(events, warehouse),
+        "dim_user_history": lambda: load_user_history(events, warehouse, landed),
     }
     for name, (build, key) in APPENDED.items():
-        written[name] = load_new(build(events, algo), warehouse, name, key)
-    return written
+        loads[name] = lambda name=name, build=build, key=key: load_new(build(events, algo), warehouse, name, key)
+    return at_once(spark, loads)
+
+
+def at_once(spark: SparkSession, loads: Mapping[str, Callable[[], int]]) -> dict[str, int]:
+    """Loads of different tables side by side, as one alone leaves cores idle; all end before the first error is raised."""
+    with ThreadPoolExecutor(len(loads)) as pool:
+        # A thread of its own properties for each: those of the stream's batch hold for its jobs as well.
+        running = {name: pool.submit(inheritable_thread_target(spark)(load)) for name, load in loads.items()}
+    return {name: done.result() for name, done in running.items()}
 
 
 def days_of(events: DataFrame) -> list[date | None]:
@@ -193,11 +203,12 @@ def _load_all(store: Store, stage: Stage, events: DataFrame, rows_per_task: int,
     # The hash is redone over these columns alone, so the scan reads no others.
     source = with_row_hash(events.select(*FACT_SOURCE))
     featured = stage(_features(source, rows_per_task, options.get("rule", "all")), "features")
-    facts = _facts(store, stage, featured, rows_per_task, **options)
+    facts = _valid(_joined(store, stage, featured, **options), rows_per_task)
     edges = _edges(featured)
     if not store.exists("fact_streams"):
         store.replace_days(edges, "fact_edges", [])
         return store.replace_days(facts, "fact_streams", [])
+    facts = stage(facts, "facts")
     differ = changed_days(facts, store.read("fact_streams"))
     if differ:
         store.replace_days(edges, "fact_edges", [r[0] for r in edges.select("event_date").distinct().collect()])
@@ -211,13 +222,17 @@ def _features(events: DataFrame, rows_per_task: int, rule: str) -> DataFrame:
     return listen_features(events, TIEBREAK, rule, hot)
 
 
-def _facts(store: Store, stage: Stage, featured: DataFrame, rows_per_task: int, **options) -> DataFrame:
-    """Fact rows of events with features, with their day; staged."""
+def _joined(store: Store, stage: Stage, featured: DataFrame, **options) -> DataFrame:
+    """Fact rows of events with features, before their validity; staged."""
     tables = {n: store.read(f"dim_{n}") for n in ("user", "artist", "song", "location", "session", "datetime")}
     options = {k: v for k, v in options.items() if k != "rule"}
-    joined = stage(fact_rows_of(featured, tables, TIEBREAK, **options), "joined")
+    return stage(fact_rows_of(featured, tables, TIEBREAK, **options), "joined")
+
+
+def _valid(joined: DataFrame, rows_per_task: int) -> DataFrame:
+    """With their validity and their day; not staged, as most loads write them once."""
     hot = find_hot_keys(joined, FACT_VALIDITY_KEY, ["Timestamp", *TIEBREAK], rows_per_task)
-    return stage(with_event_hour(fact_validity(joined, TIEBREAK, hot)), "facts")
+    return with_event_hour(fact_validity(joined, TIEBREAK, hot))
 
 
 def _edges(featured: DataFrame) -> DataFrame:
@@ -244,9 +259,10 @@ def _load_days(store: Store, stage: Stage, events: DataFrame, days: list[date |
     featured = stage(_features(points, rows_per_task, options.get("rule", "all")), "features")
 
     of_events = featured.where("edge is null").drop("edge")
-    facts = _facts(store, stage, of_events, rows_per_task, **options)
-    if not facts.where("DateKey is null and event_date is not null").isEmpty():
+    joined = _joined(store, stage, of_events, **options)
+    if not joined.where(F.col("DateKey").isNull() & F.to_date("Timestamp").isNotNull()).isEmpty():
         raise ValueError("the calendar does not cover these days; load the dimensions first")
+    facts = _valid(joined, rows_per_task)
     # What the first of a day knows of the listen before, and the last of the listen behind.
     now = {c: F.when(F.col(f"edge.{flag}"), F.col(c)).otherwise(F.col(f"edge.{c}")) for c, flag in FEATURES.items()}
     differs = F.lit(False)
@@ -269,10 +285,11 @@ def _load_days(store: Store, stage: Stage, events: DataFrame, days: list[date |
         known = F.col("id").isNotNull()
         return rows.withColumns({c: F.when(known, F.col(f"__{c}")).otherwise(F.col(c)) for c in FEATURES}).select(*table.columns)
 
-    both = stage(facts.unionByName(patched(store.read("fact_streams"), "Timestamp", False).select(*facts.columns)), "days")
     ends = _edges(of_events)
-    ends = stage(ends.unionByName(patched(store.read("fact_edges"), "ts", True).select(*ends.columns)), "edges")
-    written = store.replace_days(both, "fact_streams", [*days, *others])
+    if others:  # Rows of these days come from the tables that are replaced.
+        facts = stage(facts.unionByName(patched(store.read("fact_streams"), "Timestamp", False).select(*facts.columns)), "days")
+        ends = stage(ends.unionByName(patched(store.read("fact_edges"), "ts", True).select(*ends.columns)), "edges")
+    written = store.replace_days(facts, "fact_streams", [*days, *others])
     store.replace_days(ends, "fact_edges", [*days, *others])
     return written
 
