@@ -3,8 +3,10 @@
 import threading
 from contextlib import contextmanager
 
+import pytest
 from pyspark.sql import functions as F
 
+from listenhouse import registry
 from listenhouse.functions import time_parts
 from listenhouse.plans import jobs
 from listenhouse.sinks.store import Store
@@ -62,3 +64,17 @@ def test_dimensions_load_side_by_side(spark):
     """Each waits for the other; one after the other they would not end."""
     meet = threading.Barrier(2, timeout=30)
     assert jobs.at_once(spark, {"a": lambda: meet.wait() * 0 + spark.range(3).count(), "b": lambda: meet.wait() * 0 + spark.range(4).count()}) == {"a": 3, "b": 4}
+
+
+@pytest.mark.parametrize("name", ["load_fact_twice", "load_warehouse_catalog"])
+def test_loads_read_events_that_are_joined_once(spark, monkeypatch, name):
+    """Customers and parts are not joined, and so not broadcast, again for every table and load."""
+    seen = []
+    for job in ("load_dimensions", "load_fact"):
+        monkeypatch.setattr(jobs, job, lambda spark, events, *_, **__: seen.append(events))
+    monkeypatch.setattr(registry, "_fact_table", lambda store: None)
+    registry.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert len(seen) == 4
+    for events in seen:
+        text = events._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in text and "customer.parquet" not in text and "part.parquet" not in text
