@@ -758,7 +758,7 @@ def load_user_history(spark, sf_dir):
 @query
 def load_warehouse_catalog(spark, sf_dir):
     """All jobs on tables of a catalog schema, run for two batches, the fact read back."""
-    events = _landed(spark, sf_dir)
+    events = _joined_once(_landed(spark, sf_dir))
     schema = f"warehouse_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {schema} LOCATION '{scratch_path(spark, schema)}'")
     store = Store(spark, schema, format=None)
